@@ -21,11 +21,16 @@ def normalize(
     fallback: str | None = None,
     colors: Sequence[str] = ("color_name", "color"),
 ) -> DataFrame:
-    """Add ``event_ts`` and ``color_norm``; drop rows that have no time at all."""
+    """Add ``event_ts`` and ``color_norm``; drop rows that have no time at all.
+
+    Both come out of a generator, like decoded messages do. Otherwise the filter
+    and the windows would each read the time text anew.
+    """
     present = [c for c in colors if c in df.columns]
-    return df.withColumns(
-        {"event_ts": event_timestamp(time, fallback), "color_norm": color_of(*present)}
-    ).where(F.col("event_ts").isNotNull())
+    added = F.struct(
+        event_timestamp(time, fallback).alias("event_ts"), color_of(*present).alias("color_norm")
+    )
+    return df.select("*", F.inline(F.array(added))).where(F.col("event_ts").isNotNull())
 
 
 def _measures(counted: Sequence[str], maxima: Sequence[str]) -> list[Column]:

@@ -35,15 +35,20 @@ def _time() -> Column:
     return F.col("ts").cast("timestamp")
 
 
+def _parsed(events: DataFrame) -> DataFrame:
+    """Events with the number ``k`` of their properties, parsed once."""
+    props = F.from_json("props", "k int")
+    return events.select("event_id", "ts", "user_id", "event_type", "value", F.inline(F.array(props)))
+
+
 def _telemetry(event_time: Column) -> list[Column]:
-    k = F.get_json_object("props", "$.k").cast("int")
     return [
         F.col("event_id").cast("string").alias("event_id"),
         event_time.alias("event_time"),
         F.col("user_id").cast("int").alias("car_id"),
         F.floor("value").cast("int").alias("speed"),
-        (k * 80).alias("rpm"),
-        (k % 7 + 1).alias("gear"),
+        (F.col("k") * 80).alias("rpm"),
+        (F.col("k") % 7 + 1).alias("gear"),
     ]
 
 
@@ -53,7 +58,7 @@ def _iso_text() -> Column:
 
 def telemetry(events: DataFrame) -> DataFrame:
     """Raw telemetry events, in the columns of the raw message."""
-    return events.select(*_telemetry(_iso_text()))
+    return _parsed(events).select(*_telemetry(_iso_text()))
 
 
 def _in_envelope(text: Column) -> list[Column]:
@@ -67,7 +72,7 @@ def _in_envelope(text: Column) -> list[Column]:
 
 def messages(events: DataFrame) -> DataFrame:
     """The telemetry as JSON messages in their envelope."""
-    return events.select(*_in_envelope(F.to_json(F.struct(*_telemetry(_iso_text())))))
+    return _parsed(events).select(*_in_envelope(F.to_json(F.struct(*_telemetry(_iso_text())))))
 
 
 def mixed_time_text() -> Column:
@@ -87,7 +92,7 @@ def mixed_messages(events: DataFrame) -> DataFrame:
     """Messages with mixed event times; those of the type ``error`` are cut off."""
     text = F.to_json(F.struct(*_telemetry(mixed_time_text())))
     cut = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
-    return events.select(*_in_envelope(cut))
+    return _parsed(events).select(*_in_envelope(cut))
 
 
 def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
