@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..files import path_exists
-from ..schemas import FILE_MESSAGE
-
-ENVELOPE_COLUMNS = ("topic", "timestamp", "value")
+from ..schemas import ENVELOPE, FILE_MESSAGE
 
 
 def split_topics(text: str) -> list[str]:
@@ -66,7 +64,7 @@ class KafkaTopic:
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.format("kafka").options(**self.source_options())
-        return reader.load().select(*ENVELOPE_COLUMNS)
+        return reader.load().select(*ENVELOPE.fieldNames())
 
     def writer(self, messages: DataFrame) -> DataStreamWriter:
         return messages.select("value").writeStream.format("kafka").options(**self.sink_options())
@@ -78,7 +76,11 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class FileTopic:
-    """A directory of message files. The broker's time is stamped when they are written."""
+    """A directory of message files. The broker's time is stamped when they are written.
+
+    A directory is written either by one streaming query (``writer``) or in batches
+    (``append``): once a query has written it, readers see that query's files only.
+    """
 
     path: str
     name: str
@@ -96,7 +98,9 @@ class FileTopic:
             .options(**self.options)
             .load(self.path)
         )
-        return files.withColumn("topic", F.lit(self.name)).select(*ENVELOPE_COLUMNS)
+        return files.select(
+            F.lit(self.name).alias("topic"), "timestamp", F.col("value").cast("binary")
+        )
 
     def stream(self, spark: SparkSession) -> DataFrame:
         return self._load(spark.readStream)
