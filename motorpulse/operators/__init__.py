@@ -18,7 +18,7 @@ from .dimensions import (
     require_unique,
     write_dimension,
 )
-from .enrich import attach_profile, choose_lookup, enrich
+from .enrich import attach_profile, choose_lookup, enrich, frequent_keys
 
 __all__ = [
     "DuplicateKeysError",
@@ -29,6 +29,7 @@ __all__ = [
     "combine_panes",
     "duplicate_keys",
     "enrich",
+    "frequent_keys",
     "latest_closed_window",
     "latest_window",
     "load_dimension",

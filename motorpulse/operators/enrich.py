@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,10 +12,11 @@ from ..functions.columns import expected_gear
 from ..schemas import ENRICHED_EVENT, SPEED_PER_GEAR
 from .dimensions import car_profile
 
-LOOKUPS = ("auto", "broadcast", "salted")
+LOOKUPS = ("auto", "measured", "broadcast", "salted")
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALT_BUCKETS = 16
 ROW_OVERHEAD = 32
+SALTS_FOR_ALL = 16
+SALTS_FOR_HOT = 256
 
 
 def choose_lookup(profile: DataFrame, limit: int = BROADCAST_BYTES) -> str:
@@ -24,44 +27,65 @@ def choose_lookup(profile: DataFrame, limit: int = BROADCAST_BYTES) -> str:
     """
     width = F.lit(ROW_OVERHEAD)
     for field in profile.schema.fields:
+        width = width + F.lit(8)
         if isinstance(field.dataType, T.StringType):
-            width = width + F.lit(8) + F.coalesce(F.octet_length(field.name), F.lit(0))
-        else:
-            width = width + F.lit(8)
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
     size = profile.agg(F.sum(width.cast("long"))).first()[0] or 0
     return "broadcast" if size <= limit else "salted"
 
 
+def frequent_keys(events: DataFrame, key: str = "car_id", n: int = 1000) -> list:
+    """The ``n`` keys with most rows. Any other key holds less than one row in ``n``.
+
+    Counted before the shuffle and cut to ``n`` on the executors.
+    """
+    known = events.where(F.col(key).isNotNull()).groupBy(key).count()
+    top = known.orderBy(F.col("count").desc(), F.col(key)).limit(n)
+    return [row[key] for row in top.collect()]
+
+
 def attach_profile(
     events: DataFrame,
     profile: DataFrame,
     *,
     key: str = "car_id",
     lookup: str = "auto",
-    salt_buckets: int = SALT_BUCKETS,
+    hot_keys: Sequence | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left-join a table that has one row per key; every event comes out exactly once.
 
     ``auto`` leaves the choice to Spark: by estimated size, and in batch with
     skewed partitions split at run time. ``broadcast`` asks for a broadcast, for
-    sides that were measured. ``salted`` shuffles both sides on key and salt: each
-    profile row is copied to every salt and events are spread over them, so a key
-    or the NULL keys of malformed messages may hold any share of the events.
+    tables of known size. ``measured`` broadcasts what ``choose_lookup`` finds
+    small enough and salts the rest.
+
+    ``salted`` shuffles both sides on key and salt. Events of hot keys and those
+    without a key are spread over ``salts`` salts; the profile rows of hot keys
+    are copied to each of them. Other keys stay whole. ``hot_keys`` come from
+    ``frequent_keys`` or from what is known of the fleet; without them every key
+    counts as hot, which needs no knowledge but copies the whole profile.
     """
     if lookup not in LOOKUPS:
         raise ValueError(f"lookup must be one of {LOOKUPS}, not {lookup!r}")
+    if lookup == "measured":
+        lookup = choose_lookup(profile)
     if lookup == "auto":
         return events.join(profile, key, "left")
     if lookup == "broadcast":
         return events.join(F.broadcast(profile), key, "left")
 
+    salts = salts or (SALTS_FOR_ALL if hot_keys is None else SALTS_FOR_HOT)
+    hot = F.lit(True) if hot_keys is None else F.col(key).isin(list(hot_keys))
     # The partition id separates copies of one message, which hash alike. It does
     # not depend on row order, so a recomputed task gives the same salts.
-    spread = F.pmod(F.xxhash64(*events.columns, F.spark_partition_id()), F.lit(salt_buckets))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+    spread = F.pmod(F.xxhash64(*events.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    salt = F.when(F.col(key).isNull() | hot, spread).otherwise(0)
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = profile.where(F.col(key).isNotNull()).withColumn("salt", F.explode(every))
     return (
-        events.withColumn("salt", spread.cast("int"))
-        .join(profile.withColumn("salt", salts).hint("merge"), [key, "salt"], "left")
+        events.withColumn("salt", salt)
+        .join(copies.hint("merge"), [key, "salt"], "left")
         .drop("salt")
     )
 
@@ -73,18 +97,17 @@ def enrich(
     colors: DataFrame | None = None,
     *,
     speed_per_gear: float = SPEED_PER_GEAR,
-    lookup: str = "auto",
-    salt_buckets: int = SALT_BUCKETS,
+    **how,
 ) -> DataFrame:
     """Add driver, brand, model, color and the expected gear to raw events.
 
     Takes the three dimensions, or a ready car profile alone. Events of unknown
-    cars stay, with NULL attributes.
+    cars stay, with NULL attributes. ``how`` goes to ``attach_profile``.
     """
     if (models is None) != (colors is None):
         raise ValueError("give models and colors together, or neither with a car profile")
     profile = cars if models is None else car_profile(cars, models, colors)
-    joined = attach_profile(events, profile, lookup=lookup, salt_buckets=salt_buckets)
+    joined = attach_profile(events, profile, **how)
     return joined.withColumn(
         "expected_gear", expected_gear(speed_per_gear=speed_per_gear)
     ).select(*ENRICHED_EVENT.fieldNames())

@@ -175,6 +175,7 @@ _BODIES: dict[str, str] = {
     "enriched": f"select {ENRICHED} from en",
     "enriched_by_size": f"select {ENRICHED} from en",
     "enriched_salted": f"select {ENRICHED} from en",
+    "enriched_with_hot_keys": f"select {ENRICHED} from en",
     "rows_per_model": "select model_name, count(*) as num_of_rows from en group by 1",
     "colors_per_model": """
         select model_name,

@@ -19,7 +19,7 @@ from ..functions.columns import alert_condition, color_of, event_timestamp, expe
 from ..operators.alerts import alerts
 from ..operators.counts import latest_closed_window, latest_window, normalize, window_counts
 from ..operators.dimensions import duplicate_keys, one_row_per_key, preview, write_dimension
-from ..operators.enrich import attach_profile, choose_lookup, enrich
+from ..operators.enrich import attach_profile, enrich, frequent_keys
 from ..schemas import CAR_COLORS, COLOR_ROWS, COUNTER_INPUT, ENRICHED_EVENT, RAW_EVENT
 from ..session import shared_folder
 from ..sources.messages import FileTopic, merge_topics
@@ -228,10 +228,11 @@ def enriched(spark: SparkSession, sf: str, **how) -> DataFrame:
     return enrich(_telemetry(spark, sf), fleet.profile(spark, sf), **how)
 
 
-def enriched_by_size(spark: SparkSession, sf: str) -> DataFrame:
-    """Joined as the measured size of the car profile says."""
-    profile = fleet.profile(spark, sf)
-    return enrich(_telemetry(spark, sf), profile, lookup=choose_lookup(profile))
+def enriched_with_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Joined with the events of the most frequent cars spread out."""
+    events = _telemetry(spark, sf)
+    hot = frequent_keys(events, n=100)
+    return enrich(events, fleet.profile(spark, sf), lookup="salted", hot_keys=hot)
 
 
 # Aggregates, de-duplication, order ---------------------------------------------
@@ -443,8 +444,9 @@ QUERIES: dict[str, Query] = {
     "joined_colors": joined_colors,
     "car_profiles": car_profiles,
     "enriched": enriched,
-    "enriched_by_size": enriched_by_size,
+    "enriched_by_size": partial(enriched, lookup="measured"),
     "enriched_salted": partial(enriched, lookup="salted"),
+    "enriched_with_hot_keys": enriched_with_hot_keys,
     "rows_per_model": rows_per_model,
     "colors_per_model": colors_per_model,
     "maxima_per_model": maxima_per_model,

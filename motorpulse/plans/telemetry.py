@@ -12,11 +12,14 @@ from ..schemas import COUNTER_INPUT, ENRICHED_EVENT, MAX_RPM, MAX_SPEED, RAW_EVE
 
 
 def enriched_messages(
-    messages: DataFrame, profile: DataFrame, *, on_malformed: str = "keep", lookup: str = "auto"
+    messages: DataFrame, profile: DataFrame, *, on_malformed: str = "keep", **how
 ) -> DataFrame:
-    """Raw messages to enriched messages. A malformed one becomes ``{}`` unless dropped."""
+    """Raw messages to enriched messages. A malformed one becomes ``{}`` unless dropped.
+
+    ``how`` says how the profile is joined, as in ``attach_profile``.
+    """
     events = decode(messages, RAW_EVENT, on_malformed=on_malformed)
-    return encode(enrich(events, profile, lookup=lookup))
+    return encode(enrich(events, profile, **how))
 
 
 def alert_messages(

@@ -29,18 +29,24 @@ def start_enrichment(
     *,
     on_malformed: str = "keep",
     quarantine: Topic | None = None,
-    lookup: str = "auto",
+    lookup: str = "measured",
     trigger: Trigger = None,
     name: str = "enrich",
+    **how,
 ) -> StreamingQuery:
     """Raw messages to enriched messages.
 
     A profile given as a DataFrame is fixed at the start; replacing its files ends
     the query. Given as a function it is read anew in every micro-batch.
     ``quarantine`` receives the text of malformed messages instead of the sink.
+
+    Spark does not adapt the plans of a stream, so the profile is measured: once at
+    the start, or in every micro-batch that reads it anew. ``how`` may name
+    ``hot_keys`` for a profile too large to broadcast.
     """
+    how["lookup"] = lookup
     if not callable(profile) and quarantine is None:
-        out = enriched_messages(messages, profile, on_malformed=on_malformed, lookup=lookup)
+        out = enriched_messages(messages, profile, on_malformed=on_malformed, **how)
         return start_appending(out, sink, checkpoint, trigger=trigger, name=name)
 
     def dimension(batch: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def start_enrichment(
 
     def write_events(batch: DataFrame, batch_id: int) -> None:
         good = batch.where(F.col("malformed").isNull()) if quarantine else batch
-        sink.append(encode(enrich(good, dimension(batch), lookup=lookup)), batch_id)
+        sink.append(encode(enrich(good, dimension(batch), **how)), batch_id)
 
     def write_malformed(batch: DataFrame, batch_id: int) -> None:
         bad = batch.where(F.col("malformed").isNotNull())

@@ -17,11 +17,13 @@ class SnapshotTable:
 
     A replayed batch finds its directory finished and leaves it, so each batch
     counts once. The one before stays for readers that have begun with it. Meant
-    for results that grow with time and not with events.
+    for results that grow with time and not with events: ``files`` is how many
+    files each snapshot has.
     """
 
     path: str
     keep: int = 2
+    files: int = 4
 
     def _finished(self, spark: SparkSession) -> list[int]:
         done = matching_parents(spark, f"{self.path}/{PREFIX}*/_SUCCESS")
@@ -36,6 +38,8 @@ class SnapshotTable:
         spark = df.sparkSession
         target = f"{self.path}/{PREFIX}{batch_id}"
         if not path_exists(spark, f"{target}/_SUCCESS"):
-            df.write.mode("overwrite").parquet(target)
+            # By key, since plans inside a stream are not adapted and would write
+            # one small file per shuffle partition.
+            df.repartition(self.files, df.columns[0]).write.mode("overwrite").parquet(target)
         for old in self._finished(spark)[: -self.keep]:
             delete(spark, f"{self.path}/{PREFIX}{old}")

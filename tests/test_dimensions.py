@@ -13,6 +13,7 @@ from motorpulse.operators import (
     choose_lookup,
     duplicate_keys,
     enrich,
+    frequent_keys,
     load_profile,
     one_row_per_key,
     preview,
@@ -119,7 +120,7 @@ def test_profile_of_stored_dimensions(spark, paths):
     }
 
 
-@pytest.mark.parametrize("lookup", ["auto", "broadcast", "salted"])
+@pytest.mark.parametrize("lookup", ["auto", "measured", "broadcast", "salted"])
 def test_enrich_keeps_every_event_once(spark, paths, lookup):
     cars, models, colors = (spark.read.parquet(p) for p in paths)
     models = models.toDF("model_id", "brand_name", "model_name")
@@ -156,23 +157,31 @@ def test_profile_join_equals_three_joins_in_a_row(spark, paths):
     )
 
 
-def test_salted_join_spreads_a_hot_key_copies_and_nulls(spark):
+@pytest.mark.parametrize("hot_keys", [None, [1, 2], [2], []])
+def test_salted_join_spreads_hot_keys_copies_and_nulls(spark, hot_keys):
     """A third of the rows each: copies of one message, one key, and no key at all."""
-    profile = spark.createDataFrame([(1, "a"), (2, "b")], "car_id int, name string")
+    profile = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "car_id int, name string")
     n = 3000
     events = spark.range(3 * n).repartition(8).selectExpr(
         f"if(id < {n}, 0, id) as event_id",
         f"case when id < {n} then 1 when id < {2 * n} then 2 end as car_id",
     )
-    joined = attach_profile(events, profile, lookup="salted", salt_buckets=8)
+    joined = attach_profile(events, profile, lookup="salted", salts=16, hot_keys=hot_keys)
     counts = joined.groupBy("car_id", "name").count().collect()
     assert {tuple(r) for r in counts} == {(1, "a", n), (2, "b", n), (None, None, n)}
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        spread = joined.selectExpr("spark_partition_id() p").groupBy("p").count().collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert max(r["count"] for r in spread) < 0.4 * 3 * n
+    if hot_keys is None or len(hot_keys) == 2:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            spread = joined.selectExpr("spark_partition_id() p").groupBy("p").count().collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert max(r["count"] for r in spread) < 0.4 * 3 * n
+
+
+def test_frequent_keys(spark):
+    df = spark.createDataFrame([(k,) for k in [5, 5, 5, 2, 2, 9, 9, 1, None, None]], "car_id int")
+    assert frequent_keys(df, n=3) == [5, 2, 9]
+    assert frequent_keys(df.limit(0)) == []
 
 
 def test_lookup_follows_the_measured_size(spark):
