@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -25,6 +24,7 @@ from motorpulse.operators import alerts, enrich, normalize, window_counts  # noq
 from motorpulse.plans import alert_messages, enriched_messages, fleet_tables  # noqa: E402
 from motorpulse.plans.queries import QUERIES  # noqa: E402
 from motorpulse.schemas import RAW_EVENT  # noqa: E402
+from motorpulse.session import shared_folder  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -52,11 +52,11 @@ def seconds(build, repeats: int) -> float:
     return round(best, 3)
 
 
-def dense_messages(spark: SparkSession, folder: str) -> tuple[str, int]:
+def dense_messages(spark: SparkSession) -> tuple[str, int]:
     events = fleet_tables.table(spark, SF_DIR, "events")
     copies = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
     spread = copies.repartition(2 * int(CPUS), "event_id", "copy")
-    path = f"{folder}/messages"
+    path = f"{shared_folder(spark)}/bench-{spark.sparkContext.applicationId}/messages"
     fleet_tables.messages(spread).write.parquet(path)
     return path, spark.read.parquet(path).count()
 
@@ -82,7 +82,6 @@ def dense_queries(spark: SparkSession, path: str) -> dict:
 
 
 def main() -> None:
-    folder = tempfile.mkdtemp(prefix="run-")
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("bench")
@@ -91,7 +90,6 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -99,7 +97,7 @@ def main() -> None:
 
     taken = {n: seconds(lambda n=n: QUERIES[n](spark, SF_DIR), REPEATS) for n in BATCH}
     taken |= {n: seconds(lambda n=n: QUERIES[n](spark, SF_DIR), 1) for n in STREAMS}
-    path, dense = dense_messages(spark, folder)
+    path, dense = dense_messages(spark)
     taken |= {n: seconds(q, 2) for n, q in dense_queries(spark, path).items()}
     spark.stop()
 

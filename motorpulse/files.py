@@ -29,3 +29,8 @@ def matching_parents(spark: SparkSession, pattern: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     jvm_path, files = _resolve(spark, path)
     files.delete(jvm_path, True)
+
+
+def make_directory(spark: SparkSession, path: str) -> None:
+    jvm_path, files = _resolve(spark, path)
+    files.mkdirs(jvm_path)

@@ -17,6 +17,7 @@ from .dimensions import (
     preview,
     require_unique,
     write_dimension,
+    write_fixed_dimensions,
 )
 from .enrich import attach_profile, choose_lookup, enrich, frequent_keys
 
@@ -41,4 +42,5 @@ __all__ = [
     "require_unique",
     "window_counts",
     "write_dimension",
+    "write_fixed_dimensions",
 ]

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CAR_PROFILE
-from ..sources.tables import read_table, require_columns
+from ..schemas import CAR_COLORS, CAR_MODELS, CAR_PROFILE, COLOR_ROWS, MODEL_ROWS
+from ..sources.tables import literal_table, read_table, require_columns
 
 CARS_COLUMNS = ("car_id", "driver_id", "model_id", "color_id")
 MODELS_COLUMNS = {"model_id": "model_id", "car_brand": "brand_name", "car_model": "model_name"}
@@ -89,6 +89,14 @@ def write_dimension(df: DataFrame, path: str, key: str, *, files: int | None = N
     df.write.mode("overwrite").parquet(path)
 
 
+def write_fixed_dimensions(spark: SparkSession, models_path: str, colors_path: str) -> None:
+    """Write the model and color tables, whose rows are fixed."""
+    models = literal_table(spark, MODEL_ROWS, CAR_MODELS)
+    colors = literal_table(spark, COLOR_ROWS, CAR_COLORS)
+    write_dimension(models, models_path, "model_id", files=1)
+    write_dimension(colors, colors_path, "color_id", files=1)
+
+
 def preview(df: DataFrame, key: str, rows: int = 20) -> DataFrame:
     """The first rows in key order: a top-k, not a full sort."""
     return df.orderBy(F.col(key).asc()).limit(rows)

@@ -92,15 +92,15 @@ def session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, from ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir`` or what the context was given.
 
-    Only a local session may fall back to a folder of its own, which it then
-    sets so that later calls agree.
+    Only a local session may fall back to a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
-        folder = tempfile.mkdtemp(prefix="motorpulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="motorpulse-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")

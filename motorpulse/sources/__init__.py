@@ -1,4 +1,11 @@
-from .messages import FileTopic, KafkaTopic, available_topics, merge_topics, split_topics
+from .messages import (
+    FileTopic,
+    FileTopics,
+    KafkaTopic,
+    available_topics,
+    merge_topics,
+    split_topics,
+)
 from .tables import (
     EmptyTableError,
     MissingColumnsError,
@@ -11,6 +18,7 @@ from .tables import (
 __all__ = [
     "EmptyTableError",
     "FileTopic",
+    "FileTopics",
     "KafkaTopic",
     "MissingColumnsError",
     "available_topics",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..files import path_exists
+from ..files import make_directory, path_exists
 from ..schemas import ENVELOPE, FILE_MESSAGE
 
 
@@ -103,6 +103,8 @@ class FileTopic:
         )
 
     def stream(self, spark: SparkSession) -> DataFrame:
+        """Messages as they come. A topic that is not there yet is created."""
+        make_directory(spark, self.path)
         return self._load(spark.readStream)
 
     def batch(self, spark: SparkSession) -> DataFrame:
@@ -133,6 +135,16 @@ class FileTopic:
             stamped.write.format(self.format).mode("overwrite").save(target)
 
 
+@dataclass(frozen=True)
+class FileTopics:
+    """Several file topics read as one; those missing when a job starts are left out."""
+
+    topics: tuple[FileTopic, ...]
+
+    def stream(self, spark: SparkSession) -> DataFrame:
+        return merge_topics([t.stream(spark) for t in available_topics(spark, self.topics)])
+
+
 Topic = KafkaTopic | FileTopic
 
 

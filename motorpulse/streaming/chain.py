@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.messages import Topic
+from ..sources.messages import FileTopics, Topic
 from .jobs import start_alerts, start_enrichment, start_window_counts
 from .sinks import Trigger
 from .snapshots import SnapshotTable
@@ -25,10 +25,16 @@ def fleet_steps(
     table: SnapshotTable,
     profile: DataFrame | Callable[[SparkSession], DataFrame],
     checkpoints: str,
+    counter_input: Topic | FileTopics | None = None,
     trigger: Trigger = None,
+    counter_trigger: Trigger = None,
     **counts,
 ) -> dict[str, Starter]:
-    """How to start each step, in order. A step reads its topic only once it is started."""
+    """How to start each step, in order. A step reads its topic only once it is started.
+
+    The counter reads ``counter_input``, or the alert topic alone. ``counts`` go to
+    ``start_window_counts``.
+    """
     return {
         "enrich": lambda: start_enrichment(
             raw.stream(spark), profile, enriched, f"{checkpoints}/enrich", trigger=trigger
@@ -37,7 +43,11 @@ def fleet_steps(
             enriched.stream(spark), alert, f"{checkpoints}/alerts", trigger=trigger
         ),
         "counts": lambda: start_window_counts(
-            alert.stream(spark), table, f"{checkpoints}/counts", trigger=trigger, **counts
+            (counter_input or alert).stream(spark),
+            table,
+            f"{checkpoints}/counts",
+            trigger=counter_trigger or trigger,
+            **counts,
         ),
     }
 
