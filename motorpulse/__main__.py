@@ -42,10 +42,18 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--from-step", choices=STEPS)
     run.add_argument("--drain", action="store_true", help="one step after the other, then end")
     run.add_argument("--refresh", action="store_true", help="read dimensions per micro-batch")
-    run.add_argument("--mode", choices=MODES, default="complete")
+    run.add_argument(
+        "--mode",
+        choices=(*MODES, "panes"),
+        default="complete",
+        help="output mode of the counts; panes stores counts per minute and keeps no state",
+    )
     run.add_argument("--only-latest", action="store_true", help="keep only the latest window")
     run.add_argument("--every", default=REFRESH_EVERY, help="refresh of the counts")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.command == "run" and args.mode == "panes" and args.only_latest:
+        parser.error("--only-latest keeps a window, and --mode panes stores none")
+    return args
 
 
 def _topics(args: argparse.Namespace) -> dict:
@@ -71,16 +79,18 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
         return load_profile(current, *paths)
 
     counts_every = {"availableNow": True} if args.drain else {"processingTime": args.every}
+    panes = args.mode == "panes"
+    how = {} if panes else {"mode": args.mode, "only_latest": args.only_latest}
     steps = fleet_steps(
         spark,
         **_topics(args),
-        table=SnapshotTable(f"{args.store}/windows"),
+        table=SnapshotTable(f"{args.store}/{'panes' if panes else 'windows'}"),
         profile=profile if args.refresh else profile(spark),
         checkpoints=f"{args.store}/checkpoints",
         trigger={"availableNow": True} if args.drain else None,
         counter_trigger=counts_every,
-        mode=args.mode,
-        only_latest=args.only_latest,
+        panes=panes,
+        **how,
     )
     if args.drain:
         drain(steps, args.from_step)

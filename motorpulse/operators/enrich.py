@@ -83,10 +83,11 @@ def attach_profile(
     salt = F.when(F.col(key).isNull() | hot, spread).otherwise(0)
     every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = profile.where(F.col(key).isNotNull()).withColumn("salt", F.explode(every))
+    # Without copies a task's hash table is an even share of the profile and spares
+    # sorting the events; with the whole profile copied, the join has to spill.
+    join = "merge" if hot_keys is None else "shuffle_hash"
     return (
-        events.withColumn("salt", salt)
-        .join(copies.hint("merge"), [key, "salt"], "left")
-        .drop("salt")
+        events.withColumn("salt", salt).join(copies.hint(join), [key, "salt"], "left").drop("salt")
     )
 
 

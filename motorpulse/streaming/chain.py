@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.messages import FileTopics, Topic
-from .jobs import start_alerts, start_enrichment, start_window_counts
+from .jobs import start_alerts, start_enrichment, start_pane_counts, start_window_counts
 from .sinks import Trigger
 from .snapshots import SnapshotTable
 
@@ -26,15 +26,17 @@ def fleet_steps(
     profile: DataFrame | Callable[[SparkSession], DataFrame],
     checkpoints: str,
     counter_input: Topic | FileTopics | None = None,
+    panes: bool = False,
     trigger: Trigger = None,
     counter_trigger: Trigger = None,
     **counts,
 ) -> dict[str, Starter]:
     """How to start each step, in order. A step reads its topic only once it is started.
 
-    The counter reads ``counter_input``, or the alert topic alone. ``counts`` go to
-    ``start_window_counts``.
+    The counter reads ``counter_input``, or the alert topic alone, and stores windows
+    or, if asked to, ``panes``. ``counts`` go to the job that does it.
     """
+    start_counts = start_pane_counts if panes else start_window_counts
     return {
         "enrich": lambda: start_enrichment(
             raw.stream(spark), profile, enriched, f"{checkpoints}/enrich", trigger=trigger
@@ -42,7 +44,7 @@ def fleet_steps(
         "alerts": lambda: start_alerts(
             enriched.stream(spark), alert, f"{checkpoints}/alerts", trigger=trigger
         ),
-        "counts": lambda: start_window_counts(
+        "counts": lambda: start_counts(
             (counter_input or alert).stream(spark),
             table,
             f"{checkpoints}/counts",

@@ -97,7 +97,8 @@ def start_window_counts(
     ``complete`` counts rows of any age and keeps every window in state for good.
     ``update`` keeps a window until the watermark passes it and drops rows that
     come later than that. ``append`` adds each window once, when the watermark
-    passes it. ``only_latest`` stores just the newest window.
+    passes it. ``only_latest`` stores just the newest window. ``version`` in the
+    table is the micro-batch that last changed a window.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")

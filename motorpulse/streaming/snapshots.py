@@ -16,7 +16,8 @@ class SnapshotTable:
     """One directory per micro-batch, the newest finished one being the table.
 
     A replayed batch finds its directory finished and leaves it, so each batch
-    counts once. The one before stays for readers that have begun with it. Meant
+    counts once; a table therefore belongs to one checkpoint, and both start anew
+    together. The one before stays for readers that have begun with it. Meant
     for results that grow with time and not with events: ``files`` is how many
     files each snapshot has.
     """

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from motorpulse.functions import decode, encode
 from motorpulse.schemas import RAW_EVENT
@@ -74,6 +76,17 @@ def test_decode_of_encode_is_the_same(spark):
     assert [tuple(r) for r in decode(encode(df), RAW_EVENT).collect()] == rows
 
 
+_ints = st.none() | st.integers(-(2**31), 2**31 - 1)
+_texts = st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=12)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_texts, _texts, _ints, _ints, _ints, _ints), min_size=1, max_size=200))
+def test_any_row_survives_encode_and_decode(spark, rows):
+    df = spark.createDataFrame(rows, RAW_EVENT).coalesce(1)
+    assert [tuple(r) for r in decode(encode(df), RAW_EVENT).collect()] == rows
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -9,6 +9,7 @@ from motorpulse.schemas import CARS
 from motorpulse.session import state_store_settings
 from motorpulse.sources import FileTopic
 from motorpulse.streaming import SnapshotTable
+from motorpulse.streaming.jobs import windows_of_panes
 
 
 @pytest.fixture
@@ -41,6 +42,16 @@ def test_files_are_drained_to_counts(spark, folder, dims, extra):
     }
 
 
+def test_panes_are_stored_instead_of_windows(spark, folder, dims):
+    _send(spark, folder, "sensors-sample", car_id=100, speed=130, gear=4, rpm=1)
+    args = ["--files", f"{folder}/topics", "--dims", dims, "--store", f"{folder}/store"]
+    with pytest.warns(UserWarning, match="anomaly-alerts"):
+        main(["run", *args, "--drain", "--mode", "panes"])
+    windows = windows_of_panes(SnapshotTable(f"{folder}/store/panes"), spark)
+    assert {(r.num_of_rows, r.num_of_black) for r in windows.collect()} == {(1, 1)}
+    assert windows.count() == 15
+
+
 def test_kafka_topics_of_a_run():
     args = _arguments(
         ["run", "--servers", "h:1", "--dims", "d", "--store", "s", "--per-trigger", "9",
@@ -57,3 +68,8 @@ def test_kafka_topics_of_a_run():
 def test_a_run_needs_topics():
     with pytest.raises(SystemExit):
         _arguments(["run", "--dims", "d", "--store", "s"])
+    with pytest.raises(SystemExit):
+        _arguments(
+            ["run", "--files", "f", "--dims", "d", "--store", "s", "--mode", "panes",
+             "--only-latest"]
+        )
