@@ -25,6 +25,12 @@ from motorpulse.plans import alert_messages, enriched_messages, fleet_tables  #
 from motorpulse.plans.queries import QUERIES  # noqa: E402
 from motorpulse.schemas import RAW_EVENT  # noqa: E402
 from motorpulse.session import shared_folder  # noqa: E402
+from motorpulse.sources import FileTopic  # noqa: E402
+from motorpulse.streaming import (  # noqa: E402
+    SnapshotTable,
+    start_pane_counts,
+    start_window_counts,
+)
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -61,6 +67,34 @@ def dense_messages(spark: SparkSession) -> tuple[str, int]:
     return path, spark.read.parquet(path).count()
 
 
+def state_rows(spark: SparkSession) -> dict[str, int]:
+    """Rows kept by the counter after all alerts came in order of time, in five batches."""
+    folder = f"{shared_folder(spark)}/bench-{spark.sparkContext.applicationId}"
+    topic = FileTopic(f"{folder}/alerts", "alerts", options={"maxFilesPerTrigger": "1"})
+    events = fleet_tables.table(spark, SF_DIR, "events")
+    begin, end = events.agg(F.min("ts"), F.max("ts")).first()
+    for part in range(5):
+        since, until = (begin + (end - begin) * p / 5 for p in (part, part + 1))
+        until = until if part < 4 else end + (end - begin)
+        slice_ = events.where((F.col("ts") >= since) & (F.col("ts") < until))
+        profile = fleet_tables.profile(spark, SF_DIR)
+        found = alert_messages(enriched_messages(fleet_tables.messages(slice_), profile))
+        topic.append(found.coalesce(1))
+
+    kept = {}
+    drain = {"availableNow": True}
+    for mode in ("complete", "update"):
+        table = SnapshotTable(f"{folder}/{mode}")
+        query = start_window_counts(
+            topic.stream(spark), table, f"{folder}/c-{mode}", mode=mode, trigger=drain
+        )
+        query.awaitTermination()
+        kept[mode] = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    table = SnapshotTable(f"{folder}/panes")
+    start_pane_counts(topic.stream(spark), table, f"{folder}/c-panes", trigger=drain).awaitTermination()
+    return kept | {"panes": 0, "panes_stored": table.read(spark).count()}
+
+
 def dense_queries(spark: SparkSession, path: str) -> dict:
     def messages() -> DataFrame:
         return spark.read.parquet(path)
@@ -99,6 +133,7 @@ def main() -> None:
     taken |= {n: seconds(lambda n=n: QUERIES[n](spark, SF_DIR), 1) for n in STREAMS}
     path, dense = dense_messages(spark)
     taken |= {n: seconds(q, 2) for n, q in dense_queries(spark, path).items()}
+    state = state_rows(spark)
     spark.stop()
 
     rates = {n: round((dense if n.startswith("dense_") else events) / s) for n, s in taken.items()}
@@ -110,6 +145,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": taken,
                 "events_per_sec": rates,
+                "state_rows": state,
                 "events": events,
                 "dense_events": dense,
                 "sf": Path(SF_DIR).name.removeprefix("sf"),

@@ -49,6 +49,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         help="output mode of the counts; panes stores counts per minute and keeps no state",
     )
     run.add_argument("--only-latest", action="store_true", help="keep only the latest window")
+    run.add_argument("--preview", action="store_true", help="show events on the console")
     run.add_argument("--every", default=REFRESH_EVERY, help="refresh of the counts")
     args = parser.parse_args(argv)
     if args.command == "run" and args.mode == "panes" and args.only_latest:
@@ -90,6 +91,7 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
         trigger={"availableNow": True} if args.drain else None,
         counter_trigger=counts_every,
         panes=panes,
+        preview=args.preview,
         **how,
     )
     if args.drain:

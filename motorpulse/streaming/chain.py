@@ -7,9 +7,13 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.codec import decode
+from ..operators.alerts import alerts
+from ..operators.enrich import enrich
+from ..schemas import ENRICHED_EVENT, RAW_EVENT
 from ..sources.messages import FileTopics, Topic
 from .jobs import start_alerts, start_enrichment, start_pane_counts, start_window_counts
-from .sinks import Trigger
+from .sinks import Trigger, start_preview
 from .snapshots import SnapshotTable
 
 STEPS = ("enrich", "alerts", "counts")
@@ -27,6 +31,7 @@ def fleet_steps(
     checkpoints: str,
     counter_input: Topic | FileTopics | None = None,
     panes: bool = False,
+    preview: bool = False,
     trigger: Trigger = None,
     counter_trigger: Trigger = None,
     **counts,
@@ -34,10 +39,21 @@ def fleet_steps(
     """How to start each step, in order. A step reads its topic only once it is started.
 
     The counter reads ``counter_input``, or the alert topic alone, and stores windows
-    or, if asked to, ``panes``. ``counts`` go to the job that does it.
+    or, if asked to, ``panes``. ``counts`` go to the job that does it. ``preview``
+    also shows enriched events and alerts on the console, by queries of their own.
     """
     start_counts = start_pane_counts if panes else start_window_counts
-    return {
+
+    def show_enriched() -> StreamingQuery:
+        cars = profile(spark) if callable(profile) else profile
+        rows = enrich(decode(raw.stream(spark), RAW_EVENT), cars, lookup="measured")
+        return start_preview(rows, trigger=trigger, name="enrich preview")
+
+    def show_alerts() -> StreamingQuery:
+        rows = alerts(decode(enriched.stream(spark), ENRICHED_EVENT))
+        return start_preview(rows, trigger=trigger, name="alerts preview")
+
+    steps = {
         "enrich": lambda: start_enrichment(
             raw.stream(spark), profile, enriched, f"{checkpoints}/enrich", trigger=trigger
         ),
@@ -52,6 +68,11 @@ def fleet_steps(
             **counts,
         ),
     }
+    if not preview:
+        return steps
+    shown = {"enrich preview": show_enriched, "alerts preview": show_alerts}
+    order = ("enrich", "enrich preview", "alerts", "alerts preview", "counts")
+    return {name: (steps | shown)[name] for name in order}
 
 
 def _from(steps: Mapping[str, Starter], first: str | None) -> dict[str, Starter]:

@@ -304,6 +304,8 @@ def test_chain_drains_step_by_step_and_from_a_later_one(spark, topics, folder):
     _send(spark, topics["raw"], _event(1), _event(2, speed=100, gear=3), "not json")
     steps = _steps(spark, topics, folder, trigger=DRAIN)
     assert tuple(steps) == STEPS
+    shown = _steps(spark, topics, folder, trigger=DRAIN, preview=True)
+    assert [n for n in shown if n in STEPS] == list(STEPS) and len(shown) == 5
     drain(steps)
     rows = SnapshotTable(f"{folder}/w").read(spark).collect()
     assert {(r["num_of_rows"], r["num_of_black"]) for r in rows} == {(1, 1)}
