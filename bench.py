@@ -39,7 +39,8 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 BATCH = [
     "decoded_messages", "encoded_messages", "enriched", "enriched_by_size", "enriched_salted",
-    "enriched_with_hot_keys", "one_event_per_car", "repeated_cars", "alerts", "alert_windows", "alert_windows_direct",
+    "enriched_with_hot_keys", "one_event_per_car", "repeated_cars", "alerts", "alert_windows",
+    "alert_windows_direct",
     "message_windows", "latest_window", "latest_closed_window",
 ]
 STREAMS = [
@@ -91,7 +92,9 @@ def state_rows(spark: SparkSession) -> dict[str, int]:
         query.awaitTermination()
         kept[mode] = query.lastProgress["stateOperators"][0]["numRowsTotal"]
     table = SnapshotTable(f"{folder}/panes")
-    start_pane_counts(topic.stream(spark), table, f"{folder}/c-panes", trigger=drain).awaitTermination()
+    start_pane_counts(
+        topic.stream(spark), table, f"{folder}/c-panes", trigger=drain
+    ).awaitTermination()
     return kept | {"panes": 0, "panes_stored": table.read(spark).count()}
 
 

@@ -19,17 +19,17 @@ from .dimensions import (
     write_dimension,
     write_fixed_dimensions,
 )
-from .enrich import attach_profile, choose_lookup, enrich, frequent_keys
+from .enrich import attach_profile, enrich, fits_broadcast, frequent_keys
 
 __all__ = [
     "DuplicateKeysError",
     "alerts",
     "attach_profile",
     "car_profile",
-    "choose_lookup",
     "combine_panes",
     "duplicate_keys",
     "enrich",
+    "fits_broadcast",
     "frequent_keys",
     "latest_closed_window",
     "latest_window",

@@ -12,18 +12,17 @@ from ..functions.columns import expected_gear
 from ..schemas import ENRICHED_EVENT, SPEED_PER_GEAR
 from .dimensions import car_profile
 
-LOOKUPS = ("auto", "measured", "broadcast", "salted")
+LOOKUPS = ("auto", "measured", "salted")
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
 SALTS_FOR_ALL = 16
 SALTS_FOR_HOT = 256
 
 
-def choose_lookup(profile: DataFrame, limit: int = BROADCAST_BYTES) -> str:
-    """Measure the profile and say how to join it: broadcast up to ``limit`` bytes, else salted.
+def fits_broadcast(profile: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Measure whether a table stays within ``limit`` bytes when broadcast.
 
-    One aggregate over the dimension side; the events are not touched. Meant for
-    streams, whose plans are not adapted at run time.
+    One aggregate over the dimension side; the events are not touched.
     """
     width = F.lit(ROW_OVERHEAD)
     for field in profile.schema.fields:
@@ -31,7 +30,7 @@ def choose_lookup(profile: DataFrame, limit: int = BROADCAST_BYTES) -> str:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
     size = profile.agg(F.sum(width.cast("long"))).first()[0] or 0
-    return "broadcast" if size <= limit else "salted"
+    return size <= limit
 
 
 def frequent_keys(events: DataFrame, key: str = "car_id", n: int = 1000) -> list:
@@ -56,9 +55,9 @@ def attach_profile(
     """Left-join a table that has one row per key; every event comes out exactly once.
 
     ``auto`` leaves the choice to Spark: by estimated size, and in batch with
-    skewed partitions split at run time. ``broadcast`` asks for a broadcast, for
-    tables of known size. ``measured`` broadcasts what ``choose_lookup`` finds
-    small enough and salts the rest.
+    skewed partitions split at run time. ``measured`` broadcasts a table that
+    ``fits_broadcast`` and salts the join with any other; streams use it, whose
+    plans are not adapted at run time.
 
     ``salted`` shuffles both sides on key and salt. Events of hot keys and those
     without a key are spread over ``salts`` salts; the profile rows of hot keys
@@ -68,11 +67,9 @@ def attach_profile(
     """
     if lookup not in LOOKUPS:
         raise ValueError(f"lookup must be one of {LOOKUPS}, not {lookup!r}")
-    if lookup == "measured":
-        lookup = choose_lookup(profile)
     if lookup == "auto":
         return events.join(profile, key, "left")
-    if lookup == "broadcast":
+    if lookup == "measured" and fits_broadcast(profile):
         return events.join(F.broadcast(profile), key, "left")
 
     salts = salts or (SALTS_FOR_ALL if hot_keys is None else SALTS_FOR_HOT)

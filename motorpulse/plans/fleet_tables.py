@@ -49,7 +49,8 @@ def _time() -> Column:
 def _parsed(events: DataFrame) -> DataFrame:
     """Events with the number ``k`` of their properties, parsed once."""
     props = F.from_json("props", "k int")
-    return events.select("event_id", "ts", "user_id", "event_type", "value", F.inline(F.array(props)))
+    kept = ("event_id", "ts", "user_id", "event_type", "value")
+    return events.select(*kept, F.inline(F.array(props)))
 
 
 def _telemetry(event_time: Column) -> list[Column]:

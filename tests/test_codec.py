@@ -43,7 +43,8 @@ def test_decode(spark, value, expected):
 
 
 def test_decode_reads_bytes_and_keeps_the_envelope(spark):
-    df = spark.createDataFrame([("t", bytearray("{\"event_id\":\"ä\"}".encode()))], "topic string, value binary")
+    value = bytearray('{"event_id":"ä"}'.encode())
+    df = spark.createDataFrame([("t", value)], "topic string, value binary")
     row = decode(df, RAW_EVENT, envelope=["topic"]).first()
     assert (row["topic"], row["event_id"]) == ("t", "ä")
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 
 import pytest
 
@@ -10,9 +11,9 @@ from motorpulse.operators import (
     alerts,
     attach_profile,
     car_profile,
-    choose_lookup,
     duplicate_keys,
     enrich,
+    fits_broadcast,
     frequent_keys,
     load_profile,
     one_row_per_key,
@@ -120,7 +121,7 @@ def test_profile_of_stored_dimensions(spark, paths):
     }
 
 
-@pytest.mark.parametrize("lookup", ["auto", "measured", "broadcast", "salted"])
+@pytest.mark.parametrize("lookup", ["auto", "measured", "salted"])
 def test_enrich_keeps_every_event_once(spark, paths, lookup):
     cars, models, colors = (spark.read.parquet(p) for p in paths)
     models = models.toDF("model_id", "brand_name", "model_name")
@@ -184,11 +185,24 @@ def test_frequent_keys(spark):
     assert frequent_keys(df.limit(0)) == []
 
 
-def test_lookup_follows_the_measured_size(spark):
+def test_broadcast_follows_the_measured_size(spark):
     profile = spark.createDataFrame([(1, "x" * 100)], "car_id int, name string")
-    assert choose_lookup(profile) == "broadcast"
-    assert choose_lookup(profile, limit=100) == "salted"
-    assert choose_lookup(profile.limit(0), limit=100) == "broadcast"
+    assert fits_broadcast(profile)
+    assert not fits_broadcast(profile, limit=100)
+    assert fits_broadcast(profile.limit(0), limit=100)
+
+
+def test_too_large_a_profile_is_not_broadcast(spark, monkeypatch):
+    profile = spark.createDataFrame([(1, "x")], "car_id int, name string")
+    events = spark.createDataFrame([(1,), (None,)], "car_id int")
+    module = sys.modules["motorpulse.operators.enrich"]
+    for fits, join in ((True, "BroadcastHashJoin"), (False, "SortMergeJoin")):
+        monkeypatch.setattr(module, "fits_broadcast", lambda _, fits=fits: fits)
+        joined = attach_profile(events, profile, lookup="measured")
+        assert join in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, joined.collect())) == sorted(
+            ["Row(car_id=1, name='x')", "Row(car_id=None, name=None)"]
+        )
 
 
 def test_wrong_arguments_are_refused(spark):

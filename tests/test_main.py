@@ -28,7 +28,9 @@ def _send(spark, folder, topic, **fields):
     FileTopic(f"{folder}/topics/{topic}", topic).append(df)
 
 
-@pytest.mark.parametrize("extra", [[], ["--refresh"], ["--mode", "update", "--preview"], ["--only-latest"]])
+@pytest.mark.parametrize(
+    "extra", [[], ["--refresh"], ["--mode", "update", "--preview"], ["--only-latest"]]
+)
 def test_files_are_drained_to_counts(spark, folder, dims, extra):
     _send(spark, folder, "sensors-sample", car_id=100, speed=130, gear=4, rpm=1)
     _send(spark, folder, "sensors-sample", car_id=100, speed=100, gear=3, rpm=1)

@@ -272,9 +272,10 @@ def test_snapshots_are_replaced_read_back_and_pruned(spark, folder):
 def test_writers_share_one_batch(spark, topics, folder):
     _send(spark, topics["raw"], "a", "b")
     seen = []
+    note = lambda name: lambda batch, i: seen.append((name, i, batch.count()))
     start_writers(
         topics["raw"].stream(spark),
-        [lambda b, i: seen.append(("x", i, b.count())), lambda b, i: seen.append(("y", i, b.count()))],
+        [note("x"), note("y")],
         f"{folder}/c",
         trigger=DRAIN,
     ).awaitTermination()
