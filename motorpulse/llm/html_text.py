@@ -24,6 +24,8 @@ from .shared import slices
 LEAST_ARTICLES = 10
 #: ... and this share of all of them.
 LEAST_SHARE = 0.5
+#: Parts into which the pages of every host are dealt.
+SALTS = 64
 
 # Elements of the HTML standard by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -240,13 +242,15 @@ def _templates(parsed: DataFrame) -> DataFrame:
     No host has more of them than twice the subtrees of its average page, as each is in
     half of the host's articles at least.
     """
+    subtrees = F.array_distinct(F.flatten("blocks.around"))
+    whole = F.array(F.lit(None).cast("long"))  # stands for the article, to count them all
     seen = parsed.where("host IS NOT NULL").select(
-        "host", "article", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("subtree")
+        "host", "article", F.explode(F.concat(whole, subtrees)).alias("subtree")
     )
     counts = seen.distinct().groupBy("host", "subtree").agg(F.count("*").alias("articles"))
-    totals = parsed.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("all"))
-    many = counts.where(F.col("articles") >= LEAST_ARTICLES).join(totals, "host")
-    many = many.where(F.col("articles") >= LEAST_SHARE * F.col("all"))
+    totals = counts.where("subtree IS NULL").select("host", F.col("articles").alias("all"))
+    many = counts.where((F.col("articles") >= LEAST_ARTICLES) & F.col("subtree").isNotNull())
+    many = many.join(totals, "host").where(F.col("articles") >= LEAST_SHARE * F.col("all"))
     return many.groupBy("host").agg(F.collect_set("subtree").alias("recurring"))
 
 
@@ -265,7 +269,11 @@ def extract(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")
     )
     parsed = _parsed(rows)
-    cleaned = parsed.join(_templates(parsed), "host", "left")
+    # The pages of a host meet its templates in several tasks; a host's templates are few.
+    salt = F.pmod(F.xxhash64("article", "page_id", "url"), F.lit(SALTS))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    templates = _templates(parsed).withColumn("salt", salts)
+    cleaned = parsed.withColumn("salt", salt).join(templates, ["host", "salt"], "left")
     left = F.filter(
         "blocks",
         lambda b: F.col("recurring").isNull() | ~F.arrays_overlap(b["around"], F.col("recurring")),
