@@ -58,6 +58,8 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select", "datalist"}),
 }
+#: Elements that hold a whole article and are never template themselves.
+WHOLES = frozenset("html body main article".split())
 INLINE_BORDER = {"td", "th", "table", "button", "object"}
 
 TAG = re.compile(
@@ -162,7 +164,7 @@ class Page:
         if tag in ("article", "main"):
             self._places.append("article" if "article" in self._places else tag)
         number = -2
-        if tag in BLOCKS:
+        if tag in BLOCKS and tag not in WHOLES:
             number = len(self.hashes)
             self.hashes.append(0)
         self._open.append((tag, number, []))
