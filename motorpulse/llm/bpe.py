@@ -378,7 +378,8 @@ def decode(
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
                 lists = batch.column(position)
-                numbers = lists.flatten().to_pylist()
+                flat = lists.flatten()
+                numbers = flat.to_pylist() if flat.null_count else flat.to_numpy().tolist()
                 counts = pa.compute.list_value_length(lists).fill_null(0).to_pylist()
                 texts, at = [], 0
                 for n in counts:
