@@ -213,13 +213,21 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         for batch in slices(batches, 0):
             made = [features(t) for t in batch.column(0).to_pylist()]
             columns = pa.array([c.astype(np.int32).tobytes() for c, _ in made], pa.binary())
-            values = pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([columns, values, batch.column(1)], ["c", "v", "grade"])
+            # Words all have the same value, only the others' are sent.
+            others = [v[c >= BUCKETS].astype(np.float32).tobytes() for c, v in made]
+            yield pa.RecordBatch.from_arrays(
+                [columns, pa.array(others, pa.binary()), batch.column(1)], ["c", "v", "grade"]
+            )
 
     rows = sample(docs, labels, doc_id, text).mapInArrow(task, "c binary, v binary, grade int")
     # In one order, however the tasks ran, so that a rerun fits the same numbers.
-    found = sorted((bytes(r["c"]), bytes(r["v"]), r["grade"]) for r in rows.toLocalIterator())
-    return fit([(np.frombuffer(c, np.int32), np.frombuffer(v, np.float32), g) for c, v, g in found])
+    found = sorted((bytes(r["c"]), bytes(r["v"]), r["grade"]) for r in rows.collect())
+    read = []
+    for c, v, g in found:
+        columns, others = np.frombuffer(c, np.int32), np.frombuffer(v, np.float32)
+        words = np.full(len(columns) - len(others), WORD_VALUE, np.float32)
+        read.append((columns, np.concatenate([words, others]), g))
+    return fit(read)
 
 
 def rate(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
