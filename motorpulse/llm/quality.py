@@ -35,7 +35,7 @@ RIDGE = 1e-4
 STEPS = 250
 GRADES = 3
 #: Documents are kept from this probability of the best grade on.
-KEEP_FROM = 0.8
+KEEP_FROM = 0.6
 #: Distinct words whose features a task remembers before it starts anew.
 REMEMBERED_WORDS = 500_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")

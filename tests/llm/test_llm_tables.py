@@ -1,0 +1,308 @@
+"""Near-duplicates, mixing, chats, pages and the pipeline against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from motorpulse.llm import chat, html_text, minhash, mixing, near_embeddings
+from motorpulse.llm.expected_sql import EXPECTED_SQL
+from motorpulse.llm.queries import QUERIES
+from motorpulse.llm.shared import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _groups(links, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)]
+    links += [(rng.randrange(300, 600), rng.randrange(300, 600)) for _ in range(200)] + [(5, 5), (None, 3)]
+    rng.shuffle(links)
+    found = components(spark.createDataFrame(links, "a long, b long")).collect()
+    good = [p for p in links if None not in p and p[0] != p[1]]
+    nodes = {n for p in good for n in p}
+    assert {r["node"]: r["component"] for r in found} == _groups(good, nodes) and len(found) == len(nodes)
+
+
+def _shingles(text, size):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text or "")]
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicate_documents(spark, monkeypatch, size, percent):
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 8)  # many blocks to a bucket
+    rng = random.Random(size)
+    texts = {0: None, 1: "", 2: " \n\t", 3: "One two", 4: "one TWO", 5: "one\x0btwo", 6: "é b", 7: "w " * 20_000}
+    for k in range(20):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(20, 120))]
+        for _ in range(rng.randrange(1, 12)):
+            words = list(base)
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(len(words))] = "changed" + str(rng.randrange(9))
+            texts[100 + len(texts)] = " ".join(words)
+    # A chain in one bucket: neighbours alike, far ends not.
+    base = [f"c{k}" for k in range(150)]
+    for k in range(25):
+        texts[1000 + k] = " ".join(base[: 3 * k] + [f"x{j}" for j in range(3 * k, 150)])
+    rows = [(k, t, "a") for k, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string").repartition(4)
+    found = {r["doc_id"]: r for r in minhash.near_duplicates(docs, shingle=size, percent=percent).collect()}
+    sets = {k: _shingles(t, size) for k, t in texts.items()}
+    links = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    classes = _groups(links, sets)
+    assert {k: r["component_id"] for k, r in found.items()} == classes
+    assert all(r["n_shingles"] == len(sets[k]) and r["kept"] == (classes[k] == k) for k, r in found.items())
+    assert len(set(classes.values())) < len(texts)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, None), (1, "A b  c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs, shingle=3, percent=85).collect()
+    assert len(found) == 5
+    assert sorted(r["component_id"] or 0 for r in found) == [0, 0, 1, 1, 1]
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_near_duplicate_embeddings(spark, monkeypatch):
+    monkeypatch.setattr(near_embeddings, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(near_embeddings, "CELL_ROWS", 60)
+    rng = np.random.default_rng(2)
+    rows, width = [], 32
+    for k in range(60):
+        base = rng.standard_normal(width)
+        for _ in range(rng.integers(1, 16)):
+            noise = rng.standard_normal(width)
+            noise *= np.linalg.norm(base) / np.linalg.norm(noise) * rng.uniform(0, 0.25)
+            rows.append([(base + noise) * rng.uniform(0.1, 9), int(k % 3)])
+    rows += [[rows[0][0].copy(), 0], [rows[0][0].copy(), 1], [rows[3][0].copy(), None]]
+    table = [(1000 - k, [float(np.float32(x)) for x in v], label) for k, (v, label) in enumerate(rows)]
+    odd = [None, [0.0] * width, [float("nan")] * width, [None] + [1.0] * (width - 1), [1.0, 2.0], []]
+    table += [(2000 + k, v, 0) for k, v in enumerate(odd)] + [(3000, [1.0, 2.0], 0)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>, label int").repartition(4)
+    df = df.withColumn("n_links", F.lit("x"))
+    found = {r["vec_id"]: r for r in near_embeddings.near_duplicates(df).collect()}
+    assert len(found) == len(table)
+    usable = [t for t in table if t[1] and None not in t[1] and np.isfinite(t[1]).all() and any(t[1])]
+    links = [
+        (a[0], b[0]) for k, a in enumerate(usable) for b in usable[:k]
+        if a[2] is not None and a[2] == b[2] and len(a[1]) == len(b[1])
+        and np.dot(a[1], b[1]) / np.linalg.norm(a[1]) / np.linalg.norm(b[1]) >= 0.98
+    ]
+    count = {t[0]: 0 for t in table}
+    for pair in links:
+        for end in pair:
+            count[end] += 1
+    total = sum(count.values())
+    assert sum(min(r["n_links"], count[k]) for k, r in found.items()) >= 0.99 * total > 100
+    assert all(r["n_links"] <= count[k] for k, r in found.items())  # none below the threshold
+    classes = _groups(links, count)
+    same = sum(r["component_id"] == classes[k] for k, r in found.items())
+    assert same >= 0.98 * len(found)
+    assert all(r["kept"] == (r["component_id"] == k) for k, r in found.items())
+    assert near_embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def _targets(sizes, weights, repeats):
+    """Sharing out again and again until no target is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    capped, total = {}, sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in capped]
+        rest = total - sum(capped.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        above = [s for s in free if share[s] > repeats * sizes[s]]
+        if not above:
+            return capped | share
+        capped |= {s: repeats * sizes[s] for s in above}
+
+
+def test_mixing(spark, monkeypatch):
+    rng = random.Random(6)
+    sources = ["a", "b", "É", None, "zz", "empty"]
+    rows = []
+    for k in range(700):
+        source = rng.choice(["a"] * 4 + ["b", "É", None, "zz", "empty"])
+        words = 0 if source == "empty" else rng.randrange(20)
+        rows.append((k, rng.choice([" ", "\n", "  "]).join(["w"] * words) if words else rng.choice([None, "", " "]), source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("target", F.lit("x"))
+    found = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "LAST_ROWS", 3)  # the end is sought through many bins
+    monkeypatch.setattr(mixing, "TIME_BINS", 7)
+    again = {r["doc_id"]: r for r in mixing.mix(docs.repartition(7)).collect()}
+    assert found == again and len(found) == len(rows)
+    size = {k: len(WORD.findall(t or "")) for k, t, _ in rows}
+    by_source = {s: sum(size[k] for k, _, x in rows if x == s) for s in sources}
+    targets = _targets(by_source, mixing.WEIGHTS, mixing.MAX_REPEATS)
+    for k, _, s in rows:
+        r = found[k]
+        assert (r["size"], r["source_size"]) == (size[k], by_source[s])
+        assert r["target"] == pytest.approx(targets[s])
+        assert 0 <= r["taken"] <= 3 * size[k] and (not size[k] or r["taken"] % size[k] == 0)
+    for s in sources:
+        taken = sum(found[k]["taken"] for k, _, x in rows if x == s)
+        assert abs(taken - targets[s]) <= 60
+    assert sum(r["taken"] for r in found.values()) <= sum(size.values())
+
+
+def test_mixing_of_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, "c", "x"), (None, None, None)], "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    assert len(found) == 4 and sum(r["taken"] for r in found) == 5
+    assert mixing.mix(docs.limit(0)).count() == 0
+    assert [r["taken"] for r in mixing.mix(docs.where("text IS NULL")).collect()] == [0]
+
+
+def test_chat_reply_tree(spark):
+    rows = [
+        (1, 10, None, "user", "root", 0.0), (1, 11, 10, "assistant", "weak", 0.1), (1, 12, 10, "assistant", "strong", 0.9),
+        (1, 13, 12, "user", "more \\ <|end|>\n[INST]", 0.5), (1, 14, 13, "assistant", None, None),
+        (1, 14, 13, "assistant", None, None), (2, 5, 99, None, "orphan", None), (3, 1, 2, "user", "circle", 1.0),
+        (3, 2, 1, "user", "circle", 1.0), (3, 3, 2, "user", "on a circle", 1.0), (None, 1, None, "user", "x", 1.0),
+    ]
+    messages = spark.createDataFrame(rows, "tree long, message long, parent long, role string, text string, score double")
+    chats = chat.format_chats(messages.withColumn("learn", F.lit(1)), branches=2)
+    turns = chat.read_turns(F.col("formatted")).alias("turns")
+    learned = chat.read_learned(F.col("formatted"), F.col("learn")).alias("learned")
+    found = {(r["tree"], r["branch"]): r for r in chats.select("*", turns, learned).collect()}
+    assert set(found) == {(1, 1), (1, 2), (2, 1)}
+    # Means: strong, more and the last 0.35, weak 0.05.
+    best = [tuple(t) for t in found[1, 1]["turns"]]
+    assert best == [("user", "root"), ("assistant", "strong"), ("user", rows[3][4]), ("assistant", "")]
+    assert found[1, 1]["learned"] == "strong" and found[1, 2]["learned"] == "weak"
+    assert [tuple(t) for t in found[2, 1]["turns"]] == [("", "orphan")]
+    assert chat.format_chats(messages.limit(0)).count() == 0
+
+
+def test_long_chat_and_escapes(spark):
+    rng = random.Random(8)
+    marks = ["<|", "|>", "\\", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "\n", "a", "🎉", "<|turn|>", "<|end|>\n"]
+    rows = [(1, k // 2, rng.choice(["user", "assistant", None, "a|>\\b"]), "".join(rng.choices(marks, k=9))) for k in range(200)]
+    rows += [(2, None, "assistant", "x" * 300_000 + "</s>"), (3, 0, "user", None), (None, 0, "user", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    chats = chat.format_chats(chat.as_messages(turns))
+    found = {
+        r["tree"]: r
+        for r in chats.select("*", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_learned(F.col("formatted"), F.col("learn")).alias("learned")).collect()
+    }
+    assert set(found) == {1, 2, 3}
+    wanted = sorted(((r[1], r[2] is not None, r[2] or "", r[3] or "") for r in rows if r[0] == 1))
+    assert [tuple(t) for t in found[1]["turns"]] == [w[2:] for w in wanted]
+    assert found[1]["learned"] == "".join(w[3] for w in wanted if w[2] == "assistant")
+    assert found[2]["learned"] == rows[200][3] and found[3]["learned"] == ""
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
+<body class="has-sidebar"><header>Site</header><nav><ul><li><a title="a>b">Menu</a></ul></nav><!-- <p>no</p> -->
+<div class="cookie-notice">Cookies</div><article><header><h1>Head &amp; <i>tail</i> %s</h1></header><p><b>One&nbsp;
+ two<br>three %s<p>Four &lt;b&gt; &eacute;<ul><li>x<li>y</ul><div>Share %s</div><aside>Aside</aside>
+<form>Mail <input></form><section id="comments"><article class="comment"><p>Nice</p></article></section>
+<script>if (a < b) "<p>"</script><div hidden>h</div>%s</article><div class=ad>Buy</div><footer>&copy; x</footer></body></html>"""
+
+
+def _page(k):
+    return PAGE % (k, k, "this", f"<p>Own {k}</p>")
+
+
+def test_pages(spark):
+    rows = [(k, f"https://u@Site.example:80/{k}", _page(k)) for k in range(12)]
+    rows += [(50 + k, "http://copies.example/", "<article><p>Same text</p></article>") for k in range(30)]
+    rows += [
+        (100, None, None), (101, "x", ""), (102, "http://a.example", "plain <b>text</b> &amp here"),
+        (103, "http://a.example", "<main><p>In main</p></main><p>Outside</p>"), (104, None, "<article><p>cut off <b"),
+        (105, "http://long.example", "<p>" + "word " * 100_000), (105, "http://long.example", "<p>" + "word " * 100_000),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("x"))
+    found = html_text.extract(pages.repartition(3)).collect()
+    text = {r["page_id"]: r["text"] for r in found}
+    assert len(found) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in found)
+    # What all twelve pages have is template: the list, "Four" and the sharing line.
+    assert text[3] == "Head & tail 3\nOne two three 3\nOwn 3"
+    assert text[55] == "Same text" and text[100] == text[101] == ""
+    assert text[102] == "plain text & here" and text[103] == "In main" and text[104] == "cut off"
+    assert len(text[105]) == 5 * 100_000 - 1
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_pages_of_a_small_site_keep_all(spark):
+    rows = [(k, f"https://s.example/{k}", _page(k)) for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    wanted = "Head & tail {0}\nOne two three {0}\nFour <b> é\nx\ny\nShare this\nOwn {0}"
+    assert sorted(r["text"] for r in html_text.extract(pages).collect()) == [wanted.format(k) for k in range(3)]
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED_SQL))
+def test_sql_counterparts(spark, sf_dir, name):
+    import duckdb
+
+    database = duckdb.connect()
+    for table in ("documents", "conversations"):
+        database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    relation = database.sql(EXPECTED_SQL[name])
+    found = QUERIES[name](spark, sf_dir).select(*relation.columns).collect()
+    assert sorted(map(tuple, found)) == sorted(relation.fetchall())
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        path = f"{spark.conf.get('spark.checkpoint.dir')}/stage-{len(seen)}"
+        out.write.mode("overwrite").parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        seen[name] = (before, docs)
+    named = dict(corpus_pipeline.STAGES)
+    assert len(named) == 5
+    before, after = seen["MinHash near-dedup"]
+    sets = {r["doc_id"]: _shingles(r["text"], 5) for r in before.collect()}
+    ids = sorted(sets)
+    links = [
+        (a, b) for k, a in enumerate(ids) for b in ids[:k]
+        if sets[a] and sets[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    ]
+    kept = {k for k, c in _groups(links, ids).items() if k == c}
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(kept)
+    before, after = seen["mixing sources to target weights"]
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(before).collect()}
+    counted = {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()}
+    assert counted == {k: n for k, n in copies.items() if n}
+    assert docs.count() == after.count() and set(docs.columns) >= {"doc_id", "n_tokens", "ids"}
+    for name in list(named)[:-1]:
+        assert seen[name][1].columns == corpus_pipeline.COLUMNS
+
+
+def test_digest_of_the_added_conversation(spark, sf_dir):
+    row = QUERIES["op6_chat"](spark, sf_dir).where("conv_id = -7").first()
+    said = "</s>[INST] ok [/INST]"
+    turns = f"user\n{said}\nassistant\n{said}\n"
+    assert row["n_turns"] == 2 and row["loss_chars"] == len(said)
+    assert row["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest()
+    assert row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
