@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.enrich import LOOKUPS
 from .operators.dimensions import load_profile, preview, write_fixed_dimensions
 from .schemas import (
     ALERT_TOPIC,
@@ -37,7 +38,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--enriched", default=ENRICHED_TOPIC)
     run.add_argument("--alerts", default=ALERT_TOPIC)
     run.add_argument("--counted", default=COUNTER_TOPICS, help="topics the counter reads")
-    run.add_argument("--starting", default="latest", help="where to start in a topic")
+    run.add_argument("--starting", default="latest", help="where to start in the raw topic")
     run.add_argument("--per-trigger", help="most messages, or files, per micro-batch")
     run.add_argument("--from-step", choices=STEPS)
     run.add_argument("--drain", action="store_true", help="one step after the other, then end")
@@ -49,11 +50,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         help="output mode of the counts; panes stores counts per minute and keeps no state",
     )
     run.add_argument("--only-latest", action="store_true", help="keep only the latest window")
-    run.add_argument("--preview", action="store_true", help="show events on the console")
+    run.add_argument("--preview", action="store_true", help="show events and the latest window")
+    run.add_argument("--lookup", choices=LOOKUPS, default="auto", help="how cars are looked up")
+    run.add_argument("--hot-cars", help="comma-separated ids of cars with very many events")
+    run.add_argument("--on-malformed", choices=("keep", "drop"), default="keep")
     run.add_argument("--every", default=REFRESH_EVERY, help="refresh of the counts")
     args = parser.parse_args(argv)
     if args.command == "run" and args.mode == "panes" and args.only_latest:
         parser.error("--only-latest keeps a window, and --mode panes stores none")
+    if args.command == "run" and args.servers and args.drain and args.starting == "latest":
+        parser.error("--drain from the latest offsets would read nothing; say --starting earliest")
     return args
 
 
@@ -62,11 +68,14 @@ def _topics(args: argparse.Namespace) -> dict:
     names = {"raw": args.raw, "enriched": args.enriched, "alert": args.alerts}
     if args.servers:
         limit = {"maxOffsetsPerTrigger": args.per_trigger} if args.per_trigger else {}
-        options = {"starting": args.starting, "options": limit}
-        made = {k: KafkaTopic(args.servers, n, **options) for k, n in names.items()}
+        # What the chain itself writes is read from its beginning, or a step that starts
+        # after the one before it would miss that one's first messages.
+        own = {"starting": "earliest", "options": limit}
+        raw = {"starting": args.starting, "options": limit}
+        made = {k: KafkaTopic(args.servers, n, **(raw if k == "raw" else own)) for k, n in names.items()}
         # A pattern takes those of the topics that exist, also if they appear later.
         pattern = "|".join(n.replace(".", r"\.") for n in counted)
-        return made | {"counter_input": KafkaTopic(args.servers, pattern, pattern=True, **options)}
+        return made | {"counter_input": KafkaTopic(args.servers, pattern, pattern=True, **own)}
     limit = {"maxFilesPerTrigger": args.per_trigger} if args.per_trigger else {}
     make = lambda name: FileTopic(f"{args.files}/{name}", name, options=limit)
     made = {k: make(n) for k, n in names.items()}
@@ -85,13 +94,18 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
     steps = fleet_steps(
         spark,
         **_topics(args),
-        table=SnapshotTable(f"{args.store}/{'panes' if panes else 'windows'}"),
+        table=SnapshotTable(f"{args.store}/{'panes' if panes else f'windows-{args.mode}'}"),
         profile=profile if args.refresh else profile(spark),
         checkpoints=f"{args.store}/checkpoints",
         trigger={"availableNow": True} if args.drain else None,
         counter_trigger=counts_every,
         panes=panes,
         preview=args.preview,
+        enrichment={
+            "lookup": "salted" if args.hot_cars else args.lookup,
+            "hot_keys": [int(c) for c in split_topics(args.hot_cars)] if args.hot_cars else None,
+            "on_malformed": args.on_malformed,
+        },
         **how,
     )
     if args.drain:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import timedelta
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +56,25 @@ def _bounds(df: DataFrame) -> DataFrame:
     )
 
 
+def duration(text: str) -> timedelta:
+    """An interval of fixed length as Spark writes it, e.g. ``15 minutes`` or ``interval 1 hour``."""
+    parts = re.findall(r"(\d+(?:\.\d+)?)\s*([a-z]+)", text.lower().removeprefix("interval"))
+    units = {f"{name}s": {f"{name}s": 1} for name in ("week", "day", "hour", "minute", "second")}
+    units |= {"milliseconds": {"milliseconds": 1}, "microseconds": {"microseconds": 1}}
+    total = timedelta()
+    for number, unit in parts:
+        known = units.get(unit if unit.endswith("s") else f"{unit}s")
+        if known is None:
+            raise ValueError(f"no fixed length of time: {text!r}")
+        total += float(number) * timedelta(**known)
+    if not total:
+        raise ValueError(f"no length of time: {text!r}")
+    return total
+
+
 def slides_per_window(length: str, slide: str) -> int:
     """How many slides a window spans; the slide has to divide the length."""
-    whole, rest = divmod(pd.Timedelta(length), pd.Timedelta(slide))
+    whole, rest = divmod(duration(length), duration(slide))
     if rest or not whole:
         raise ValueError(f"slide {slide!r} does not divide length {length!r}")
     return whole
@@ -106,7 +123,7 @@ def window_counts(
     mode ``panes`` may be asked for.
     """
     if method is None:
-        divides = not pd.Timedelta(length) % pd.Timedelta(slide)
+        divides = not duration(length) % duration(slide)
         method = "panes" if divides and not df.isStreaming else "direct"
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")

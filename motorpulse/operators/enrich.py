@@ -15,8 +15,6 @@ from .dimensions import car_profile
 LOOKUPS = ("auto", "measured", "salted")
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
-SALTS_FOR_ALL = 16
-SALTS_FOR_HOT = 256
 
 
 def fits_broadcast(profile: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -54,16 +52,16 @@ def attach_profile(
 ) -> DataFrame:
     """Left-join a table that has one row per key; every event comes out exactly once.
 
-    ``auto`` leaves the choice to Spark: by estimated size, and in batch with
-    skewed partitions split at run time. ``measured`` broadcasts a table that
-    ``fits_broadcast`` and salts the join with any other; streams use it, whose
-    plans are not adapted at run time.
+    ``auto`` leaves the choice to Spark: by estimated and measured size, with skewed
+    partitions split at run time, in batch and in streams without state.
+    ``measured`` broadcasts a table that ``fits_broadcast`` and salts the join with
+    any other.
 
     ``salted`` shuffles both sides on key and salt. Events of hot keys and those
-    without a key are spread over ``salts`` salts; the profile rows of hot keys
-    are copied to each of them. Other keys stay whole. ``hot_keys`` come from
-    ``frequent_keys`` or from what is known of the fleet; without them every key
-    counts as hot, which needs no knowledge but copies the whole profile.
+    without a key are spread over ``salts`` salts, the width of the shuffle unless
+    told; the profile rows of hot keys are copied to each of them. Other keys stay
+    whole. ``hot_keys`` come from ``frequent_keys`` of an earlier run or from what is
+    known of the fleet; without them only events without a key are spread.
     """
     if lookup not in LOOKUPS:
         raise ValueError(f"lookup must be one of {LOOKUPS}, not {lookup!r}")
@@ -72,20 +70,15 @@ def attach_profile(
     if lookup == "measured" and fits_broadcast(profile):
         return events.join(F.broadcast(profile), key, "left")
 
-    salts = salts or (SALTS_FOR_ALL if hot_keys is None else SALTS_FOR_HOT)
-    hot = F.lit(True) if hot_keys is None else F.col(key).isin(list(hot_keys))
+    salts = salts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.col(key).isin(list(hot_keys)) if hot_keys else F.lit(False)
     # The partition id separates copies of one message, which hash alike. It does
     # not depend on row order, so a recomputed task gives the same salts.
     spread = F.pmod(F.xxhash64(*events.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     salt = F.when(F.col(key).isNull() | hot, spread).otherwise(0)
     every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = profile.where(F.col(key).isNotNull()).withColumn("salt", F.explode(every))
-    # Without copies a task's hash table is an even share of the profile and spares
-    # sorting the events; with the whole profile copied, the join has to spill.
-    join = "merge" if hot_keys is None else "shuffle_hash"
-    return (
-        events.withColumn("salt", salt).join(copies.hint(join), [key, "salt"], "left").drop("salt")
-    )
+    return events.withColumn("salt", salt).join(copies, [key, "salt"], "left").drop("salt")
 
 
 def enrich(

@@ -37,13 +37,15 @@ mixed as (
          case when event_type <> 'error' then gear end as gear
   from tel
 ),
-cars as (
+all_cars as (
   select cast(c_custkey as int) as car_id,
          cast(c_custkey + 100000000 as int) as driver_id,
          c_nationkey as model_id,
-         cast(c_custkey % 5 as int) as color_id
-  from customer where c_acctbal >= 0
+         cast(c_custkey % 5 as int) as color_id,
+         c_acctbal
+  from customer
 ),
+cars as (select car_id, driver_id, model_id, color_id from all_cars where c_acctbal >= 0),
 models as (
   select n_nationkey as model_id, 'BRAND_' || n_regionkey as brand_name, n_name as model_name
   from nation where n_nationkey < 20
@@ -86,7 +88,7 @@ where window_end <= (select max(ts) - interval 20 minute from al)
 """
 
 _BODIES: dict[str, str] = {
-    "dimension_scan": "select * from cars",
+    "dimension_scan": "select * exclude (c_acctbal) from all_cars",
     "topic_union": """
         select 'anomaly-alerts' as topic, event_id, car_id from tel where event_type = 'error'
         union all
@@ -94,13 +96,13 @@ _BODIES: dict[str, str] = {
     """,
     "literal_colors": """
         select color_name, count(*) as cars
-        from cars left join (values (1, 'Black'), (2, 'Red'), (3, 'Gray'), (4, 'White'),
+        from all_cars as cars left join (values (1, 'Black'), (2, 'Red'), (3, 'Gray'), (4, 'White'),
                                     (5, 'Green'), (6, 'Blue'), (7, 'Pink')) as c(id, color_name)
           on c.id = cars.car_id % 7 + 1
         group by 1
     """,
-    "dimension_written_and_read": "select * from cars",
-    "dimension_preview": "select * from cars order by car_id limit 20",
+    "dimension_written_and_read": "select * exclude (c_acctbal) from all_cars",
+    "dimension_preview": "select * exclude (c_acctbal) from all_cars order by car_id limit 20",
     "distinct_cars": "select distinct car_id from tel",
     "pruned_columns": "select event_id, car_id, speed from tel",
     "renamed_models": "select n_nationkey as model_id, n_name as model_name from nation",
@@ -225,8 +227,12 @@ _BODIES: dict[str, str] = {
     "streamed_enrichment": f"select {ENRICHED} from en",
     "streamed_refresh": f"""
         select event_id, mixed.event_time, en.car_id, en.speed, en.rpm, en.gear, driver_id,
-               brand_name, model_name, color_name, expected_gear
+               brand_name, model_name, color_name, expected_gear, null as malformed
         from mixed join en using (event_id)
+        union all
+        select null, null, null, null, null, null, null, null, null, null, null,
+               substr('{{"event_id":"' || event_id || '","event_time":"' || strftime(ts, '%Y-%m-%d'), 1, 20)
+        from tel where event_type = 'error'
     """,
     "streamed_alerts": f"select {ENRICHED} from al",
     "streamed_windows_complete": "select * from windows",

@@ -28,6 +28,8 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the star schema. Its times have no zone and are meant as UTC, which is
+    therefore the session's zone from here on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,10 +49,9 @@ def _time() -> Column:
 
 
 def _parsed(events: DataFrame) -> DataFrame:
-    """Events with the number ``k`` of their properties, parsed once."""
-    props = F.from_json("props", "k int")
+    """Events with the number ``k`` of their properties; read and parsed only if asked for."""
     kept = ("event_id", "ts", "user_id", "event_type", "value")
-    return events.select(*kept, F.inline(F.array(props)))
+    return events.select(*kept, F.from_json("props", "k int")["k"].alias("k"))
 
 
 def _telemetry(event_time: Column) -> list[Column]:
@@ -107,17 +108,22 @@ def mixed_messages(events: DataFrame) -> DataFrame:
     return _parsed(events).select(*_in_envelope(cut))
 
 
+def all_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_cars(table(spark, sf_dir, "customer"))
+
+
 def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cars without debt, so that some events meet no car in the joins."""
+    return _as_cars(table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0))
+
+
+def _as_cars(customers: DataFrame) -> DataFrame:
     key = F.col("c_custkey").cast("int")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") >= 0)
-        .select(
-            key.alias("car_id"),
-            (key + 100_000_000).alias("driver_id"),
-            F.col("c_nationkey").alias("model_id"),
-            (key % 5).alias("color_id"),
-        )
+    return customers.select(
+        key.alias("car_id"),
+        (key + 100_000_000).alias("driver_id"),
+        F.col("c_nationkey").alias("model_id"),
+        (key % 5).alias("color_id"),
     )
 
 

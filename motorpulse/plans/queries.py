@@ -73,7 +73,7 @@ def _mixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dimension_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return fleet.cars(spark, sf)
+    return fleet.all_cars(spark, sf)
 
 
 def topic_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +87,7 @@ def topic_union(spark: SparkSession, sf: str) -> DataFrame:
 def literal_colors(spark: SparkSession, sf: str) -> DataFrame:
     """Cars per color of the literal color table."""
     colors = literal_table(spark, COLOR_ROWS, CAR_COLORS)
-    painted = fleet.cars(spark, sf).select((F.col("car_id") % 7 + 1).alias("color_id"))
+    painted = fleet.all_cars(spark, sf).select((F.col("car_id") % 7 + 1).alias("color_id"))
     return painted.join(colors, "color_id", "left").groupBy("color_name").agg(
         F.count(F.lit(1)).alias("cars")
     )
@@ -95,12 +95,12 @@ def literal_colors(spark: SparkSession, sf: str) -> DataFrame:
 
 def dimension_written_and_read(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{_folder(spark)}/cars"
-    write_dimension(fleet.cars(spark, sf), path, "car_id")
+    write_dimension(fleet.all_cars(spark, sf), path, "car_id")
     return spark.read.parquet(path)
 
 
 def dimension_preview(spark: SparkSession, sf: str) -> DataFrame:
-    return preview(fleet.cars(spark, sf), "car_id", rows=20)
+    return preview(fleet.all_cars(spark, sf), "car_id", rows=20)
 
 
 def distinct_cars(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,18 +342,24 @@ def streamed_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def streamed_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """Enrichment that reads its dimensions anew in every micro-batch, malformed set apart."""
+    """Enrichment that reads its dimensions anew in every micro-batch, malformed set apart.
+
+    Returns both outputs: enriched events, and malformed messages with their text alone.
+    """
     folder = _folder(spark)
     topic = FileTopic(f"{folder}/enriched", "enriched")
+    bad = FileTopic(f"{folder}/malformed", "malformed")
     start_enrichment(
         fleet.mixed_messages(fleet.event_stream(spark, sf)),
         lambda session: fleet.profile(session, sf),
         topic,
         f"{folder}/checkpoints/enrich",
-        quarantine=FileTopic(f"{folder}/malformed", "malformed"),
+        quarantine=bad,
         trigger=DRAIN,
     ).awaitTermination()
-    return decode(topic.batch(spark), ENRICHED_EVENT)
+    good = decode(topic.batch(spark), ENRICHED_EVENT).withColumn("malformed", F.lit(None).cast("string"))
+    text = bad.batch(spark).select(F.col("value").cast("string").alias("malformed"))
+    return good.unionByName(text, allowMissingColumns=True)
 
 
 def streamed_alerts(spark: SparkSession, sf: str) -> DataFrame:

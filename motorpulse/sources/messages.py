@@ -69,7 +69,9 @@ class KafkaTopic:
     def writer(self, messages: DataFrame) -> DataStreamWriter:
         return messages.select("value").writeStream.format("kafka").options(**self.sink_options())
 
-    def append(self, messages: DataFrame, batch_id: int | None = None) -> None:
+    def append(
+        self, messages: DataFrame, batch_id: int | None = None, writer: str = "batch"
+    ) -> None:
         """Send one finished batch; a replayed micro-batch is sent again."""
         messages.select("value").write.format("kafka").options(**self.sink_options()).save()
 
@@ -78,8 +80,8 @@ class KafkaTopic:
 class FileTopic:
     """A directory of message files. The broker's time is stamped when they are written.
 
-    A directory is written either by one streaming query (``writer``) or in batches
-    (``append``): once a query has written it, readers see that query's files only.
+    Everything is added batch by batch, whatever writes it, so several jobs may write
+    one topic and a job may change its options between two runs.
     """
 
     path: str
@@ -117,45 +119,49 @@ class FileTopic:
             F.col("value").cast("string"), F.current_timestamp().alias("timestamp")
         )
 
-    def writer(self, messages: DataFrame) -> DataStreamWriter:
-        return (
-            self._stamped(messages)
-            .writeStream.format(self.format)
-            .option("path", self.path)
-        )
-
-    def append(self, messages: DataFrame, batch_id: int | None = None) -> None:
-        """Add one finished batch. With ``batch_id`` a replayed batch is added only once."""
+    def append(
+        self, messages: DataFrame, batch_id: int | None = None, writer: str = "batch"
+    ) -> None:
+        """Add one finished batch. With ``batch_id`` a replay by the same writer adds nothing.
+
+        ``writer`` is the id of a streaming query's checkpoint: a new checkpoint counts
+        its batches from 0 again and must not be taken for a replay.
+        """
+        spark = messages.sparkSession
+        if path_exists(spark, f"{self.path}/_spark_metadata"):
+            raise RuntimeError(f"{self.path} was written by a file sink and shows only its files")
         stamped = self._stamped(messages)
         if batch_id is None:
             stamped.write.format(self.format).mode("append").save(self.path)
             return
-        target = f"{self.path}/batch_id={batch_id}"
-        if not path_exists(messages.sparkSession, f"{target}/_SUCCESS"):
+        target = f"{self.path}/writer={writer}/batch_id={batch_id}"
+        if not path_exists(spark, f"{target}/_SUCCESS"):
             stamped.write.format(self.format).mode("overwrite").save(target)
 
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Several file topics read as one; those missing when a job starts are left out."""
+    """Several file topics read as one. One that comes later is read from then on."""
 
     topics: tuple[FileTopic, ...]
 
     def stream(self, spark: SparkSession) -> DataFrame:
-        return merge_topics([t.stream(spark) for t in available_topics(spark, self.topics)])
+        """All topics, so that a restart finds the same inputs; at least one must exist."""
+        available_topics(spark, self.topics)
+        return merge_topics([t.stream(spark) for t in self.topics])
 
 
 Topic = KafkaTopic | FileTopic
 
 
 def available_topics(spark: SparkSession, topics: Sequence[FileTopic]) -> list[FileTopic]:
-    """Those topics that exist. Warns about the others; fails if there is none."""
+    """Those topics that exist. Warns about the others; fails if none does."""
     found = [t for t in topics if t.exists(spark)]
     missing = [t.name for t in topics if t not in found]
     if not found:
         raise RuntimeError(f"none of the topics exists: {missing}")
     if missing:
-        warnings.warn(f"topics not there and left out: {missing}", stacklevel=2)
+        warnings.warn(f"topics not there yet: {missing}", stacklevel=2)
     return found
 
 

@@ -9,11 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.codec import decode
 from ..operators.alerts import alerts
+from ..operators.counts import latest_window
 from ..operators.enrich import enrich
+from ..plans.telemetry import counted_windows
 from ..schemas import ENRICHED_EVENT, RAW_EVENT
 from ..sources.messages import FileTopics, Topic
 from .jobs import start_alerts, start_enrichment, start_pane_counts, start_window_counts
-from .sinks import Trigger, start_preview
+from .sinks import Trigger, start_console, start_preview
 from .snapshots import SnapshotTable
 
 STEPS = ("enrich", "alerts", "counts")
@@ -34,19 +36,28 @@ def fleet_steps(
     preview: bool = False,
     trigger: Trigger = None,
     counter_trigger: Trigger = None,
+    enrichment: Mapping | None = None,
+    limits: Mapping | None = None,
     **counts,
 ) -> dict[str, Starter]:
     """How to start each step, in order. A step reads its topic only once it is started.
 
     The counter reads ``counter_input``, or the alert topic alone, and stores windows
-    or, if asked to, ``panes``. ``counts`` go to the job that does it. ``preview``
-    also shows enriched events and alerts on the console, by queries of their own.
+    or, if asked to, ``panes``, every minute unless ``counter_trigger`` or ``trigger``
+    says otherwise. ``counts`` go to the job that does it, ``enrichment`` (lookup, hot
+    keys, malformed messages) and ``limits`` of the alerts to theirs. ``preview`` also
+    shows enriched events, alerts and the latest window on the console, by queries of
+    their own.
     """
     start_counts = start_pane_counts if panes else start_window_counts
+    counted = counter_trigger or trigger
+    every = {"trigger": counted} if counted else {}
+    # A checkpoint of its own for every kind of count: states do not fit each other.
+    kind = "panes" if panes else counts.get("mode", "complete")
 
     def show_enriched() -> StreamingQuery:
         cars = profile(spark) if callable(profile) else profile
-        rows = enrich(decode(raw.stream(spark), RAW_EVENT), cars, lookup="measured")
+        rows = enrich(decode(raw.stream(spark), RAW_EVENT), cars, **{k: v for k, v in (enrichment or {}).items() if k in ("lookup", "hot_keys", "salts")})
         return start_preview(rows, trigger=trigger, name="enrich preview")
 
     def show_alerts() -> StreamingQuery:
@@ -55,23 +66,36 @@ def fleet_steps(
 
     steps = {
         "enrich": lambda: start_enrichment(
-            raw.stream(spark), profile, enriched, f"{checkpoints}/enrich", trigger=trigger
+            raw.stream(spark), profile, enriched, f"{checkpoints}/enrich", trigger=trigger,
+            **(enrichment or {}),
         ),
         "alerts": lambda: start_alerts(
-            enriched.stream(spark), alert, f"{checkpoints}/alerts", trigger=trigger
+            enriched.stream(spark), alert, f"{checkpoints}/alerts", trigger=trigger,
+            **(limits or {}),
         ),
         "counts": lambda: start_counts(
             (counter_input or alert).stream(spark),
             table,
-            f"{checkpoints}/counts",
-            trigger=counter_trigger or trigger,
+            f"{checkpoints}/counts-{kind}",
+            **every,
             **counts,
         ),
     }
     if not preview:
         return steps
-    shown = {"enrich preview": show_enriched, "alerts preview": show_alerts}
-    order = ("enrich", "enrich preview", "alerts", "alerts preview", "counts")
+
+    def show_latest() -> StreamingQuery:
+        measures = {k: v for k, v in counts.items() if k in ("counted", "maxima", "length", "slide")}
+        rows = (counter_input or alert).stream(spark)
+        windows = latest_window(counted_windows(rows, **measures))
+        return start_console(windows, f"{checkpoints}/latest-preview", name="latest preview", **every)
+
+    shown = {
+        "enrich preview": show_enriched,
+        "alerts preview": show_alerts,
+        "latest preview": show_latest,
+    }
+    order = ("enrich", "enrich preview", "alerts", "alerts preview", "counts", "latest preview")
     return {name: (steps | shown)[name] for name in order}
 
 
@@ -97,9 +121,13 @@ def start(steps: Mapping[str, Starter], first: str | None = None) -> dict[str, S
 
 
 def wait_for_any(spark: SparkSession, running: Mapping[str, StreamingQuery]) -> None:
-    """Wait until any query ends, then stop the others. A failure is raised."""
+    """Wait until any of these queries ends, then stop the others. A failure is raised.
+
+    Queries of the session that are not among them neither end the wait nor are stopped.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(query.awaitTermination(1) for query in running.values()):
+            pass
     finally:
         for query in running.values():
             query.stop()

@@ -29,7 +29,7 @@ def start_enrichment(
     *,
     on_malformed: str = "keep",
     quarantine: Topic | None = None,
-    lookup: str = "measured",
+    lookup: str = "auto",
     trigger: Trigger = None,
     name: str = "enrich",
     **how,
@@ -40,9 +40,9 @@ def start_enrichment(
     the query. Given as a function it is read anew in every micro-batch.
     ``quarantine`` receives the text of malformed messages instead of the sink.
 
-    Spark does not adapt the plans of a stream, so the profile is measured: once at
-    the start, or in every micro-batch that reads it anew. ``how`` may name
-    ``hot_keys`` for a profile too large to broadcast.
+    The query keeps no state, so Spark adapts its plan in every micro-batch and
+    broadcasts a profile that turns out small. ``how`` may name ``hot_keys`` and
+    ``salts`` for ``lookup="salted"``.
     """
     how["lookup"] = lookup
     if not callable(profile) and quarantine is None:
@@ -52,13 +52,13 @@ def start_enrichment(
     def dimension(batch: DataFrame) -> DataFrame:
         return profile(batch.sparkSession) if callable(profile) else profile
 
-    def write_events(batch: DataFrame, batch_id: int) -> None:
+    def write_events(batch: DataFrame, batch_id: int, writer: str) -> None:
         good = batch.where(F.col("malformed").isNull()) if quarantine else batch
-        sink.append(encode(enrich(good, dimension(batch), **how)), batch_id)
+        sink.append(encode(enrich(good, dimension(batch), **how)), batch_id, writer)
 
-    def write_malformed(batch: DataFrame, batch_id: int) -> None:
+    def write_malformed(batch: DataFrame, batch_id: int, writer: str) -> None:
         bad = batch.where(F.col("malformed").isNotNull())
-        quarantine.append(bad.select(F.col("malformed").alias("value")), batch_id)
+        quarantine.append(bad.select(F.col("malformed").alias("value")), batch_id, writer)
 
     events = decode(
         messages, RAW_EVENT, on_malformed="quarantine" if quarantine else on_malformed
@@ -106,14 +106,14 @@ def start_window_counts(
     if only_latest and mode == "complete":
         windows = latest_window(windows)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int, writer: str) -> None:
         rows = batch.withColumn("version", F.lit(batch_id).cast("long"))
         stored = table.read(batch.sparkSession, before=batch_id) if mode != "complete" else None
         if stored is not None:
             rows = _newest_versions(stored.unionByName(rows))
         if only_latest:
             rows = latest_window(rows)
-        table.write(rows, batch_id)
+        table.write(rows, batch_id, writer)
 
     return start_writers(windows, [merge], checkpoint, mode=mode, trigger=trigger, name=name)
 
@@ -146,12 +146,12 @@ def start_pane_counts(
         messages, COUNTER_INPUT, on_malformed=on_malformed, envelope=["timestamp"]
     )
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int, writer: str) -> None:
         new = pane_counts(normalize(batch, fallback="timestamp"), **panes)
         stored = table.read(batch.sparkSession, before=batch_id)
         if stored is not None:
             new = _added(stored.unionByName(new))
-        table.write(new, batch_id)
+        table.write(new, batch_id, writer)
 
     return start_writers(rows, [merge], checkpoint, trigger=trigger, name=name)
 

@@ -6,16 +6,17 @@ None starts the next micro-batch at once; ``{"processingTime": "60 seconds"}`` a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..schemas import REFRESH_EVERY
-from ..sources.messages import Topic
+from ..sources.messages import FileTopic, Topic
 
 Trigger = Mapping[str, object] | None
-BatchWriter = Callable[[DataFrame, int], None]
+BatchWriter = Callable[[DataFrame, int, str], None]
 
 
 def _start(
@@ -39,6 +40,8 @@ def start_appending(
     name: str | None = None,
 ) -> StreamingQuery:
     """Append messages to a topic."""
+    if isinstance(sink, FileTopic):
+        return start_writers(messages, [sink.append], checkpoint, trigger=trigger, name=name)
     return _start(sink.writer(messages).outputMode("append"), checkpoint, trigger, name)
 
 
@@ -75,6 +78,11 @@ def start_console(
     return _start(writer, checkpoint, trigger, name)
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when its checkpoint was made."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_writers(
     df: DataFrame,
     writers: Sequence[BatchWriter],
@@ -87,16 +95,20 @@ def start_writers(
     """Hand every micro-batch to several writers, computing it once.
 
     A failed micro-batch is replayed with its id, so writers have to be idempotent
-    by id.
+    by id. They also get the id of the checkpoint, which tells a replay from the batch
+    of another query with the same number.
     """
+    ids: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not ids:
+            ids.append(checkpoint_id(batch.sparkSession, checkpoint))
         shared = len(writers) > 1
         if shared:
             batch.persist()
         try:
             for writer in writers:
-                writer(batch, batch_id)
+                writer(batch, batch_id, ids[0])
         finally:
             if shared:
                 batch.unpersist()

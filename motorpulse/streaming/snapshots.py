@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..files import delete, matching_parents, path_exists
+from ..files import delete, make_directory, matching_names, matching_parents, path_exists
 
 PREFIX = "batch_id="
+WRITER = "_writer="
 
 
 @dataclass(frozen=True)
@@ -16,8 +17,8 @@ class SnapshotTable:
     """One directory per micro-batch, the newest finished one being the table.
 
     A replayed batch finds its directory finished and leaves it, so each batch
-    counts once; a table therefore belongs to one checkpoint, and both start anew
-    together. The one before stays for readers that have begun with it. Meant
+    counts once; a table therefore belongs to one checkpoint, whose id it bears, and
+    refuses another's batches: both start anew together. The one before stays for readers that have begun with it. Meant
     for results that grow with time and not with events: ``files`` is how many
     files each snapshot has.
     """
@@ -35,12 +36,23 @@ class SnapshotTable:
         ids = [i for i in self._finished(spark) if before is None or i < before]
         return spark.read.parquet(f"{self.path}/{PREFIX}{ids[-1]}") if ids else None
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def _claim(self, spark: SparkSession, writer: str) -> None:
+        owners = [n.removeprefix(WRITER) for n in matching_names(spark, f"{self.path}/{WRITER}*")]
+        if not owners and self._finished(spark):
+            owners = ["unknown"]
+        if owners and owners != [writer]:
+            raise RuntimeError(
+                f"{self.path} belongs to the checkpoint {owners[0]} and not to {writer}; "
+                "start the table and the checkpoint anew together"
+            )
+        make_directory(spark, f"{self.path}/{WRITER}{writer}")
+
+    def write(self, df: DataFrame, batch_id: int, writer: str = "batch") -> None:
         spark = df.sparkSession
+        self._claim(spark, writer)
         target = f"{self.path}/{PREFIX}{batch_id}"
         if not path_exists(spark, f"{target}/_SUCCESS"):
-            # By key, since plans inside a stream are not adapted and would write
-            # one small file per shuffle partition.
+            # By key and to few files, whatever the shuffle width.
             df.repartition(self.files, df.columns[0]).write.mode("overwrite").parquet(target)
         for old in self._finished(spark)[: -self.keep]:
             delete(spark, f"{self.path}/{PREFIX}{old}")

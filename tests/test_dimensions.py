@@ -170,7 +170,7 @@ def test_salted_join_spreads_hot_keys_copies_and_nulls(spark, hot_keys):
     joined = attach_profile(events, profile, lookup="salted", salts=16, hot_keys=hot_keys)
     counts = joined.groupBy("car_id", "name").count().collect()
     assert {tuple(r) for r in counts} == {(1, "a", n), (2, "b", n), (None, None, n)}
-    if hot_keys is None or len(hot_keys) == 2:
+    if hot_keys and len(hot_keys) == 2:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         try:
             spread = joined.selectExpr("spark_partition_id() p").groupBy("p").count().collect()

@@ -37,7 +37,8 @@ def test_files_are_drained_to_counts(spark, folder, dims, extra):
     _send(spark, folder, "anomaly-alerts", color="white", speed=5)
     args = ["--files", f"{folder}/topics", "--dims", dims, "--store", f"{folder}/store"]
     main(["run", *args, "--drain", *extra])
-    rows = SnapshotTable(f"{folder}/store/windows").read(spark).collect()
+    mode = "update" if "update" in extra else "complete"
+    rows = SnapshotTable(f"{folder}/store/windows-{mode}").read(spark).collect()
     assert len(rows) == (1 if "--only-latest" in extra else 15)
     assert {(r.num_of_rows, r.num_of_black, r.num_of_white, r.maximum_speed) for r in rows} == {
         (2, 1, 1, 130)
@@ -65,6 +66,18 @@ def test_kafka_topics_of_a_run():
     counted = topics["counter_input"].source_options()
     assert counted["subscribePattern"] == r"a\.b|c"
     assert counted["maxOffsetsPerTrigger"] == "9"
+    # What the chain writes itself is read from its beginning.
+    starts = {k: t.source_options()["startingOffsets"] for k, t in topics.items()}
+    assert starts == {
+        "raw": "latest", "enriched": "earliest", "alert": "earliest", "counter_input": "earliest"
+    }
+
+
+def test_a_drain_needs_offsets_with_something_to_read():
+    args = ["run", "--servers", "h:1", "--dims", "d", "--store", "s", "--drain"]
+    with pytest.raises(SystemExit):
+        _arguments(args)
+    assert _arguments([*args, "--starting", "earliest"]).drain
 
 
 def test_a_run_needs_topics():

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, datetime, timedelta
+from threading import Thread
+from time import sleep
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -20,6 +22,7 @@ from motorpulse.schemas import (
 )
 from motorpulse.plans import enriched_messages
 from motorpulse.sources import FileTopic, literal_table
+from motorpulse.sources.messages import FileTopics
 from motorpulse.streaming import (
     STEPS,
     SnapshotTable,
@@ -36,6 +39,7 @@ from motorpulse.streaming import (
     start_writers,
     wait_for_any,
 )
+from motorpulse.streaming import chain
 from motorpulse.streaming.jobs import windows_of_panes
 
 DRAIN = {"availableNow": True}
@@ -269,10 +273,62 @@ def test_snapshots_are_replaced_read_back_and_pruned(spark, folder):
     assert table.read(spark, before=2) is None
 
 
+def test_a_table_refuses_another_checkpoint(spark, topics, folder):
+    _send(spark, topics["alerts"], _event(1), _event(2), _event(3))
+    table = SnapshotTable(f"{folder}/w")
+    run = lambda c: start_window_counts(
+        topics["alerts"].stream(spark), table, f"{folder}/{c}", trigger=DRAIN, **TUMBLING
+    ).awaitTermination()
+    run("first")
+    run("first")
+    with pytest.raises(Exception, match="belongs to the checkpoint"):
+        run("second")
+    assert [r["num_of_rows"] for r in table.read(spark).collect()] == [3]
+
+
+def test_a_topic_takes_batches_of_every_kind_of_writer(spark, topics, folder):
+    stream = lambda: topics["raw"].stream(spark)
+    _send(spark, topics["raw"], _event(1))
+    start_enrichment(stream(), _profile(spark), topics["enriched"], f"{folder}/c", trigger=DRAIN).awaitTermination()
+    _send(spark, topics["raw"], _event(2))
+    refreshed = lambda session: _profile(session)
+    start_enrichment(stream(), refreshed, topics["enriched"], f"{folder}/c", trigger=DRAIN).awaitTermination()
+    assert topics["enriched"].batch(spark).count() == 2
+    # A new checkpoint numbers its batches anew and loses none of them.
+    start_enrichment(stream(), refreshed, topics["enriched"], f"{folder}/d", trigger=DRAIN).awaitTermination()
+    assert topics["enriched"].batch(spark).count() == 4
+
+
+def test_a_topic_that_comes_later_is_read_after_a_restart(spark, topics, folder):
+    late = FileTopic(f"{folder}/late", "late")
+    both = FileTopics((topics["alerts"], late))
+    _send(spark, topics["alerts"], _event(1))
+    table = SnapshotTable(f"{folder}/w")
+    run = lambda: start_window_counts(
+        both.stream(spark), table, f"{folder}/c", trigger=DRAIN, **TUMBLING
+    ).awaitTermination()
+    with pytest.warns(UserWarning, match="late"):
+        run()
+    _send(spark, late, _event(2))
+    run()
+    assert [r["num_of_rows"] for r in table.read(spark).collect()] == [2]
+
+
+def test_counts_refresh_every_minute_unless_told(spark, topics, folder, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(chain, "start_window_counts", lambda *a, **how: seen.update(how))
+    for topic in ("alerts",):
+        topics[topic].stream(spark)
+    _steps(spark, topics, folder)["counts"]()
+    assert "trigger" not in seen  # the job's own default, a minute, holds
+    _steps(spark, topics, folder, counter_trigger=DRAIN)["counts"]()
+    assert seen["trigger"] == DRAIN
+
+
 def test_writers_share_one_batch(spark, topics, folder):
     _send(spark, topics["raw"], "a", "b")
     seen = []
-    note = lambda name: lambda batch, i: seen.append((name, i, batch.count()))
+    note = lambda name: lambda batch, i, _: seen.append((name, i, batch.count()))
     start_writers(
         topics["raw"].stream(spark),
         [note("x"), note("y")],
@@ -306,7 +362,7 @@ def test_chain_drains_step_by_step_and_from_a_later_one(spark, topics, folder):
     steps = _steps(spark, topics, folder, trigger=DRAIN)
     assert tuple(steps) == STEPS
     shown = _steps(spark, topics, folder, trigger=DRAIN, preview=True)
-    assert [n for n in shown if n in STEPS] == list(STEPS) and len(shown) == 5
+    assert [n for n in shown if n in STEPS] == list(STEPS) and len(shown) == 6
     drain(steps)
     rows = SnapshotTable(f"{folder}/w").read(spark).collect()
     assert {(r["num_of_rows"], r["num_of_black"]) for r in rows} == {(1, 1)}
@@ -323,14 +379,20 @@ def test_chain_drains_step_by_step_and_from_a_later_one(spark, topics, folder):
 
 
 def test_running_chain_stops_when_one_query_ends(spark, topics, folder):
-    spark.streams.resetTerminated()
+    FileTopic(f"{folder}/foreign", "foreign").append(spark.createDataFrame([("x",)], "value string"))
+    foreign = FileTopic(f"{folder}/foreign", "foreign").stream(spark)
+    start_preview(foreign, trigger=DRAIN).awaitTermination()  # ends before the chain is waited for
     running = start(_steps(spark, topics, folder))
     _send(spark, topics["raw"], _event(1))
     for query in running.values():
         query.processAllAvailable()
     assert SnapshotTable(f"{folder}/w").read(spark).count() == 15
+    waiter = Thread(target=wait_for_any, args=(spark, running))
+    waiter.start()
+    sleep(3)
+    assert waiter.is_alive() and all(q.isActive for q in running.values())
     running["alerts"].stop()
-    wait_for_any(spark, running)
+    waiter.join(60)
     assert not any(q.isActive for q in running.values())
 
 
