@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from .shared import slices, with_column
 
 #: Distinct words that a task remembers before it starts anew; no result depends on it.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 #: Words of more symbols than this are merged with a heap.
 SHORT_WORD = 40
 NO_MERGE = np.iinfo(np.int64).max
