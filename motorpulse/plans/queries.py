@@ -301,15 +301,41 @@ def latest_closed_alert_window(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams, each run until its input is used up ------------------------------------------
 
+#: Micro-batches in which a stream gets the events, in order of time.
+PARTS = 4
+
+
+def _parts(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The events cut into stretches of time."""
+    events = _events(spark, sf)
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return [events]
+    edges = [low + (high - low) * k / PARTS for k in range(1, PARTS)]
+    place = sum(((F.col("ts") > F.lit(e)).cast("int") for e in edges), F.lit(0))
+    return [events.where(place == k) for k in range(PARTS)]
+
+
+def _event_stream(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+    """The events as a stream that brings them in several micro-batches."""
+    files = 1
+    for k, part in enumerate(_parts(spark, sf)):
+        path = f"{folder}/parts/events.parquet/{k}"
+        part.write.parquet(path)
+        files = max(files, len(spark.read.schema(part.schema).parquet(path).inputFiles()))
+    return fleet.event_stream(
+        spark, f"{folder}/parts", recursiveFileLookup="true", maxFilesPerTrigger=str(files)
+    )
+
 
-def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return fleet.messages(fleet.event_stream(spark, sf))
+def _message_stream(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+    return fleet.messages(_event_stream(spark, sf, folder))
 
 
 def _enriched_topic(spark: SparkSession, sf: str, folder: str) -> FileTopic:
     topic = FileTopic(f"{folder}/enriched", "enriched")
     start_enrichment(
-        _message_stream(spark, sf),
+        _message_stream(spark, sf, folder),
         fleet.profile(spark, sf),
         topic,
         f"{folder}/checkpoints/enrich",
@@ -318,9 +344,9 @@ def _enriched_topic(spark: SparkSession, sf: str, folder: str) -> FileTopic:
     return topic
 
 
-def _alert_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _alert_stream(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     """Alert messages straight from the event stream, at the times of their events."""
-    events = fleet.telemetry(fleet.event_stream(spark, sf))
+    events = fleet.telemetry(_event_stream(spark, sf, folder))
     found = alerts(enrich(events, fleet.profile(spark, sf)))
     return encode(
         found.withColumn("timestamp", event_timestamp()), envelope=["timestamp"]
@@ -332,7 +358,7 @@ def streamed_messages(spark: SparkSession, sf: str) -> DataFrame:
     folder = _folder(spark)
     topic = FileTopic(f"{folder}/raw", "raw")
     start_appending(
-        _message_stream(spark, sf), topic, f"{folder}/checkpoints/raw", trigger=DRAIN
+        _message_stream(spark, sf, folder), topic, f"{folder}/checkpoints/raw", trigger=DRAIN
     ).awaitTermination()
     return decode(topic.batch(spark), RAW_EVENT)
 
@@ -350,7 +376,7 @@ def streamed_refresh(spark: SparkSession, sf: str) -> DataFrame:
     topic = FileTopic(f"{folder}/enriched", "enriched")
     bad = FileTopic(f"{folder}/malformed", "malformed")
     start_enrichment(
-        fleet.mixed_messages(fleet.event_stream(spark, sf)),
+        fleet.mixed_messages(_event_stream(spark, sf, folder)),
         lambda session: fleet.profile(session, sf),
         topic,
         f"{folder}/checkpoints/enrich",
@@ -379,7 +405,7 @@ def streamed_windows(spark: SparkSession, sf: str, **how) -> DataFrame:
     folder = _folder(spark)
     table = SnapshotTable(f"{folder}/windows")
     start_window_counts(
-        _alert_stream(spark, sf),
+        _alert_stream(spark, sf, folder),
         table,
         f"{folder}/checkpoints/counts",
         trigger=DRAIN,
@@ -394,7 +420,7 @@ def streamed_panes(spark: SparkSession, sf: str) -> DataFrame:
     folder = _folder(spark)
     table = SnapshotTable(f"{folder}/panes")
     start_pane_counts(
-        _alert_stream(spark, sf),
+        _alert_stream(spark, sf, folder),
         table,
         f"{folder}/checkpoints/panes",
         trigger=DRAIN,
@@ -406,8 +432,9 @@ def streamed_panes(spark: SparkSession, sf: str) -> DataFrame:
 def chained_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Enrich, alerts and counts chained by topics; the complete windows at the end."""
     folder = _folder(spark)
-    raw = FileTopic(f"{folder}/raw", "raw")
-    raw.append(_messages(spark, sf))
+    raw = FileTopic(f"{folder}/raw", "raw", options={"maxFilesPerTrigger": "1"})
+    for part in _parts(spark, sf):
+        raw.append(fleet.messages(part))
     table = SnapshotTable(f"{folder}/windows")
     steps = fleet_steps(
         spark,

@@ -8,7 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from motorpulse.plans import queries
 from motorpulse.plans.queries import QUERIES
+from motorpulse.sources import FileTopic
+from motorpulse.streaming import start_appending
 
 TYPES = {
     "int": "INTEGER",
@@ -62,3 +65,11 @@ PRUNED = (
 def test_unused_properties_are_not_read(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema" in plan and "props" not in plan
+
+
+def test_streams_get_several_micro_batches(spark, sf_dir, folder):
+    topic = FileTopic(f"{folder}/raw", "raw")
+    messages = queries._message_stream(spark, sf_dir, folder)
+    start_appending(messages, topic, f"{folder}/c", trigger=queries.DRAIN).awaitTermination()
+    with_rows = {p.parent.name for p in Path(folder, "raw").rglob("*.parquet")}
+    assert len(with_rows) >= 3
