@@ -117,15 +117,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _telling(columns, grades_of, docs, y, grades) -> np.ndarray:
+def _telling(rows: list, y: np.ndarray, grades: int) -> np.ndarray:
     """Columns whose documents have one of the grades far more or less often than all have."""
+    there = np.zeros((grades, WIDTH), np.int32)
+    for columns, _, g in rows:
+        there[g, columns] += 1  # no column twice in a document
+    docs = there.sum(axis=0)
     enough = np.maximum(docs, 1)
     telling = np.zeros(WIDTH, bool)
     for k in range(grades):
         share = min(0.99, max(0.01, float(np.mean(y == k))))
-        there = np.bincount(columns[grades_of == k], minlength=WIDTH) / enough
-        telling |= np.abs(there - share) >= LEAST_Z * np.sqrt(share * (1 - share) / enough)
-    return telling & (docs >= LEAST_DOCS)
+        off = np.abs(there[k] / enough - share)
+        telling |= off >= LEAST_Z * np.sqrt(share * (1 - share) / enough)
+    telling &= docs >= LEAST_DOCS
+    telling[BUCKETS:] = docs[BUCKETS:] > 0
+    return telling
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) -> Ordinal:
@@ -136,17 +142,17 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) ->
     weights, thresholds = np.zeros(WIDTH, np.float32), np.arange(1 - grades / 2, grades / 2)
     if not rows:
         return Ordinal(weights, thresholds)
-    columns = np.concatenate([c for c, _, _ in rows])
-    values = np.concatenate([v for _, v, _ in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(c) for c, _, _ in rows])
     y = np.array([g for _, _, g in rows])
-    docs = np.bincount(columns, minlength=WIDTH)
-    keep = _telling(columns, y[owner], docs, y, grades) | (np.arange(WIDTH) >= BUCKETS)
-    used = np.flatnonzero(keep & (docs > 0))
-    place = np.full(WIDTH, -1)
+    telling = _telling(rows, y, grades)
+    used = np.flatnonzero(telling)
+    place = np.zeros(WIDTH, np.int32)
     place[used] = np.arange(len(used))
-    inside = place[columns] >= 0
-    columns, values, owner = place[columns[inside]], values[inside], owner[inside]
+    # Most columns are gone before anything is put together: the driver holds little.
+    kept = [telling[c] for c, _, _ in rows]
+    columns = np.concatenate([place[c[k]] for (c, _, _), k in zip(rows, kept)])
+    values = np.concatenate([v[k] for (_, v, _), k in zip(rows, kept)])
+    owner = np.repeat(np.arange(len(rows)), [int(k.sum()) for k in kept])
+    del kept
 
     # Thresholds are written as the first and the logarithms of the steps between them.
     shares = np.clip([np.mean(y <= k) for k in range(grades - 1)], 0.01, 0.99)
