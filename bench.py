@@ -92,10 +92,10 @@ def state_rows(spark: SparkSession) -> dict[str, int]:
         query.awaitTermination()
         kept[mode] = query.lastProgress["stateOperators"][0]["numRowsTotal"]
     table = SnapshotTable(f"{folder}/panes")
-    start_pane_counts(
-        topic.stream(spark), table, f"{folder}/c-panes", trigger=drain
-    ).awaitTermination()
-    return kept | {"panes": 0, "panes_stored": table.read(spark).count()}
+    query = start_pane_counts(topic.stream(spark), table, f"{folder}/c-panes", trigger=drain)
+    query.awaitTermination()
+    state = sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"])
+    return kept | {"panes": state, "panes_stored": table.read(spark).count()}
 
 
 def dense_queries(spark: SparkSession, path: str) -> dict:
