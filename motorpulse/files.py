@@ -32,6 +32,12 @@ def matching_names(spark: SparkSession, pattern: str) -> list[str]:
     return [found.getPath().getName() for found in files.globStatus(jvm_path) or []]
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Full names of the files and directories that match a pattern."""
+    jvm_path, files = _resolve(spark, pattern)
+    return [found.getPath().toString() for found in files.globStatus(jvm_path) or []]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm_path, files = _resolve(spark, path)
     files.delete(jvm_path, True)

@@ -15,7 +15,7 @@ from ..plans.telemetry import alert_messages, counted_windows, enriched_messages
 from ..schemas import COUNTER_INPUT, RAW_EVENT, REFRESH_EVERY
 from ..sources.messages import Topic
 from .sinks import Trigger, start_appending, start_writers
-from .snapshots import SnapshotTable
+from .snapshots import SnapshotTable, day_of
 
 MODES = ("complete", "update", "append")
 EVERY_MINUTE = {"processingTime": REFRESH_EVERY}
@@ -97,8 +97,9 @@ def start_window_counts(
     ``complete`` counts rows of any age and keeps every window in state for good.
     ``update`` keeps a window until the watermark passes it and drops rows that
     come later than that. ``append`` adds each window once, when the watermark
-    passes it. ``only_latest`` stores just the newest window. ``version`` in the
-    table is the micro-batch that last changed a window.
+    passes it. Both rewrite only the days that a micro-batch changes. ``only_latest``
+    stores just the newest window. ``version`` in the table is the micro-batch that
+    last changed a window.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -108,6 +109,9 @@ def start_window_counts(
 
     def merge(batch: DataFrame, batch_id: int, writer: str) -> None:
         rows = batch.withColumn("version", F.lit(batch_id).cast("long"))
+        if mode != "complete" and not only_latest:
+            _merge_days(rows, table, batch_id, writer, "window_start", _newest_versions)
+            return
         stored = table.read(batch.sparkSession, before=batch_id) if mode != "complete" else None
         if stored is not None:
             rows = _newest_versions(stored.unionByName(rows))
@@ -118,6 +122,25 @@ def start_window_counts(
     return start_writers(windows, [merge], checkpoint, mode=mode, trigger=trigger, name=name)
 
 
+def _merge_days(
+    rows: DataFrame,
+    table: SnapshotTable,
+    batch_id: int,
+    writer: str,
+    time: str,
+    combine: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Combine a batch's rows, few beside its events, with those stored for their days."""
+    rows = rows.persist()
+    try:
+        days = [row[0] for row in rows.select(day_of(time)).distinct().collect()]
+        stored = table.read(rows.sparkSession, before=batch_id, days=days)
+        merged = rows if stored is None else combine(stored.unionByName(rows))
+        table.write_days(merged, batch_id, writer, time=time)
+    finally:
+        rows.unpersist()
+
+
 def _newest_versions(rows: DataFrame) -> DataFrame:
     bounds = ("window_start", "window_end")
     rest = ["version", *[c for c in rows.columns if c not in (*bounds, "version")]]
@@ -137,7 +160,8 @@ def start_pane_counts(
 ) -> StreamingQuery:
     """Alert messages to a table of counts per slide, without streaming state.
 
-    Every micro-batch is grouped to panes on its own and added to the stored ones.
+    Every micro-batch is grouped to panes on its own and added to those stored for its
+    days; files of other days stay as they are.
     ``combine_panes(table.read(spark))`` then gives what the complete mode gives,
     rows of any age included, while a minute costs one stored row and no window
     stays in memory.
@@ -148,10 +172,7 @@ def start_pane_counts(
 
     def merge(batch: DataFrame, batch_id: int, writer: str) -> None:
         new = pane_counts(normalize(batch, fallback="timestamp"), **panes)
-        stored = table.read(batch.sparkSession, before=batch_id)
-        if stored is not None:
-            new = _added(stored.unionByName(new))
-        table.write(new, batch_id, writer)
+        _merge_days(new, table, batch_id, writer, "pane_start", _added)
 
     return start_writers(rows, [merge], checkpoint, trigger=trigger, name=name)
 

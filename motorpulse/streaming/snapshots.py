@@ -1,14 +1,26 @@
-"""A small Parquet table that every micro-batch replaces as a whole."""
+"""A Parquet table that every micro-batch replaces, as a whole or in the days it touches."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..files import delete, make_directory, matching_names, matching_parents, path_exists
+from ..files import (
+    delete,
+    make_directory,
+    matching_names,
+    matching_parents,
+    matching_paths,
+    path_exists,
+)
 
 PREFIX = "batch_id="
+CHANGED = "changed="
+DAY = "day="
+#: An empty table, read where no day is stored.
+COLUMNS = "columns"
 WRITER = "_writer="
 
 
@@ -16,6 +28,9 @@ WRITER = "_writer="
 class SnapshotTable:
     """One directory per micro-batch, the newest finished one being the table.
 
+    A batch written by ``write_days`` holds just the days it touches. Of every day the
+    newest finished batch counts, so files of other days stay as they are.
+
     A replayed batch finds its directory finished and leaves it, so each batch
     counts once; a table therefore belongs to one checkpoint, whose id it bears, and
     refuses another's batches: both start anew together. The one before stays for readers that have begun with it. Meant
@@ -27,18 +42,44 @@ class SnapshotTable:
     keep: int = 2
     files: int = 4
 
-    def _finished(self, spark: SparkSession) -> list[int]:
-        done = matching_parents(spark, f"{self.path}/{PREFIX}*/_SUCCESS")
-        return sorted(int(name.removeprefix(PREFIX)) for name in done)
+    def _finished(self, spark: SparkSession, prefix: str = PREFIX) -> list[int]:
+        done = matching_parents(spark, f"{self.path}/{prefix}*/_SUCCESS")
+        return sorted(int(name.removeprefix(prefix)) for name in done)
+
+    def _days(self, spark: SparkSession) -> dict[int, list[int]]:
+        """Finished batches of every day, in ascending order."""
+        done = set(self._finished(spark, CHANGED))
+        found: dict[int, list[int]] = {}
+        for path in matching_paths(spark, f"{self.path}/{CHANGED}*/{DAY}*"):
+            batch, day = path.split("/")[-2:]
+            batch_id = int(batch.removeprefix(CHANGED))
+            if batch_id in done:
+                found.setdefault(int(day.removeprefix(DAY)), []).append(batch_id)
+        return {day: sorted(ids) for day, ids in found.items()}
+
+    def read(
+        self, spark: SparkSession, before: int | None = None, days: list[int] | None = None
+    ) -> DataFrame | None:
+        """The table, or what it was before a batch; None if there is none.
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """The newest snapshot, or the newest older than a batch; None if there is none."""
+        ``days`` limits a table written by days to some of them.
+        """
+        newest = {}
+        for day, ids in self._days(spark).items():
+            older = [i for i in ids if before is None or i < before]
+            if older and (days is None or day in days):
+                newest[day] = older[-1]
+        if newest:
+            parts = [f"{self.path}/{CHANGED}{i}/{DAY}{day}" for day, i in sorted(newest.items())]
+            return spark.read.parquet(*parts)
+        if self._finished(spark, CHANGED):
+            return spark.read.parquet(f"{self.path}/{COLUMNS}")
         ids = [i for i in self._finished(spark) if before is None or i < before]
         return spark.read.parquet(f"{self.path}/{PREFIX}{ids[-1]}") if ids else None
 
     def _claim(self, spark: SparkSession, writer: str) -> None:
         owners = [n.removeprefix(WRITER) for n in matching_names(spark, f"{self.path}/{WRITER}*")]
-        if not owners and self._finished(spark):
+        if not owners and (self._finished(spark) or self._finished(spark, CHANGED)):
             owners = ["unknown"]
         if owners and owners != [writer]:
             raise RuntimeError(
@@ -50,9 +91,49 @@ class SnapshotTable:
     def write(self, df: DataFrame, batch_id: int, writer: str = "batch") -> None:
         spark = df.sparkSession
         self._claim(spark, writer)
+        if self._finished(spark, CHANGED):
+            raise RuntimeError(f"{self.path} is written by days and cannot go on as a whole")
         target = f"{self.path}/{PREFIX}{batch_id}"
         if not path_exists(spark, f"{target}/_SUCCESS"):
             # By key and to few files, whatever the shuffle width.
             df.repartition(self.files, df.columns[0]).write.mode("overwrite").parquet(target)
         for old in self._finished(spark)[: -self.keep]:
             delete(spark, f"{self.path}/{PREFIX}{old}")
+
+    def write_days(
+        self, df: DataFrame, batch_id: int, writer: str = "batch", *, time: str
+    ) -> None:
+        """Replace the days that ``df`` has rows of, a day by UTC of the column ``time``.
+
+        Rows without a time are in no day and refused. A day has one file.
+        """
+        spark = df.sparkSession
+        self._claim(spark, writer)
+        if self._finished(spark):
+            raise RuntimeError(f"{self.path} is written as a whole and cannot go on by days")
+        target = f"{self.path}/{CHANGED}{batch_id}"
+        if not path_exists(spark, f"{target}/_SUCCESS"):
+            key = F.coalesce(day_of(time), F.raise_error(F.lit(f"{time} is null")).cast("long"))
+            dealt = df.withColumn("day", key).repartition("day")
+            if not path_exists(spark, f"{self.path}/{COLUMNS}/_SUCCESS"):
+                none = spark.createDataFrame([], df.schema)
+                none.write.mode("overwrite").parquet(f"{self.path}/{COLUMNS}")
+            to = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            to.partitionBy("day").parquet(target)
+        self._prune_days(spark)
+
+    def _prune_days(self, spark: SparkSession) -> None:
+        left = set()
+        for day, ids in self._days(spark).items():
+            left.update(ids[-self.keep :])
+            for old in ids[: -self.keep]:
+                delete(spark, f"{self.path}/{CHANGED}{old}/{DAY}{day}")
+        # The newest batch stays, even without a day, as only that may be replayed.
+        for batch_id in self._finished(spark, CHANGED)[:-1]:
+            if batch_id not in left:
+                delete(spark, f"{self.path}/{CHANGED}{batch_id}")
+
+
+def day_of(time: str) -> Column:
+    """Number of the UTC day since 1970, whatever the session's time zone."""
+    return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / 86400)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 from threading import Thread
 from time import sleep
 
@@ -273,6 +274,35 @@ def test_snapshots_are_replaced_read_back_and_pruned(spark, folder):
     assert table.read(spark, before=2) is None
 
 
+def _files(folder):
+    return {str(f): f.stat().st_mtime_ns for f in Path(folder).rglob("*.parquet")}
+
+
+def test_a_batch_leaves_the_files_of_other_days(spark, folder):
+    table = SnapshotTable(f"{folder}/t")
+    rows = lambda *days: spark.sql(
+        "SELECT timestamp_seconds(86400L * day) AS at, n FROM VALUES "
+        + ", ".join(f"({d}, {n})" for d, n in days) + " AS t(day, n)"
+    )
+    found = lambda **how: {r["n"] for r in table.read(spark, **how).collect()}
+    table.write_days(rows((-1, 10), (1, 11), (2, 12)), 0, time="at")
+    first = {f for f in _files(folder) if "day=2/" not in f and "/columns/" not in f}
+    for batch in range(1, 5):
+        before = _files(folder)
+        table.write_days(rows((2, 20 + batch)), batch, time="at")
+        assert {f: t for f, t in _files(folder).items() if f in first} == {f: before[f] for f in first}
+    table.write_days(rows((2, 99)), 4, time="at")  # a replay counts once
+    assert found() == {10, 11, 24} and found(before=4) == {10, 11, 23} and found(days=[1]) == {11}
+    assert sum("day=2/" in f for f in _files(folder)) == table.keep
+    table.write_days(rows((2, 0)).where("n > 0"), 5, time="at")
+    assert found() == {10, 11, 24}
+    with pytest.raises(RuntimeError, match="by days"):
+        table.write(rows((2, 0)), 6)
+    empty = SnapshotTable(f"{folder}/empty")
+    empty.write_days(rows((2, 0)).where("n > 0"), 0, time="at")
+    assert empty.read(spark).columns == ["at", "n"] and empty.read(spark).count() == 0
+
+
 def test_a_table_refuses_another_checkpoint(spark, topics, folder):
     _send(spark, topics["alerts"], _event(1), _event(2), _event(3))
     table = SnapshotTable(f"{folder}/w")
