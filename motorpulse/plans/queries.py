@@ -306,13 +306,14 @@ PARTS = 4
 
 
 def _parts(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The events cut into stretches of time."""
+    """The events cut into stretches of time, those without a time in the first."""
     events = _events(spark, sf)
     low, high = events.agg(F.min("ts"), F.max("ts")).first()
     if low is None:
         return [events]
     edges = [low + (high - low) * k / PARTS for k in range(1, PARTS)]
     place = sum(((F.col("ts") > F.lit(e)).cast("int") for e in edges), F.lit(0))
+    place = F.coalesce(place, F.lit(0))
     return [events.where(place == k) for k in range(PARTS)]
 
 

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from motorpulse.plans import queries
@@ -73,3 +74,12 @@ def test_streams_get_several_micro_batches(spark, sf_dir, folder):
     start_appending(messages, topic, f"{folder}/c", trigger=queries.DRAIN).awaitTermination()
     with_rows = {p.parent.name for p in Path(folder, "raw").rglob("*.parquet")}
     assert len(with_rows) >= 3
+
+
+def test_streams_keep_events_without_a_time(spark, sf_dir, folder):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").limit(40)
+    late = events.withColumn("ts", F.when(F.col("event_id") % 4 > 0, F.col("ts")))
+    late.write.parquet(f"{folder}/events.parquet")
+    seen = [r["event_id"] for part in queries._parts(spark, folder) for r in part.collect()]
+    assert late.where("ts IS NULL").count() > 0
+    assert sorted(seen) == sorted(r["event_id"] for r in late.collect())
