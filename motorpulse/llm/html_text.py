@@ -1,17 +1,21 @@
 """Main text of web pages, without what a site puts on every page.
 
-Pages are parsed on the executors into text blocks. Parts that are no article by their
-element or its class are left out at once. Every element left is known by the hash of its
-subtree; Spark counts these per host, and subtrees that recur across many different
-articles of their host are deleted as parts of the site's template.
+Pages are parsed on the executors into text blocks. Every element is known by the hash of
+its whole subtree; Spark counts these per host and layout, and subtrees that recur across
+different articles are deleted as parts of the site's template. What no site has often
+enough to count, fixed lists of elements and classes leave out besides.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -20,10 +24,12 @@ from pyspark.sql import types as T
 
 from .shared import slices
 
-#: A subtree is template if this many different articles of the host have it ...
-LEAST_ARTICLES = 10
-#: ... and this share of all of them.
-LEAST_SHARE = 0.5
+#: A subtree is template if so many different articles of the host and layout have it ...
+LEAST_ARTICLES = 3
+#: ... and beyond these this share of all of them ...
+LEAST_SHARE = 0.25
+#: ... and this share of those that have it are no near copies of the most copied one.
+LEAST_OTHERS = 0.25
 #: Parts into which the pages of every host are dealt.
 SALTS = 64
 
@@ -35,10 +41,9 @@ BLOCKS = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
     "ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-NO_ARTICLE = frozenset(
-    "nav footer aside form script style noscript template iframe object embed svg math canvas audio "
-    "video map button select textarea dialog menu head title noembed noframes datalist".split()
-)
+#: Elements without any text of the page.
+SILENT = frozenset("script style noscript template iframe embed svg head title noembed noframes".split())
+NO_ARTICLE = frozenset("nav footer aside form math canvas audio object video map button select textarea dialog menu datalist".split())
 CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup popup "
@@ -69,44 +74,68 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NAME_PART = re.compile(r"[a-z0-9]+")
+NUMBER = re.compile(r"[-_]?[0-9]+$")
+DIGIT = re.compile(r"[0-9]")
 
 
-def _left_out(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in NO_ARTICLE or (tag == "header" and not in_article):
-        return True
+def _values(attributes: str) -> dict[str, str]:
     if not attributes.strip():
+        return {}
+    return {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
+
+
+def _listed(tag: str, values: dict[str, str], inside: bool) -> bool:
+    """Whether the lists leave out the element."""
+    if tag in NO_ARTICLE or (tag == "header" and not inside):
+        return True
+    if not values:
         return False
-    values = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
-    names = NAME_PART.findall(f"{values.get('class', '')} {values.get('id', '')}")
+    classes = [NUMBER.sub("", c) for c in values.get("class", "").split()]
+    if tag in WHOLES:
+        return tag == "article" and not COMMENTS.isdisjoint(classes)
+    meant = set(classes)
+    names = NAME_PART.findall(" ".join([*classes, values.get("id", "")]))
     # "has-sidebar" and the like say what stands beside an element, not what it is.
-    meant = {n for n, before in zip(names, ["", *names]) if before not in ("has", "with", "no", "without")}
-    if tag in ("html", "body", "main", "article"):
-        return bool(meant & COMMENTS) and tag == "article"
+    meant |= {n for n, before in zip(names, ["", *names]) if before not in ("has", "with", "no", "without")}
     style = values.get("style", "").replace(" ", "")
     return (
-        bool(meant & CLASSES)
-        or ("header" in meant and not in_article)
+        not CLASSES.isdisjoint(meant)
+        or ("header" in meant and not inside)
         or values.get("role") in ROLES
         or "hidden" in values
         or "display:none" in style
     )
 
 
+class Block(NamedTuple):
+    text: str
+    inside: bool  # an article or main element
+    listed: bool
+    around: list[int]
+    forms: list[int]
+
+
 class Page:
-    """Blocks of one page: (text, place, elements around it), the place being article, main or body."""
+    """Blocks of one page, in order, and the hashes of all its subtrees."""
 
     def __init__(self, source: str):
         self.hashes: list[int] = []
-        self.blocks: list[tuple[str, str, list[int]]] = []
-        # Open elements: tag, number or -1 when left out, parts of the subtree so far.
-        self._open: list[tuple[str, int, list[str]]] = []
-        self._hidden = 0
-        self._places: list[str] = []
+        self.blocks: list[Block] = []
+        #: Tags and classes of the elements down to the first article or main element.
+        self.layout = ""
+        # Open elements: tag, number or less than 0, parts of the subtree so far, whether
+        # it opened the listed part, number of its form or -1, class.
+        self._open: list[tuple[str, int, list[str], bool, int, str]] = []
+        self._silent = 0
+        self._listed = 0
+        self._inside = 0
+        self._holding: list[bool] = []  # forms, by whether an article or main is in them
         self._text: list[str] = []
+        self._listed_text: list[str] = []
         self._read(source)
 
     def _read(self, source: str) -> None:
-        at, raw_end = 0, None
+        at = 0
         find = TAG.search
         while (m := find(source, at)) is not None:
             if m.start() > at:
@@ -131,20 +160,22 @@ class Page:
         self._flush()
 
     def _add(self, text: str) -> None:
-        if not self._hidden:
-            self._text.append(text)
+        if not self._silent:
+            (self._listed_text if self._listed else self._text).append(text)
 
     def _flush(self) -> None:
-        if not self._text:
-            return
-        text = " ".join(html.unescape("".join(self._text)).split())
-        self._text.clear()
-        if not text:
-            return
-        around = [number for _, number, _ in self._open if number >= 0]
-        self.blocks.append((text, self._places[-1] if self._places else "body", around))
-        if self._open:
-            self._open[-1][2].append(text)
+        for parts, listed in ((self._text, False), (self._listed_text, True)):
+            if not parts:
+                continue
+            text = " ".join(html.unescape("".join(parts)).split())
+            parts.clear()
+            if not text:
+                continue
+            around = [e[1] for e in self._open if e[1] >= 0]
+            forms = [e[4] for e in self._open if e[4] >= 0]
+            self.blocks.append(Block(text, self._inside > 0, listed, around, forms))
+            if self._open:
+                self._open[-1][2].append(text)
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -156,18 +187,35 @@ class Page:
             self._close_implied(*CLOSES[tag])
         if tag in VOID:
             return
-        out = self._hidden > 0 or _left_out(tag, attributes, "article" in self._places)
-        if out:
-            self._hidden += 1
-            self._open.append((tag, -1, []))
+        if self._silent or tag in SILENT:
+            self._silent += 1
+            self._open.append((tag, -1, [], False, -1, ""))
             return
-        if tag in ("article", "main"):
-            self._places.append("article" if "article" in self._places else tag)
+        values = _values(attributes)
+        listed = not self._listed and _listed(tag, values, self._inside > 0)
+        if listed:
+            self._listed += 1
+        form = -1
+        if tag == "form":
+            form = len(self._holding)
+            self._holding.append(False)
+        classes = values.get("class", "")
+        if tag in ("article", "main") and not self._listed:
+            self._inside += 1
+            for e in self._open:
+                if e[4] >= 0:
+                    self._holding[e[4]] = True
+            if not self.layout:
+                names = [f"{e[0]}.{e[5]}" for e in self._open] + [f"{tag}.{classes}"]
+                # Names with a number in them are often those of the one page.
+                self.layout = "\n".join(" ".join(w for w in n.split() if not DIGIT.search(w)) for n in names)
         number = -2
         if tag in BLOCKS and tag not in WHOLES:
             number = len(self.hashes)
             self.hashes.append(0)
-        self._open.append((tag, number, []))
+        elif tag in ("article", "main") and not self._listed:
+            number = -3
+        self._open.append((tag, number, [], listed, form, classes))
 
     def _close_implied(self, tags: set[str], border: set[str]) -> None:
         for k in range(len(self._open) - 1, -1, -1):
@@ -187,15 +235,17 @@ class Page:
                 return
 
     def _pop(self) -> None:
-        tag, number, parts = self._open[-1]
+        tag, number, parts, listed, _, _ = self._open[-1]
         if tag in BLOCKS:
             self._flush()
         self._open.pop()
         if number == -1:
-            self._hidden -= 1
+            self._silent -= 1
             return
-        if tag in ("article", "main"):
-            self._places.pop()
+        if listed:
+            self._listed -= 1
+        if number == -3:
+            self._inside -= 1
         if not parts:
             return
         digest = xxhash.xxh64_intdigest("\0".join([tag, *parts]).encode("utf-8", "replace"))
@@ -204,56 +254,98 @@ class Page:
         if self._open:
             self._open[-1][2].append(f"{digest:x}")
 
-    def main_blocks(self) -> list[tuple[str, list[int]]]:
-        """Blocks of the articles, else of the main element, else of the body, with the
-        hashes of the elements around them inside of the whole."""
-        places = {place for _, place, _ in self.blocks}
-        place = next((p for p in ("article", "main", "body") if p in places), None)
-        kept = [(text, around) for text, where, around in self.blocks if where == place]
-        return [(text, [self.hashes[n] for n in around]) for text, around in kept]
+    def unlisted(self) -> list[tuple[str, bool, list[int]]]:
+        """Blocks that no list leaves out: text, whether inside an article or main, hashes
+        of the subtrees around it. A form is left out unless it holds an article or main
+        element or half of the page's text."""
+        blocks = [b for b in self.blocks if not b.listed]
+        chars = Counter()
+        for b in blocks:
+            for f in b.forms:
+                chars[f] += len(b.text)
+        half = sum(len(b.text) for b in blocks) / 2
+        out = {f for f, n in chars.items() if n < half and not self._holding[f]}
+        kept = [b for b in blocks if out.isdisjoint(b.forms)]
+        return [(b.text, b.inside, [self.hashes[n] for n in b.around]) for b in kept]
+
+
+def sketch(blocks: list[tuple[str, bool, list[int]]]) -> int:
+    """The least hash of three following words in the longest block: near copies of an
+    article mostly share it, two articles do not."""
+    words = max((text for text, _, _ in blocks), key=len, default="").split()
+    hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words))
+    mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
+    for k in (1, 2):
+        if len(words) >= 3:
+            mixed = np.bitwise_xor(mixed[:-1] * np.uint64(0xC2B2AE3D27D4EB4F), hashes[k : len(mixed) - 1 + k])
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return int((mixed ^ mixed >> np.uint64(32)).min()) - (1 << 63) if len(words) else 0
+
+
+PARSED = (
+    "blocks array<struct<text: string, inside: boolean, around: array<long>>>, subtrees array<long>, "
+    "article long, sketch long, host string, layout long"
+)
 
 
-PARSED = "blocks array<struct<text: string, around: array<long>>>, article long, host string"
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) as page_id, url, blocks, article (its hash), host."""
+    """``pages`` (page_id, url, html) as page_id, url, blocks, all subtrees, hash and sketch
+    of the article, host, and hash of host and layout (null without a host)."""
     schema = T.StructType([*pages.schema.fields[:2], *T.StructType.fromDDL(PARSED).fields])
-    block = pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])
+    block = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("around", pa.list_(pa.int64()))])
+    kinds = [pa.list_(block), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.string(), pa.int64()]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host_of = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)", re.I).match
         for batch in slices(batches, 2):
-            lists, wholes, hosts = [], [], []
+            made = [[] for _ in kinds]
             for url, source in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found = Page(source).main_blocks() if source else []
-                lists.append([{"text": text, "around": around} for text, around in found])
-                joined = "\n".join(text for text, _ in found)
-                wholes.append(xxhash.xxh64_intdigest(joined.encode("utf-8", "replace")) - (1 << 63))
-                found_host = host_of(url or "")
-                hosts.append(found_host[1].lower() if found_host else None)
-            made = [pa.array(lists, pa.list_(block)), pa.array(wholes, pa.int64()), pa.array(hosts, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], schema.names)
+                page = Page(source or "")
+                found = page.unlisted()
+                host = host_of(url or "")
+                host = host[1].lower() if host else None
+                row = (
+                    [{"text": text, "inside": inside, "around": around} for text, inside, around in found],
+                    list(dict.fromkeys(h for h in page.hashes if h)),
+                    _hash("\n".join(text for text, _, _ in found)),
+                    sketch(found),
+                    host,
+                    None if host is None else _hash(f"{host}\n{page.layout}"),
+                )
+                for values, value in zip(made, row):
+                    values.append(value)
+            arrays = [pa.array(values, kind) for values, kind in zip(made, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], schema.names)
 
     return pages.mapInArrow(task, schema)
 
 
 def _templates(parsed: DataFrame) -> DataFrame:
-    """Hashes of every host's recurring subtrees: (host, recurring).
+    """Hashes of the recurring subtrees of every host and layout: (layout, recurring).
 
-    No host has more of them than twice the subtrees of its average page, as each is in
-    half of the host's articles at least.
+    Articles with one sketch are near copies and count as one; how many different ones
+    they are tells copies of an article from a template. No layout has more recurring
+    subtrees than four times those of its average page.
     """
-    subtrees = F.array_distinct(F.flatten("blocks.around"))
     whole = F.array(F.lit(None).cast("long"))  # stands for the article, to count them all
-    seen = parsed.where("host IS NOT NULL").select(
-        "host", "article", F.explode(F.concat(whole, subtrees)).alias("subtree")
+    seen = parsed.where("layout IS NOT NULL AND size(blocks) > 0").select(
+        "layout", "article", "sketch", F.explode(F.concat(whole, "subtrees")).alias("subtree")
+    )
+    rows, low, high = F.count("*").alias("rows"), F.min("article").alias("low"), F.max("article").alias("high")
+    groups = seen.groupBy("layout", "subtree", "sketch").agg(rows, low, high)
+    copies = F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("rows"))
+    counts = groups.groupBy("layout", "subtree").agg(
+        F.count("*").alias("articles"), F.sum(copies).alias("near"), F.max(copies).alias("most")
     )
-    counts = seen.distinct().groupBy("host", "subtree").agg(F.count("*").alias("articles"))
-    totals = counts.where("subtree IS NULL").select("host", F.col("articles").alias("all"))
-    many = counts.where((F.col("articles") >= LEAST_ARTICLES) & F.col("subtree").isNotNull())
-    many = many.join(totals, "host").where(F.col("articles") >= LEAST_SHARE * F.col("all"))
-    return many.groupBy("host").agg(F.collect_set("subtree").alias("recurring"))
+    totals = counts.where("subtree IS NULL").select("layout", F.col("articles").alias("all"))
+    many = counts.where((F.col("articles") > LEAST_ARTICLES) & F.col("subtree").isNotNull())
+    many = many.where(F.col("near") - F.col("most") >= LEAST_OTHERS * F.col("near")).join(totals, "layout")
+    many = many.where(F.col("articles") >= LEAST_ARTICLES + LEAST_SHARE * F.col("all"))
+    return many.groupBy("layout").agg(F.collect_set("subtree").alias("recurring"))
 
 
 def extract(
@@ -264,8 +356,10 @@ def extract(
     Character references are decoded, white space inside a block is one space, blocks
     follow each other in page order with a line feed between. A null or empty page has
     an empty text; unclosed and cut-off markup is closed at the end; pages whose url is
-    null or has no host are in no site and lose no template. Equal articles count once
-    towards a template, so that copies of an article do not delete it. One row per row.
+    null or has no host are in no site and lose no template. Equal and nearly equal
+    articles count once towards a template, so that copies of an article do not delete
+    it. Of what is left, the blocks of the article and main elements are the text, or all
+    blocks if those have none. One row per row.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")
@@ -275,12 +369,16 @@ def extract(
     salt = F.pmod(F.xxhash64("article", "page_id", "url"), F.lit(SALTS))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     templates = _templates(parsed).withColumn("salt", salts)
-    cleaned = parsed.withColumn("salt", salt).join(templates, ["host", "salt"], "left")
+    cleaned = parsed.withColumn("salt", salt).join(templates, ["layout", "salt"], "left")
     left = F.filter(
         "blocks",
         lambda b: F.col("recurring").isNull() | ~F.arrays_overlap(b["around"], F.col("recurring")),
     )
-    text = F.array_join(F.transform(left, lambda b: b["text"]), "\n")
-    return cleaned.select("page_id", "url", text.alias("text")).withColumn(
+    found = cleaned.select("page_id", "url", left.alias("left"))
+    inside = F.filter("left", lambda b: b["inside"])
+    found = found.select("page_id", "url", "left", inside.alias("inside"))
+    place = F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("left"))
+    text = F.array_join(F.transform(place, lambda b: b["text"]), "\n")
+    return found.select("page_id", "url", text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")
     )

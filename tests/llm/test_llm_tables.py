@@ -258,6 +258,44 @@ def test_pages_of_a_small_site_keep_all(spark):
     assert sorted(r["text"] for r in html_text.extract(pages).collect()) == [wanted.format(k) for k in range(3)]
 
 
+def _article(k, words=60):
+    rng = random.Random(k)
+    return " ".join(f"w{rng.randrange(10_000)}" for _ in range(words))
+
+
+def _texts(spark, sources, url="http://h.example/"):
+    pages = spark.createDataFrame([(k, url, s) for k, s in enumerate(sources)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+
+
+def test_templates_of_small_sites_and_of_layouts(spark):
+    made = "<p>Written by hand</p><p>%s</p>"
+    small = [f"<article>{made % _article(k)}</article>" for k in range(5)]
+    assert _texts(spark, small) == {k: _article(k) for k in range(5)}
+    # Three layouts of a host, none of which has half of its pages.
+    several = [f"<article class='kind-{'abc'[k % 3]}'><p>Line {k % 3}</p><p>{_article(k)}</p></article>" for k in range(24)]
+    assert _texts(spark, several) == {k: _article(k) for k in range(24)}
+
+
+def test_near_copies_are_no_template(spark):
+    # Each of thirty copies has one word of its own.
+    copies = []
+    for k in range(30):
+        words = _article(1, 120).split()
+        words[4 * k] = f"own{k}"
+        copies.append(f"<article><p>First lines</p><p>{' '.join(words)}</p><p>Last lines</p></article>")
+    found = _texts(spark, copies)
+    assert all(t.startswith("First lines\n") and t.endswith("\nLast lines") for t in found.values())
+
+
+def test_subtrees_are_counted_before_lists(spark):
+    # The nav is a part of its section, so that the section as a whole recurs.
+    page = "<article><section><nav>Links</nav><p>About us</p></section><p>%s</p></article>"
+    one = html_text.Page(page % "a")
+    other = html_text.Page(page.replace("Links", "Other") % "a")
+    assert set(one.hashes) != set(other.hashes) and len(one.hashes) == 4
+
+
 @pytest.mark.parametrize("name", sorted(EXPECTED_SQL))
 def test_sql_counterparts(spark, sf_dir, name):
     import duckdb
