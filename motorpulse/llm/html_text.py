@@ -43,7 +43,7 @@ BLOCKS = frozenset(
 )
 #: Elements without any text of the page.
 SILENT = frozenset("script style noscript template iframe embed svg head title noembed noframes".split())
-NO_ARTICLE = frozenset("nav footer aside form math canvas audio object video map button select textarea dialog menu datalist".split())
+NO_ARTICLE = frozenset("nav footer aside map button select textarea dialog menu datalist".split())
 CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup popup "
@@ -65,6 +65,7 @@ CLOSES = {
 }
 #: Elements that hold a whole article and are never template themselves.
 WHOLES = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE_BORDER = {"td", "th", "table", "button", "object"}
 
 TAG = re.compile(
@@ -85,7 +86,8 @@ def _values(attributes: str) -> dict[str, str]:
 
 
 def _listed(tag: str, values: dict[str, str], inside: bool) -> bool:
-    """Whether the lists leave out the element."""
+    """Whether the lists leave out the element; ``inside`` an article or main they take
+    whole class names only, and a heading's id says nothing anywhere."""
     if tag in NO_ARTICLE or (tag == "header" and not inside):
         return True
     if not values:
@@ -94,9 +96,12 @@ def _listed(tag: str, values: dict[str, str], inside: bool) -> bool:
     if tag in WHOLES:
         return tag == "article" and not COMMENTS.isdisjoint(classes)
     meant = set(classes)
-    names = NAME_PART.findall(" ".join([*classes, values.get("id", "")]))
-    # "has-sidebar" and the like say what stands beside an element, not what it is.
-    meant |= {n for n, before in zip(names, ["", *names]) if before not in ("has", "with", "no", "without")}
+    if not inside:
+        names = NAME_PART.findall(" ".join(classes))
+        # "has-sidebar" and the like say what stands beside an element, not what it is.
+        meant |= {n for n, before in zip(names, ["", *names]) if before not in ("has", "with", "no", "without")}
+        if tag not in HEADINGS:
+            meant.add(values.get("id", ""))
     style = values.get("style", "").replace(" ", "")
     return (
         not CLASSES.isdisjoint(meant)

@@ -296,6 +296,24 @@ def test_subtrees_are_counted_before_lists(spark):
     assert set(one.hashes) != set(other.hashes) and len(one.hashes) == 4
 
 
+def test_headings_named_like_boilerplate_stay(spark):
+    source = """<article><h2 id="related-work">Related</h2><section id="search-algorithms"><p>Search</p></section>
+<h3 id="how-to-share-files">Share</h3><p class="no-comments reply-rate">Rate</p><div class="share">Out</div>
+<p>Sum <math><mi>x</mi></math></p><video>No video</video></article>"""
+    assert _texts(spark, [source]) == {0: "Related\nSearch\nShare\nRate\nSum x\nNo video"}
+
+
+def test_form_around_a_page_stays(spark):
+    sources = [
+        "<form><div>Menu of many words that are more than the article</div><article><p>In article</p></article></form>",
+        "<form><p>A page without an article in a form</p></form>",
+        "<article><p>Long text of the article</p><form>Mail</form></article>",
+    ]
+    found = _texts(spark, sources)
+    assert "In article" in found[0] and found[1] == "A page without an article in a form"
+    assert found[2] == "Long text of the article"
+
+
 @pytest.mark.parametrize("name", sorted(EXPECTED_SQL))
 def test_sql_counterparts(spark, sf_dir, name):
     import duckdb
