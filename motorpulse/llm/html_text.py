@@ -364,7 +364,7 @@ def extract(
     null or has no host are in no site and lose no template. Equal and nearly equal
     articles count once towards a template, so that copies of an article do not delete
     it. Of what is left, the blocks of the article and main elements are the text, or all
-    blocks if those have none. One row per row.
+    blocks if those hold less than half of it. One row per row.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")
@@ -380,9 +380,10 @@ def extract(
         lambda b: F.col("recurring").isNull() | ~F.arrays_overlap(b["around"], F.col("recurring")),
     )
     found = cleaned.select("page_id", "url", left.alias("left"))
+    chars = lambda rows: F.aggregate(rows, F.lit(0), lambda n, b: n + F.length(b["text"]))
     inside = F.filter("left", lambda b: b["inside"])
     found = found.select("page_id", "url", "left", inside.alias("inside"))
-    place = F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("left"))
+    place = F.when(2 * chars(F.col("inside")) >= chars(F.col("left")), F.col("inside")).otherwise(F.col("left"))
     text = F.array_join(F.transform(place, lambda b: b["text"]), "\n")
     return found.select("page_id", "url", text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")

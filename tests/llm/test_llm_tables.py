@@ -314,6 +314,18 @@ def test_form_around_a_page_stays(spark):
     assert found[2] == "Long text of the article"
 
 
+def test_text_around_articles_stays(spark):
+    sources = [
+        "<main><h1>Title</h1><p>Lead</p><article><p>Middle</p></article><p>End</p></main>",
+        f"<main><p>{_article(1)}</p></main><article>Teaser</article>",
+        f"<div><p>{_article(2)}</p></div><article>Teaser</article>",
+        f"<p>Before</p><article><p>{_article(3)}</p></article>",
+    ]
+    found = _texts(spark, sources)
+    assert found[0] == "Title\nLead\nMiddle\nEnd"
+    assert _article(1) in found[1] and _article(2) in found[2] and found[3] == _article(3)
+
+
 @pytest.mark.parametrize("name", sorted(EXPECTED_SQL))
 def test_sql_counterparts(spark, sf_dir, name):
     import duckdb
