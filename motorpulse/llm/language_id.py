@@ -19,6 +19,15 @@ from .shared import slices
 
 GRAM = 3
 DIMENSIONS = 1024
+#: A text is in no language below twice the deviation of a random vector's cosine ...
+LEAST_SCORE = 2 / DIMENSIONS**0.5
+#: ... and below this share of the median of its language's documents of its size.
+LEAST_SHARE = 0.5
+#: Sizes, powers of two, and the documents that a median needs at least.
+SIZES = 24
+LEAST_DOCS = 5
+#: Documents whose scores set the medians, about.
+SCORED_DOCS = 20_000
 #: n-grams whose vectors a task remembers before it starts anew.
 REMEMBERED_GRAMS = 30_000
 UNKNOWN = "und"
@@ -185,3 +194,49 @@ def identify(
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text is 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def _size(text: Column) -> Column:
+    """Power of two of the letters in a text's different words: 0 to ``SIZES`` - 1."""
+    words = F.array_distinct(F.split(F.lower(text), r"\P{L}+"))
+    letters = F.greatest(F.length(F.array_join(words, "")), F.lit(1))
+    return F.least(F.floor(F.log2(letters)), F.lit(SIZES - 1)).cast("int")
+
+
+def limits(
+    docs: DataFrame, languages: dict[str, list[int]], text: str = "text", lang: str = "lang"
+) -> dict[str, list[float]]:
+    """Least score of a text in every language, for every size, from the scores of the
+    learned documents themselves.
+
+    ``LEAST_SHARE`` of the median, that of all languages where one has too few documents
+    of a size, and that of a smaller size where all have; below the least such size it
+    falls with the root of the letters. Never less than ``LEAST_SCORE``.
+    """
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang IS NOT NULL")
+    share = SCORED_DOCS / max(1, rows.count())
+    if share < 1:
+        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    scored = identify(rows, languages).where("lang_pred = lang")
+    scored = scored.select("lang", _size(F.col("text")).alias("size"), "score")
+    median = F.percentile_approx("score", 0.5).alias("median")
+    counted = scored.rollup("size", "lang").agg(F.count("*").alias("n"), median).where("size IS NOT NULL")
+    known = {(r["lang"], r["size"]): r["median"] for r in counted.collect() if r["n"] >= LEAST_DOCS}
+    made = {}
+    for name in sorted(languages):
+        own = [known.get((name, k), known.get((None, k))) for k in range(SIZES)]
+        first = next((k for k in range(SIZES) if own[k] is not None), None)
+        for k in range(SIZES):
+            if own[k] is None and first is not None:
+                own[k] = own[k - 1] if k > first else own[first] * 2 ** ((k - first) / 2)
+        made[name] = [max(LEAST_SCORE, LEAST_SHARE * (m or 0.0)) for m in own]
+    return made
+
+
+def in_language(least: dict[str, list[float]], text: str = "text") -> Column:
+    """Whether a row that ``identify`` named is in that language, by ``limits``."""
+    if not least:
+        return F.lit(False)
+    of_lang = F.create_map(*(c for n, v in least.items() for c in (F.lit(n), F.array(*map(F.lit, v)))))
+    limit = of_lang[F.col("lang_pred")][_size(F.col(text))]
+    return F.coalesce(F.col("score") >= limit, F.lit(False))

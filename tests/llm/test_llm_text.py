@@ -168,6 +168,27 @@ def test_language_of_odd_texts(spark):
     assert language_id.identify(odd.limit(0), learned).count() == 0
 
 
+def test_language_stage_rejects_foreign_and_junk_texts(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rng = random.Random(9)
+    planted = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400)),
+        "for (int i = 0; i < n; i++) { sum += arr[i] * weights[i]; if (sum > max) return null; }",
+        "".join(rng.choice("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/") for _ in range(600)),
+        "q", "12", "", None,
+    ]
+    rows = [(-1 - k, t, None, "x", 0) for k, t in enumerate(planted)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, both, sf_dir).select("doc_id").collect()}
+    clean = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert min(kept) >= 0 and len(kept) >= 0.995 * len(clean), (min(kept), len(kept), len(clean))
+
+
 def test_language_vectors_are_sums_of_bound_letters(spark):
     import numpy as np
 
