@@ -2,7 +2,8 @@
 
 P(grade > k) = sigmoid(w . x - threshold_k), with one weight vector w over hashed text
 features for all grades and thresholds in ascending order. The expected grade orders
-documents, the tail probability of the best grade selects them.
+documents, the tail probability of the best grade selects them. Words that mark the grade
+below the best keep a text out of it.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ WORD_VALUE = 1.0
 #: Weight of the ridge.
 RIDGE = 1e-4
 STEPS = 250
+#: Words that this share of their good documents has in toxic ones are marks. A text with
+#: any of them is not likely of the best grade, whatever its other words.
+MARKS_FROM = 0.95
+#: Value of the feature of having a mark.
+MARK_VALUE = 5.0
 GRADES = 3
 #: Documents are kept from this probability of the best grade on.
 KEEP_FROM = 0.6
@@ -105,8 +111,19 @@ WIDTH = BUCKETS + 2 * SHAPES + 3 + 20
 class Ordinal:
     """Weights and ascending thresholds of a cumulative-link model."""
 
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
+    def __init__(
+        self, weights: np.ndarray, thresholds: np.ndarray, marks: np.ndarray | None = None, mark_weight: float = 0.0
+    ):
         self.weights, self.thresholds = weights, thresholds
+        self.marks = np.zeros(len(weights), bool) if marks is None else marks
+        self.mark_weight = mark_weight
+
+    def score(self, columns: np.ndarray, values: np.ndarray) -> float:
+        """The score of a text; with a mark it does not pass the last threshold."""
+        score = float(self.weights[columns] @ values)
+        if self.marks[columns].any():
+            return min(score + self.mark_weight, float(self.thresholds[-1]))
+        return score
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for every score and threshold."""
@@ -134,6 +151,17 @@ def _telling(rows: list, y: np.ndarray, grades: int) -> np.ndarray:
     return telling
 
 
+def _marks(rows: list, grades: int) -> np.ndarray:
+    """Word columns of ``LEAST_DOCS`` documents of the grade below the best, and of hardly any of the best."""
+    there = np.zeros((2, WIDTH), np.int32)
+    for columns, _, g in rows:
+        if g >= grades - 2:
+            there[g - grades + 2, columns] += 1
+    marks = (there[0] >= LEAST_DOCS) & (there[0] >= MARKS_FROM * there.sum(axis=0))
+    marks[BUCKETS:] = False
+    return marks
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) -> Ordinal:
     """The model of (columns, values, grade) by gradient steps on the ridge likelihood.
 
@@ -144,6 +172,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) ->
         return Ordinal(weights, thresholds)
     y = np.array([g for _, _, g in rows])
     telling = _telling(rows, y, grades)
+    marks = _marks(rows, grades)
+    telling |= marks
     used = np.flatnonzero(telling)
     place = np.zeros(WIDTH, np.int32)
     place[used] = np.arange(len(used))
@@ -153,11 +183,16 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) ->
     values = np.concatenate([v[k] for (_, v, _), k in zip(rows, kept)])
     owner = np.repeat(np.arange(len(rows)), [int(k.sum()) for k in kept])
     del kept
+    # The last weight is that of having any mark.
+    marked = np.unique(owner[marks[used][columns]])
+    columns = np.concatenate([columns, np.full(len(marked), len(used))])
+    values = np.concatenate([values, np.full(len(marked), MARK_VALUE)])
+    owner = np.concatenate([owner, marked])
 
     # Thresholds are written as the first and the logarithms of the steps between them.
     shares = np.clip([np.mean(y <= k) for k in range(grades - 1)], 0.01, 0.99)
     cuts = np.log(shares / (1 - shares))
-    params = np.concatenate([[cuts[0]], np.log(np.maximum(np.diff(cuts), 0.1)), np.zeros(len(used))])
+    params = np.concatenate([[cuts[0]], np.log(np.maximum(np.diff(cuts), 0.1)), np.zeros(len(used) + 1)])
     mean, square = np.zeros_like(params), np.zeros_like(params)
     k = grades - 1
     for step in range(1, STEPS + 1):
@@ -178,7 +213,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) ->
             [
                 [by_cut.sum()],
                 [np.exp(params[j]) * by_cut[j:].sum() for j in range(1, k)],
-                np.bincount(columns, values * by_score[owner], len(used)) + RIDGE * params[k:],
+                np.bincount(columns, values * by_score[owner], len(used) + 1) + RIDGE * params[k:],
             ]
         )
         mean = 0.9 * mean + 0.1 * gradient
@@ -186,8 +221,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES) ->
         rate = 0.05 * (1 - step / (STEPS + 1))
         params -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     cuts = np.concatenate([[params[0]], params[0] + np.cumsum(np.exp(params[1:k]))])
-    weights[used] = params[k:]
-    return Ordinal(weights, cuts)
+    weights[used] = params[k:-1]
+    return Ordinal(weights, cuts, marks, MARK_VALUE * float(params[-1]))
 
 
 def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,7 +278,7 @@ def rate(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
     whole texts are read however long, and equal texts are rated equal.
     """
     names = ("expected_grade", "p_best")
-    state = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
+    state = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.marks, model.mark_weight))
     position = docs.columns.index(text)
     schema = docs.schema
     for name in names:
@@ -251,12 +286,9 @@ def rate(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
     keep = [k for k, c in enumerate(docs.columns) if c not in names]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, thresholds = state.value
-        features, model = Features(), Ordinal(weights, thresholds)
+        features, model = Features(), Ordinal(*state.value)
         for batch in slices(batches, position):
-            scores = np.array(
-                [weights[c] @ v for c, v in map(features, batch.column(position).to_pylist())]
-            )
+            scores = np.array([model.score(*features(t)) for t in batch.column(position).to_pylist()])
             tails = model.tails(scores)
             columns = [batch.column(k) for k in keep]
             made = [pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])]

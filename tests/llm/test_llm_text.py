@@ -242,6 +242,25 @@ def test_quality_of_held_out_documents(spark):
     assert kept["clean"] > 0.97 and kept["bad"] < 0.05 and kept["toxic"] < 0.45, kept
 
 
+def test_toxic_documents_leak_little_on_held_out_labels(spark):
+    import duckdb
+
+    path = "/root/testdata/sf0.1"
+    rows = duckdb.sql(
+        f"SELECT d.doc_id, text, quality, toxic FROM '{path}/documents.parquet' d "
+        f"JOIN '{path}/labels.parquet' USING (doc_id) ORDER BY doc_id"
+    ).fetchall()
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    taught = table.where("doc_id % 3 > 0")
+    rated = quality.rate(table.where("doc_id % 3 = 0"), quality.learn(taught, taught))
+    shares = Counter()
+    for r in rated.collect():
+        kind = "bad" if not r["quality"] else "toxic" if r["toxic"] else "clean"
+        shares[kind, r["p_best"] >= quality.KEEP_FROM] += 1
+    kept = {k: shares[k, True] / (shares[k, True] + shares[k, False]) for k in ("bad", "toxic", "clean")}
+    assert kept["clean"] > 0.97 and kept["bad"] < 0.02 and kept["toxic"] < 0.1, kept
+
+
 def test_quality_of_odd_inputs(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1), (2, None, 1)], "doc_id long, quality int, toxic int")
     docs = _docs(spark, [None, "good text", "", "good text", "w " * 200_000], p_best=None)
