@@ -125,4 +125,104 @@ JOIN f n ON n.place = l.place % (SELECT count(*) FROM led) + 1 AND n.version = 0
 """
 
 
-EXPECTED_SQL = {"op4_mixing": MIXING, "op6_chat": CHAT, "op7_fingerprints": _fingerprints()}
+_FINITE = "embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0"
+
+
+def _integers(factor: int) -> str:
+    """Doubles that hold the integers: their products and sums stay exact."""
+    return f"[floor({factor} * x::DOUBLE) for x in embedding] AS weights"
+
+
+TOPK = f"""
+WITH vectors AS (SELECT vec_id, {_integers(1024)} FROM embeddings WHERE {_FINITE}),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.weights, c.weights)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank",
+           vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE "rank" <= 10
+"""
+
+HARD_NEGATIVES = f"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_integers(256)}
+    FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           list_dot_product(a.weights, c.weights)::BIGINT AS score
+    FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS "rank",
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM negatives WHERE "rank" <= 10
+"""
+
+AUDIT = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words
+    FROM documents
+), rated AS (
+    SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic
+    FROM labels GROUP BY doc_id
+), firsts AS (
+    SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text
+), failed AS (
+    SELECT d.part, coalesce(r.good, 0) AS good, coalesce(r.toxic, 0) AS toxic,
+           map {{
+               'A': len(words) < 100,
+               'B': 100 * len(list_distinct(words)) < 80 * len(words),
+               'C': 100 * len(regexp_replace(d.text, '[^A-Z]+', '', 'g')) > 10 * len(d.text),
+               'D': regexp_matches(d.text, '[#$%&*|]'),
+               'E': coalesce(f.first_id < d.doc_id, false)
+           }} AS fails
+    FROM docs d JOIN firsts f ON d.text = f.text LEFT JOIN rated r ON d.doc_id = r.doc_id
+), grouped AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter,
+           string_split(filter_order[1:step - 1], '') AS before
+    FROM orders, range(1, 6) AS t(step)
+), placed AS (
+    SELECT g.part, s.filter_order, s.step, s.letter, n, good, toxic, fails[s.letter] AS here,
+           len([b for b in s.before if b <> '' AND fails[b]]) > 0 AS earlier,
+           len([v for v in map_values(fails) if v]) = 1 AS single
+    FROM grouped g, steps s
+), summed AS (
+    SELECT part, filter_order, step, letter,
+           coalesce(sum(n) FILTER (NOT here AND NOT earlier), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (here AND NOT earlier), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (here AND earlier), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (here AND single), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (here AND NOT earlier), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (here AND NOT earlier), 0)::BIGINT AS toxic_lost
+    FROM placed GROUP BY part, filter_order, step, letter
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM summed
+"""
+
+EXPECTED_SQL = {
+    "op4_mixing": MIXING,
+    "op6_chat": CHAT,
+    "op7_fingerprints": _fingerprints(),
+    "op11_topk": TOPK,
+    "op12_audit": AUDIT,
+    "op13_hard_negatives": HARD_NEGATIVES,
+}

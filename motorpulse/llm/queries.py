@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     chat,
+    filter_audit,
     fingerprints,
+    hard_negatives,
     html_text,
     language_id,
     minhash,
@@ -18,6 +20,7 @@ from . import (
     near_embeddings,
     quality,
     token_counts,
+    topk_search,
 )
 from .shared import table
 
@@ -116,6 +119,19 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(texts, learned).drop("text")
 
 
+def op11_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk_search.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_near_embeddings": op2_near_embeddings,
@@ -127,4 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_minhash": op9_minhash,
     "op10_language": op10_language,
+    "op11_topk": op11_topk,
+    "op12_audit": op12_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
