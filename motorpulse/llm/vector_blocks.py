@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-#: Rows of a block of candidates, between these, and queries of a block, at most on average.
-LEAST_ROWS, MOST_ROWS, QUERY_ROWS = 1024, 65_536, 2048
+#: Rows of a block of candidates, if there are fewer blocks than shuffle partitions.
+LEAST_ROWS = 1024
+#: Numbers of a block of candidates and of a block of queries, as wide as the widest, on average.
+MOST_NUMBERS, QUERY_NUMBERS = 4 << 20, 1 << 17
 #: Sums below this are exact in 64 bits, a hundred times over too.
 SAFE = 2**56
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
@@ -80,14 +82,17 @@ def met(queries: DataFrame, rows: DataFrame, task: Callable, schema: str) -> Dat
     """``task(queries, rows)`` of Arrow tables for every block of one and every block of the other.
 
     Rows are dealt to blocks by number, so no key gathers more than another. There are
-    about as many blocks as shuffle partitions, each of ``LEAST_ROWS`` to ``MOST_ROWS``
-    rows; more rows make more blocks. A side is copied once per block of the other.
+    about as many blocks as shuffle partitions, of ``LEAST_ROWS`` rows at least; more or
+    wider rows make more blocks, so that one as a matrix has ``MOST_NUMBERS`` numbers. A
+    side is copied once per block of the other.
     """
     spark = rows.sparkSession
-    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n, asked = rows.count(), queries.count()
-    parts = max(-(-n // MOST_ROWS), min(-(-n // LEAST_ROWS), wide), 1)
-    turns = max(-(-asked // QUERY_ROWS), 1)
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (n, width), (asked, longest) = (
+        df.agg(F.count("*"), F.coalesce(F.max(F.size("weights")), F.lit(0))).first() for df in (rows, queries)
+    )
+    parts = max(-(-n * width // MOST_NUMBERS), min(-(-n // LEAST_ROWS), slots), 1)
+    turns = max(-(-asked * longest // QUERY_NUMBERS), 1)
     deal = lambda k: F.pmod(F.xxhash64("row"), F.lit(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     asking = queries.withColumn("turn", deal(turns)).withColumn("part", every(parts))

@@ -24,8 +24,8 @@ VECTORS = "vec_id long, embedding array<double>, label int, row string, `a b` st
 def blocks(request, monkeypatch):
     if request.param == "many blocks":
         monkeypatch.setattr(vector_blocks, "LEAST_ROWS", 40)
-        monkeypatch.setattr(vector_blocks, "MOST_ROWS", 90)
-        monkeypatch.setattr(vector_blocks, "QUERY_ROWS", 3)
+        monkeypatch.setattr(vector_blocks, "MOST_NUMBERS", 90 * 14)
+        monkeypatch.setattr(vector_blocks, "QUERY_NUMBERS", 3 * 14)
 
 
 def _vectors(seed: int) -> list[tuple]:
