@@ -6,16 +6,18 @@ know which one they read.
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..files import make_directory, path_exists
+from ..files import create_text, make_directory, move_into, names_in, path_exists
 from ..schemas import ENVELOPE, FILE_MESSAGE
 
 
@@ -76,12 +78,20 @@ class KafkaTopic:
         messages.select("value").write.format("kafka").options(**self.sink_options()).save()
 
 
+#: Where a file topic keeps unfinished batches and its commit log. Readers of files pass
+#: over names that begin like this.
+STAGED, COMMITS = "_staged", "_commits"
+
+
 @dataclass(frozen=True)
 class FileTopic:
     """A directory of message files. The broker's time is stamped when they are written.
 
     Everything is added batch by batch, whatever writes it, so several jobs may write
-    one topic and a job may change its options between two runs.
+    one topic and a job may change its options between two runs. A batch is staged where
+    no reader looks, entered in the commit log and then moved as a whole to where readers
+    see it. One that died before its entry was never visible and is staged anew; one that
+    died later is only moved. So readers, streams too, get every message once.
     """
 
     path: str
@@ -130,13 +140,20 @@ class FileTopic:
         spark = messages.sparkSession
         if path_exists(spark, f"{self.path}/_spark_metadata"):
             raise RuntimeError(f"{self.path} was written by a file sink and shows only its files")
-        stamped = self._stamped(messages)
-        if batch_id is None:
-            stamped.write.format(self.format).mode("append").save(self.path)
-            return
-        target = f"{self.path}/writer={writer}/batch_id={batch_id}"
-        if not path_exists(spark, f"{target}/_SUCCESS"):
-            stamped.write.format(self.format).mode("overwrite").save(target)
+        name = f"writer={writer}/batch_id={uuid4().hex if batch_id is None else batch_id}"
+        staged, shown = f"{self.path}/{STAGED}/{name}", f"{self.path}/{name}"
+        # Batches from before there was a log were finished by a file of Spark's.
+        if not self.committed(spark, name) and not path_exists(spark, f"{shown}/_SUCCESS"):
+            self._stamped(messages).write.format(self.format).mode("overwrite").save(staged)
+            files = sorted(n for n in names_in(spark, staged) if not n.startswith(("_", ".")))
+            self._commit(spark, name, files)
+        move_into(spark, staged, shown)
+
+    def committed(self, spark: SparkSession, batch: str) -> bool:
+        return path_exists(spark, f"{self.path}/{COMMITS}/{batch}")
+
+    def _commit(self, spark: SparkSession, batch: str, files: list[str]) -> None:
+        create_text(spark, f"{self.path}/{COMMITS}/{batch}", json.dumps({"files": files}))
 
 
 @dataclass(frozen=True)

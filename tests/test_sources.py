@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import json
+import shutil
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from motorpulse.schemas import ENVELOPE
 from motorpulse.session import (
@@ -17,6 +22,8 @@ from motorpulse.sources import (
     merge_topics,
     split_topics,
 )
+from motorpulse.sources import messages
+from motorpulse.streaming import start_appending
 
 
 def test_split_topics():
@@ -118,3 +125,82 @@ def test_session_settings(spark):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# The commit log of file topics ---------------------------------------------------------
+
+
+def _values(df):
+    return sorted(bytes(r.value).decode() for r in df.collect())
+
+
+def _drained(spark, topic, folder):
+    """All that a stream with a checkpoint has seen of a topic, run after run."""
+    seen = FileTopic(f"{folder}/seen", "seen")
+    start_appending(topic.stream(spark), seen, f"{folder}/c", trigger={"availableNow": True}).awaitTermination()
+    return _values(seen.batch(spark)) if seen.exists(spark) else []
+
+
+def test_a_batch_that_died_while_writing_is_not_seen(spark, folder):
+    topic = _topic(spark, folder, "t", "a")
+    broken = spark.range(8, numPartitions=4).select(
+        F.when(F.col("id") < 7, F.col("id").cast("string")).otherwise(F.raise_error(F.lit("lost"))).alias("value")
+    )
+    with pytest.raises(Exception, match="lost"):
+        topic.append(broken, 0, "w")
+    assert _values(topic.batch(spark)) == ["a"] and _drained(spark, topic, folder) == ["a"]
+    topic.append(spark.createDataFrame([("b",), ("c",)], "value string"), 0, "w")
+    assert _drained(spark, topic, folder) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("dies_in", ["_commit", "move_into"])
+def test_a_batch_that_died_in_its_commit_is_seen_once(spark, folder, monkeypatch, dies_in):
+    topic = FileTopic(f"{folder}/t", "t")
+    rows = spark.createDataFrame([(str(k),) for k in range(20)], "value string").repartition(4)
+
+    def die(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(FileTopic if dies_in == "_commit" else messages, dies_in, die)
+        with pytest.raises(RuntimeError, match="lost"):
+            topic.append(rows, 3, "w")
+    assert _drained(spark, topic, folder) == []
+    assert topic.committed(spark, "writer=w/batch_id=3") is (dies_in == "move_into")
+    for _ in range(2):
+        topic.append(rows, 3, "w")  # the replay, and one too many
+        assert _drained(spark, topic, folder) == sorted(map(str, range(20)))
+
+
+def test_a_move_that_was_cut_off_is_finished(spark, folder, monkeypatch):
+    """A store that moves file by file leaves both folders behind when it dies."""
+    topic = FileTopic(f"{folder}/t", "t")
+    rows = spark.createDataFrame([(str(k),) for k in range(20)], "value string").repartition(4)
+    with monkeypatch.context() as patch:
+        patch.setattr(messages, "move_into", lambda *_: None)
+        topic.append(rows, 0, "w")
+    staged, shown = Path(folder, "t/_staged/writer=w/batch_id=0"), Path(folder, "t/writer=w/batch_id=0")
+    shown.mkdir(parents=True)
+    first, second = sorted(staged.glob("*.parquet"))[:2]
+    first.rename(shown / first.name)
+    shutil.copy(second, shown / second.name)  # copied and not yet deleted
+    assert len(_drained(spark, topic, folder)) < 20
+    topic.append(rows, 0, "w")
+    assert _drained(spark, topic, folder) == sorted(map(str, range(20))) and not staged.exists()
+
+
+def test_batches_from_before_the_log_are_not_added_again(spark, folder):
+    topic = FileTopic(f"{folder}/t", "t")
+    rows = spark.createDataFrame([("a", None)], "value string, timestamp timestamp")
+    rows.write.parquet(f"{folder}/t/writer=w/batch_id=0")
+    topic.append(rows, 0, "w")
+    assert _values(topic.batch(spark)) == ["a"]
+
+
+def test_two_writers_may_number_their_batches_alike(spark, folder):
+    topic = FileTopic(f"{folder}/t", "t")
+    for writer in "vw":
+        topic.append(spark.createDataFrame([(writer,)], "value string"), 0, writer)
+    assert _values(topic.batch(spark)) == ["v", "w"]
+    log = json.loads(Path(folder, "t/_commits/writer=v/batch_id=0").read_text())
+    assert log["files"] == sorted(p.name for p in Path(folder, "t/writer=v/batch_id=0").glob("*.parquet"))
