@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.enrich import LOOKUPS
 from .operators.dimensions import load_profile, preview, write_fixed_dimensions
+from .operators.enrich import LOOKUPS
+from .operators.fleet_store import KEYS, PROFILE, FleetStore
 from .schemas import (
     ALERT_TOPIC,
+    CARS,
     COUNTER_TOPICS,
     ENRICHED_TOPIC,
     RAW_TOPIC,
     REFRESH_EVERY,
 )
-from .session import kafka_package, session, state_store_settings
+from .session import kafka_package, object_store_settings, session, state_store_settings
 from .sources.messages import FileTopic, FileTopics, KafkaTopic, split_topics
 from .streaming import STEPS, SnapshotTable, drain, fleet_steps, start, wait_for_any
 from .streaming.jobs import MODES
@@ -25,8 +28,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="motorpulse", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
 
-    dims = commands.add_parser("dims", help="write the model and color tables")
+    dims = commands.add_parser("dims", help="write the model and color tables, and publish cars")
     dims.add_argument("--dims", required=True, help="folder of the dimension tables")
+    cars = dims.add_mutually_exclusive_group()
+    cars.add_argument("--cars", help="publish a version with these cars (.csv, .json or Parquet)")
+    cars.add_argument("--add-cars", help="publish a version with these cars beside those stored")
+    dims.add_argument("--buckets", type=int, default=32, help="files of the car profile")
 
     run = commands.add_parser("run", help="run the streaming jobs")
     topics = run.add_mutually_exclusive_group(required=True)
@@ -55,6 +62,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--hot-cars", help="comma-separated ids of cars with very many events")
     run.add_argument("--on-malformed", choices=("keep", "drop"), default="keep")
     run.add_argument("--every", default=REFRESH_EVERY, help="refresh of the counts")
+    for command in (dims, run):
+        command.add_argument("--endpoint", help="object store, with the keys of AWS_ACCESS_KEY_ID")
+        command.add_argument("--region", default="us-east-1", help="region of the object store")
     args = parser.parse_args(argv)
     if args.command == "run" and args.mode == "panes" and args.only_latest:
         parser.error("--only-latest keeps a window, and --mode panes stores none")
@@ -84,9 +94,12 @@ def _topics(args: argparse.Namespace) -> dict:
 
 def _run(args: argparse.Namespace, spark: SparkSession) -> None:
     paths = [f"{args.dims}/{name}" for name in ("cars", "car_models", "car_colors")]
+    store = FleetStore(args.dims)
+    published = store.exists(spark)
 
     def profile(current: SparkSession) -> DataFrame:
-        return load_profile(current, *paths)
+        """Of the newest published version, or made of plain tables where none was published."""
+        return store.profile(current) if published else load_profile(current, *paths)
 
     counts_every = {"availableNow": True} if args.drain else {"processingTime": args.every}
     panes = args.mode == "panes"
@@ -114,17 +127,41 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
         wait_for_any(spark, start(steps, args.from_step))
 
 
-def main(argv: list[str] | None = None) -> None:
-    args = _arguments(argv)
-    if args.command == "dims":
-        spark = session("motorpulse-dims")
+def _cars(spark: SparkSession, path: str) -> DataFrame:
+    kind = next((k for k in ("csv", "json") if path.endswith(f".{k}")), "parquet")
+    options = {"header": "true", "mode": "FAILFAST"} if kind == "csv" else {}
+    return spark.read.format(kind).schema(CARS).options(**options).load(path)
+
+
+def _dims(args: argparse.Namespace, spark: SparkSession) -> None:
+    if not (args.cars or args.add_cars):
         tables = {"car_models": "model_id", "car_colors": "color_id"}
         write_fixed_dimensions(spark, *[f"{args.dims}/{name}" for name in tables])
         for name, key in tables.items():
             preview(spark.read.parquet(f"{args.dims}/{name}"), key).show(truncate=False)
         return
+    brought = {"cars": args.cars} if args.cars else {"new_cars": args.add_cars}
+    store = FleetStore(args.dims, args.buckets)
+    version = store.publish(spark, **{k: _cars(spark, path) for k, path in brought.items()})
+    print(f"version {version.number}")
+    preview(version.read(spark, PROFILE), KEYS[PROFILE]).show(truncate=False)
+
+
+def _store_settings(args: argparse.Namespace) -> dict[str, str]:
+    if not args.endpoint:
+        return {}
+    keys = [os.environ.get(k) for k in ("AWS_ACCESS_KEY_ID", "AWS_SECRET_ACCESS_KEY")]
+    return object_store_settings(args.endpoint, *keys, region=args.region)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
+    settings = _store_settings(args)
+    if args.command == "dims":
+        _dims(args, session("motorpulse-dims", settings=settings))
+        return
     packages = [kafka_package()] if args.servers else []
-    _run(args, session("motorpulse", packages=packages, settings=state_store_settings()))
+    _run(args, session("motorpulse", packages=packages, settings=state_store_settings() | settings))
 
 
 if __name__ == "__main__":

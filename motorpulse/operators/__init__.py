@@ -20,9 +20,14 @@ from .dimensions import (
     write_fixed_dimensions,
 )
 from .enrich import attach_profile, enrich, fits_broadcast, frequent_keys
+from .fleet_store import FleetStore
+from .versions import PublishedMeanwhileError, VersionedTables, keys_in_both
 
 __all__ = [
     "DuplicateKeysError",
+    "FleetStore",
+    "PublishedMeanwhileError",
+    "VersionedTables",
     "alerts",
     "attach_profile",
     "car_profile",
@@ -31,6 +36,7 @@ __all__ = [
     "enrich",
     "fits_broadcast",
     "frequent_keys",
+    "keys_in_both",
     "latest_closed_window",
     "latest_window",
     "load_dimension",

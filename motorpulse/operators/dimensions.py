@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import delete, move_into
 from ..schemas import CAR_COLORS, CAR_MODELS, CAR_PROFILE, COLOR_ROWS, MODEL_ROWS
 from ..sources.tables import literal_table, read_table, require_columns
 
@@ -51,17 +53,21 @@ def load_dimension(
     return one_row_per_key(read_table(spark, path, columns), key)
 
 
-def car_profile(cars: DataFrame, models: DataFrame, colors: DataFrame) -> DataFrame:
+def car_profile(
+    cars: DataFrame, models: DataFrame, colors: DataFrame, *, unique: bool = False
+) -> DataFrame:
     """Join the dimensions among themselves into one row per car.
 
     Model and color hang on the car alone, so the event side needs a single join
     with this table where three would each pass over every event. Cars without a
-    known model or color stay, with NULLs.
+    known model or color stay, with NULLs. ``unique`` says that the keys are known
+    to be unique, which spares an aggregate of each table.
     """
+    one = (lambda df, _: df) if unique else one_row_per_key
     joined = (
-        one_row_per_key(cars, "car_id")
-        .join(one_row_per_key(models, "model_id"), "model_id", "left")
-        .join(one_row_per_key(colors, "color_id"), "color_id", "left")
+        one(cars, "car_id")
+        .join(one(models, "model_id"), "model_id", "left")
+        .join(one(colors, "color_id"), "color_id", "left")
     )
     return joined.select(*CAR_PROFILE.fieldNames())
 
@@ -80,13 +86,21 @@ def load_profile(
 def write_dimension(df: DataFrame, path: str, key: str, *, files: int | None = None) -> None:
     """Replace a dimension after checking its key. ``files`` limits the file count.
 
-    Without ``files`` the table is written in parallel. A query that reads the
-    table while it is replaced needs dimensions re-read per micro-batch.
+    Without ``files`` the table is written in parallel. The rows are computed once: they
+    are staged beside the table, checked as written, and then take its place. A query that
+    has begun with the files before fails; jobs that must go on while tables are replaced
+    read a ``FleetStore``.
     """
-    require_unique(require_columns(df, [key], path), key)
-    if files is not None:
-        df = df.coalesce(files)
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    require_columns(df, [key], path)
+    staged = f"{path.rstrip('/')}-{uuid4().hex}"
+    try:
+        (df.coalesce(files) if files is not None else df).write.parquet(staged)
+        require_unique(spark.read.schema(df.schema).parquet(staged), key)
+        delete(spark, path)
+        move_into(spark, staged, path)
+    finally:
+        delete(spark, staged)
 
 
 def write_fixed_dimensions(spark: SparkSession, models_path: str, colors_path: str) -> None:
