@@ -56,6 +56,13 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(jvm_path)] if files.exists(jvm_path) else []
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of what a directory holds, with the milliseconds of their last change."""
+    jvm_path, files = _resolve(spark, path)
+    found = files.listStatus(jvm_path) if files.exists(jvm_path) else []
+    return {s.getPath().getName(): s.getModificationTime() for s in found}
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     jvm_path, files = _resolve(spark, path)
     stream = files.open(jvm_path)

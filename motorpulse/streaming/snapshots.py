@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import time as clock
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..files import (
+    create_text,
     delete,
     make_directory,
     matching_names,
     matching_parents,
     matching_paths,
+    modified,
     path_exists,
+    read_text,
 )
 
 PREFIX = "batch_id="
@@ -22,40 +29,72 @@ DAY = "day="
 #: An empty table, read where no day is stored.
 COLUMNS = "columns"
 WRITER = "_writer="
+#: One entry per batch: which batch has the newest files of every day.
+LOG = "_log"
 
 
 @dataclass(frozen=True)
 class SnapshotTable:
     """One directory per micro-batch, the newest finished one being the table.
 
-    A batch written by ``write_days`` holds just the days it touches. Of every day the
-    newest finished batch counts, so files of other days stay as they are.
+    A batch written by ``write_days`` holds just the days it touches. Its entry in the log
+    says which batch has the newest files of every day, so files of other days stay as
+    they are, and neither readers nor writers list folders: what a batch costs does not
+    depend on how many days there are files of, but for the entry itself.
 
-    A replayed batch finds its directory finished and leaves it, so each batch
+    A replayed batch finds its entry, or its directory finished, and leaves it, so each batch
     counts once; a table therefore belongs to one checkpoint, whose id it bears, and
-    refuses another's batches: both start anew together. The one before stays for readers that have begun with it. Meant
-    for results that grow with time and not with events: ``files`` is how many
-    files each snapshot has.
+    refuses another's batches: both start anew together. The last ``keep`` batches stay
+    for readers that have begun with them, and in a table by days all that are younger than
+    ``keep_seconds`` too. Meant for results that grow with time and not with events:
+    ``files`` is how many files each snapshot has.
     """
 
     path: str
     keep: int = 2
     files: int = 4
+    keep_seconds: int = 3600
 
     def _finished(self, spark: SparkSession, prefix: str = PREFIX) -> list[int]:
         done = matching_parents(spark, f"{self.path}/{prefix}*/_SUCCESS")
         return sorted(int(name.removeprefix(prefix)) for name in done)
 
-    def _days(self, spark: SparkSession) -> dict[int, list[int]]:
-        """Finished batches of every day, in ascending order."""
-        done = set(self._finished(spark, CHANGED))
-        found: dict[int, list[int]] = {}
-        for path in matching_paths(spark, f"{self.path}/{CHANGED}*/{DAY}*"):
+    def _logged(self, spark: SparkSession) -> dict[int, int]:
+        """Batches in the log, in ascending order, and when they were entered."""
+        found = modified(spark, f"{self.path}/{LOG}")
+        return {int(n): found[n] for n in sorted((n for n in found if n.isdigit()), key=int)}
+
+    def _read_entry(self, spark: SparkSession, batch_id: int) -> tuple[dict[int, int], T.StructType]:
+        entry = json.loads(read_text(spark, f"{self.path}/{LOG}/{batch_id}"))
+        return {int(day): i for day, i in entry["days"].items()}, T.StructType.fromJson(entry["schema"])
+
+    def _entry(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
+        return self._read_entry(spark, batch_id)[0]
+
+    def _days(
+        self, spark: SparkSession, before: int | None = None
+    ) -> tuple[dict[int, int], T.StructType | None]:
+        """The batch that has the newest files of every day, as of before a batch, and the
+        columns of the table where the log tells them."""
+        logged = list(self._logged(spark))
+        if logged:
+            older = [i for i in logged if before is None or i < before]
+            return self._read_entry(spark, older[-1]) if older else ({}, None)
+        return self._listed(spark, before), None
+
+    def _listed(self, spark: SparkSession, before: int | None) -> dict[int, int]:
+        """The same of a table from before there was a log: by its folders."""
+        done = {i for i in self._finished(spark, CHANGED) if before is None or i < before}
+        found: dict[int, int] = {}
+        for path in matching_paths(spark, f"{self.path}/{CHANGED}*/{DAY}*") if done else ():
             batch, day = path.split("/")[-2:]
-            batch_id = int(batch.removeprefix(CHANGED))
+            batch_id, number = int(batch.removeprefix(CHANGED)), int(day.removeprefix(DAY))
             if batch_id in done:
-                found.setdefault(int(day.removeprefix(DAY)), []).append(batch_id)
-        return {day: sorted(ids) for day, ids in found.items()}
+                found[number] = max(batch_id, found.get(number, batch_id))
+        return found
+
+    def _by_days(self, spark: SparkSession) -> bool:
+        return path_exists(spark, f"{self.path}/{LOG}") or bool(self._finished(spark, CHANGED))
 
     def read(
         self, spark: SparkSession, before: int | None = None, days: list[int] | None = None
@@ -64,22 +103,20 @@ class SnapshotTable:
 
         ``days`` limits a table written by days to some of them.
         """
-        newest = {}
-        for day, ids in self._days(spark).items():
-            older = [i for i in ids if before is None or i < before]
-            if older and (days is None or day in days):
-                newest[day] = older[-1]
-        if newest:
-            parts = [f"{self.path}/{CHANGED}{i}/{DAY}{day}" for day, i in sorted(newest.items())]
-            return spark.read.parquet(*parts)
-        if self._finished(spark, CHANGED):
+        newest, schema = self._days(spark, before)
+        wanted = newest if days is None else newest.keys() & set(days)
+        if wanted:
+            parts = [f"{self.path}/{CHANGED}{newest[day]}/{DAY}{day}" for day in sorted(wanted)]
+            reader = spark.read if schema is None else spark.read.schema(schema)
+            return reader.parquet(*parts)
+        if self._by_days(spark):
             return spark.read.parquet(f"{self.path}/{COLUMNS}")
         ids = [i for i in self._finished(spark) if before is None or i < before]
         return spark.read.parquet(f"{self.path}/{PREFIX}{ids[-1]}") if ids else None
 
     def _claim(self, spark: SparkSession, writer: str) -> None:
         owners = [n.removeprefix(WRITER) for n in matching_names(spark, f"{self.path}/{WRITER}*")]
-        if not owners and (self._finished(spark) or self._finished(spark, CHANGED)):
+        if not owners and (self._finished(spark) or self._by_days(spark)):
             owners = ["unknown"]
         if owners and owners != [writer]:
             raise RuntimeError(
@@ -91,7 +128,7 @@ class SnapshotTable:
     def write(self, df: DataFrame, batch_id: int, writer: str = "batch") -> None:
         spark = df.sparkSession
         self._claim(spark, writer)
-        if self._finished(spark, CHANGED):
+        if self._by_days(spark):
             raise RuntimeError(f"{self.path} is written by days and cannot go on as a whole")
         target = f"{self.path}/{PREFIX}{batch_id}"
         if not path_exists(spark, f"{target}/_SUCCESS"):
@@ -112,26 +149,37 @@ class SnapshotTable:
         if self._finished(spark):
             raise RuntimeError(f"{self.path} is written as a whole and cannot go on by days")
         target = f"{self.path}/{CHANGED}{batch_id}"
-        if not path_exists(spark, f"{target}/_SUCCESS"):
+        logged = self._logged(spark)
+        if batch_id not in logged and not (not logged and path_exists(spark, f"{target}/_SUCCESS")):
             key = F.coalesce(day_of(time), F.raise_error(F.lit(f"{time} is null")).cast("long"))
             dealt = df.withColumn("day", key).repartition("day")
             if not path_exists(spark, f"{self.path}/{COLUMNS}/_SUCCESS"):
                 none = spark.createDataFrame([], df.schema)
                 none.write.mode("overwrite").parquet(f"{self.path}/{COLUMNS}")
+            older, _ = self._days(spark, batch_id)
             to = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
             to.partitionBy("day").parquet(target)
+            written = [int(n.removeprefix(DAY)) for n in modified(spark, target) if n.startswith(DAY)]
+            days = older | dict.fromkeys(written, batch_id)
+            create_text(spark, f"{self.path}/{LOG}/{batch_id}", json.dumps({"days": days, "schema": df.schema.jsonValue()}))
         self._prune_days(spark)
 
     def _prune_days(self, spark: SparkSession) -> None:
-        left = set()
-        for day, ids in self._days(spark).items():
-            left.update(ids[-self.keep :])
-            for old in ids[: -self.keep]:
-                delete(spark, f"{self.path}/{CHANGED}{old}/{DAY}{day}")
-        # The newest batch stays, even without a day, as only that may be replayed.
-        for batch_id in self._finished(spark, CHANGED)[:-1]:
-            if batch_id not in left:
-                delete(spark, f"{self.path}/{CHANGED}{batch_id}")
+        """Drop the entries that are neither among the last nor young, and their files."""
+        logged = self._logged(spark)
+        since = (clock.time() - self.keep_seconds) * 1000
+        old = list(takewhile(lambda i: logged[i] < since, list(logged)[: -self.keep]))
+        if not old:
+            return
+        # A later entry names what the first that stays names, or what came after that.
+        kept = set(self._entry(spark, next(i for i in logged if i > old[-1])).items())
+        gone = set().union(*(self._entry(spark, i).items() for i in old)) - kept
+        for day, batch_id in gone:
+            delete(spark, f"{self.path}/{CHANGED}{batch_id}/{DAY}{day}")
+        for batch_id in {*old, *(i for _, i in gone)} - {i for _, i in kept}:
+            delete(spark, f"{self.path}/{CHANGED}{batch_id}")
+        for batch_id in old:
+            delete(spark, f"{self.path}/{LOG}/{batch_id}")
 
 
 def day_of(time: str) -> Column:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 from threading import Thread
@@ -40,7 +41,7 @@ from motorpulse.streaming import (
     start_writers,
     wait_for_any,
 )
-from motorpulse.streaming import chain
+from motorpulse.streaming import chain, snapshots
 from motorpulse.streaming.jobs import windows_of_panes
 
 DRAIN = {"availableNow": True}
@@ -279,7 +280,7 @@ def _files(folder):
 
 
 def test_a_batch_leaves_the_files_of_other_days(spark, folder):
-    table = SnapshotTable(f"{folder}/t")
+    table = SnapshotTable(f"{folder}/t", keep_seconds=0)
     rows = lambda *days: spark.sql(
         "SELECT timestamp_seconds(86400L * day) AS at, n FROM VALUES "
         + ", ".join(f"({d}, {n})" for d, n in days) + " AS t(day, n)"
@@ -303,6 +304,62 @@ def test_a_batch_leaves_the_files_of_other_days(spark, folder):
     assert empty.read(spark).columns == ["at", "n"] and empty.read(spark).count() == 0
 
 
+def _day_rows(spark, *days):
+    values = ", ".join(f"({d}, {n})" for d, n in days)
+    return spark.sql(f"SELECT timestamp_seconds(86400L * day) AS at, n FROM VALUES {values} AS t(day, n)")
+
+
+def test_a_reader_goes_on_while_batches_come(spark, folder):
+    young = SnapshotTable(f"{folder}/t")
+    young.write_days(_day_rows(spark, (1, 1), (2, 2)), 0, time="at")
+    reader = young.read(spark)
+    for batch in range(1, 11):
+        young.write_days(_day_rows(spark, (2, batch)), batch, time="at")
+    assert sorted(r["n"] for r in reader.collect()) == [1, 2]
+    # Once they are old, only the last entries, and the files that these name, stay.
+    SnapshotTable(f"{folder}/t", keep_seconds=0).write_days(_day_rows(spark, (3, 3)), 11, time="at")
+    assert sorted(int(p.name) for p in Path(folder, "t/_log").glob("[0-9]*")) == [10, 11]
+    assert sorted(p.parent.name + "/" + p.name for p in Path(folder).glob("t/changed=*/day=*")) == [
+        "changed=0/day=1", "changed=10/day=2", "changed=11/day=3"
+    ]
+    assert sorted(p.name for p in Path(folder).glob("t/changed=*")) == ["changed=0", "changed=10", "changed=11"]
+    assert sorted(r["n"] for r in young.read(spark).collect()) == [1, 3, 10]
+
+
+def test_a_batch_that_died_before_its_entry_is_not_read(spark, folder, monkeypatch):
+    table = SnapshotTable(f"{folder}/t")
+    table.write_days(_day_rows(spark, (1, 1)), 0, time="at")
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "create_text", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.write_days(_day_rows(spark, (1, 9), (2, 9)), 1, time="at")
+    assert [r["n"] for r in table.read(spark).collect()] == [1]
+    table.write_days(_day_rows(spark, (1, 5)), 1, time="at")
+    assert [r["n"] for r in table.read(spark).collect()] == [5]
+
+
+def test_folders_are_not_listed_batch_after_batch(spark, folder, monkeypatch):
+    table = SnapshotTable(f"{folder}/t")
+    table.write_days(_day_rows(spark, *[(d, d) for d in range(40)]), 0, time="at")
+    asked = []
+    for name in ("matching_paths", "matching_parents"):
+        plain = getattr(snapshots, name)
+        monkeypatch.setattr(snapshots, name, lambda s, p, f=plain: asked.append(p) or f(s, p))
+    table.write_days(_day_rows(spark, (7, 70)), 1, time="at")
+    assert sum(r["n"] for r in table.read(spark).collect()) == sum(range(40)) + 63
+    assert not [p for p in asked if "changed" in p]
+
+
+def test_a_table_from_before_the_log_goes_on(spark, folder):
+    table = SnapshotTable(f"{folder}/t")
+    for batch in range(2):
+        table.write_days(_day_rows(spark, (1, batch), (2 + batch, 5)), batch, time="at")
+    shutil.rmtree(f"{folder}/t/_log")
+    assert sorted(r["n"] for r in table.read(spark).collect()) == [1, 5, 5]
+    table.write_days(_day_rows(spark, (2, 7)), 2, time="at")
+    assert sorted(r["n"] for r in table.read(spark).collect()) == [1, 5, 7]
+
+
 def test_a_table_refuses_another_checkpoint(spark, topics, folder):
     _send(spark, topics["alerts"], _event(1), _event(2), _event(3))
     table = SnapshotTable(f"{folder}/w")
