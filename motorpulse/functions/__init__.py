@@ -1,4 +1,4 @@
-from .codec import decode, encode
+from .codec import decode, encode, field_faults
 from .columns import (
     alert_condition,
     color_of,
@@ -13,4 +13,5 @@ __all__ = [
     "encode",
     "event_timestamp",
     "expected_gear",
+    "field_faults",
 ]

@@ -48,6 +48,53 @@ def decode(
     )
 
 
+def _kind(variant: Column) -> Column:
+    """What a JSON value is; NULL where there is none or it is null itself."""
+    found = F.schema_of_variant(variant)
+    return (
+        F.when(found.isNull() | (found == "VOID"), F.lit(None).cast("string"))
+        .when(found == "STRING", "text")
+        .when(found == "BOOLEAN", "boolean")
+        .when(found.startswith("OBJECT"), "object")
+        .when(found.startswith("ARRAY"), "list")
+        .when((found == "BIGINT") | found.rlike(r"^DECIMAL\(\d+,0\)$"), "integer")
+        .otherwise("fraction")
+    )
+
+
+def field_faults(
+    messages: DataFrame, schema: T.StructType, *, envelope: Sequence[str] = ()
+) -> DataFrame:
+    """The fields that ``decode`` makes NULL though the message has a value for them.
+
+    One row per such field: the ``envelope``, ``field``, ``kind`` (text, integer, fraction,
+    boolean, object, list) and ``found``, the value as text. A field that is absent or null
+    is no fault, nor are the fields of a message that is no JSON object or names a field
+    twice: that message is at fault as a whole. Messages are read a second time, as
+    VARIANT, only where a field is NULL.
+    """
+    names = schema.fieldNames()
+    text = F.col("value").cast("string")
+    both = F.struct(text.alias("text"), F.from_json(text, schema).alias("typed"))
+    # Out of a generator, so that each message is parsed once (see decode).
+    rows = messages.select(*envelope, F.explode(F.array(both)).alias("m"))
+    lacking = F.lit(False)
+    for name in names:
+        lacking = lacking | F.col("m.typed")[name].isNull()
+    read = F.when(lacking, F.try_parse_json(F.col("m.text")))
+    rows = rows.select(*envelope, "m", F.explode(F.array(F.struct(read.alias("doc")))).alias("v"))
+
+    def fault(name: str) -> Column:
+        path = f"$['{name}']"
+        value = F.try_variant_get("v.doc", path, "variant")
+        kind = F.when(F.col("m.typed")[name].isNull(), _kind(value))
+        shown = F.try_variant_get("v.doc", path, "string")
+        return F.struct(F.lit(name).alias("field"), kind.alias("kind"), shown.alias("found"))
+
+    faults = F.explode(F.array(*map(fault, names)))
+    return rows.select(*envelope, faults.alias("f")).where("f.kind IS NOT NULL").select(*envelope, "f.*")
+
+
 def encode(df: DataFrame, *, envelope: Sequence[str] = ()) -> DataFrame:
     """Pack all columns into one JSON text column ``value``; NULL fields are left out."""
     fields = [c for c in df.columns if c not in envelope]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import timedelta
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,14 @@ def slides_per_window(length: str, slide: str) -> int:
     return whole
 
 
+def pane_length(length: str, slide: str) -> str:
+    """The longest stretch of time that both divides the windows and their slide."""
+    micros = [d // timedelta(microseconds=1) for d in (duration(length), duration(slide))]
+    if micros[1] > micros[0]:
+        raise ValueError(f"slide {slide!r} is longer than length {length!r}")
+    return f"{gcd(*micros)} microseconds"
+
+
 def pane_counts(
     df: DataFrame,
     *,
@@ -87,7 +96,8 @@ def pane_counts(
     counted: Sequence[str] = COUNTED_COLORS,
     maxima: Sequence[str] = MAXIMA,
 ) -> DataFrame:
-    """Counts per slide of time. They combine into the windows of any multiple of it."""
+    """Counts per slide of time. They combine into all windows whose length and slide are
+    multiples of it."""
     panes = df.groupBy(F.window("event_ts", slide)).agg(*_measures(counted, maxima))
     rest = [c for c in panes.columns if c != "window"]
     return panes.select(F.col("window.start").alias("pane_start"), *rest)
@@ -96,8 +106,11 @@ def pane_counts(
 def combine_panes(
     panes: DataFrame, *, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE
 ) -> DataFrame:
-    """Sliding windows from panes; a pane may occur in several parts."""
-    slides_per_window(length, slide)
+    """Sliding windows from panes; a pane may occur in several parts.
+
+    The length of a pane has to divide both ``length`` and ``slide``.
+    """
+    pane_length(length, slide)
     measures = [c for c in panes.columns if c.startswith(("num_of_", "maximum_"))]
     windows = panes.groupBy(F.window("pane_start", length, slide))
     return _bounds(windows.agg(*_combined(measures)))
@@ -116,15 +129,15 @@ def window_counts(
     """Rows, rows per counted color and maxima in every sliding window.
 
     ``direct`` copies each row into all its windows before grouping. ``panes``
-    groups rows by slide first and copies only those groups, so the copies grow
-    with time and no longer with the rows. Batch uses panes where the slide
-    divides the length. A stream that keeps all windows (complete mode) or
+    groups rows first, by slide or, where that does not divide the length, by the
+    greatest stretch that divides both, and copies only those groups: the copies grow
+    with time and no longer with the rows, and there are never more groups than rows.
+    Batch uses panes. A stream that keeps all windows (complete mode) or
     updates them allows one aggregation only and so counts directly; in append
     mode ``panes`` may be asked for.
     """
     if method is None:
-        divides = not duration(length) % duration(slide)
-        method = "panes" if divides and not df.isStreaming else "direct"
+        method = "direct" if df.isStreaming else "panes"
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
 
@@ -133,11 +146,11 @@ def window_counts(
         windows = timed.groupBy(F.window("event_ts", length, slide))
         return _bounds(windows.agg(*_measures(counted, maxima)))
     if not df.isStreaming:
-        panes = pane_counts(timed, slide=slide, counted=counted, maxima=maxima)
+        panes = pane_counts(timed, slide=pane_length(length, slide), counted=counted, maxima=maxima)
         return combine_panes(panes, length=length, slide=slide)
 
-    slides_per_window(length, slide)
-    panes = timed.groupBy(F.window("event_ts", slide)).agg(*_measures(counted, maxima))
+    pane = F.window("event_ts", pane_length(length, slide))
+    panes = timed.groupBy(pane).agg(*_measures(counted, maxima))
     measures = [c for c in panes.columns if c != "window"]
     windows = panes.groupBy(F.window(F.window_time("window"), length, slide))
     return _bounds(windows.agg(*_combined(measures)))

@@ -132,6 +132,27 @@ _BODIES: dict[str, str] = {
         from en
     """,
     "recoded_messages": f"select {ENRICHED} from en",
+    "field_faults": """
+        , sent as (
+          select event_id, case event_type
+                   when 'view' then json_object('car_id', car_id, 'speed', cast(speed as varchar), 'rpm', rpm, 'gear', gear)
+                   when 'signup' then json_object('car_id', car_id > 0, 'speed', speed, 'rpm', rpm, 'gear', gear + 0.5)
+                   when 'purchase' then json_object('car_id', car_id, 'speed', speed, 'rpm', rpm + 3000000000, 'gear', gear)
+                   when 'click' then json_object('car_id', car_id, 'speed', speed, 'rpm', null, 'gear', [gear])
+                   else json_object('car_id', car_id, 'speed', speed, 'rpm', null, 'gear', [gear])
+                 end as message
+          from tel where event_type <> 'error'
+        ), fields as (
+          select event_id, field, json_type(message, '$.' || field) as type,
+                 json_extract_string(message, '$.' || field) as found
+          from sent, (select unnest(['car_id', 'speed', 'rpm', 'gear']) as field) f
+        )
+        select event_id, field, found,
+               case type when 'VARCHAR' then 'text' when 'BOOLEAN' then 'boolean' when 'DOUBLE' then 'fraction'
+                         when 'ARRAY' then 'list' when 'OBJECT' then 'object' else 'integer' end as kind
+        from fields
+        where type <> 'NULL' and (type not in ('UBIGINT', 'BIGINT') or cast(found as hugeint) > 2147483647)
+    """,
     "window_fields": """
         select event_id, date_trunc('minute', ts) as window_start,
                date_trunc('minute', ts) + interval 1 minute as window_end
@@ -205,6 +226,18 @@ _BODIES: dict[str, str] = {
     "alerts": f"select {ENRICHED} from al",
     "alert_windows": "select * from windows",
     "alert_windows_direct": "select * from windows",
+    "alert_windows_uneven": """
+        , uneven as (
+          select make_timestamp((epoch_us(ts) // 240000000 - g.m) * 240000000) as window_start, al.*
+          from al, (select unnest(range(0, 3)) as m) g
+        )
+        select window_start, window_start + interval 10 minute as window_end, count(*) as num_of_rows,
+               cast(count(*) filter (where lower(color_name) = 'asia') as bigint) as num_of_asia,
+               cast(count(*) filter (where lower(color_name) = 'europe') as bigint) as num_of_europe,
+               cast(count(*) filter (where lower(color_name) = 'africa') as bigint) as num_of_africa,
+               max(speed) as maximum_speed, max(gear) as maximum_gear, max(rpm) as maximum_rpm
+        from uneven where ts < window_start + interval 10 minute group by 1, 2
+    """,
     "message_windows": """
         , arrived as (select coalesce(event_ts, ts) as t, speed, gear, rpm from mixed)
         select date_trunc('minute', t) - to_minutes(g.m) as window_start,
@@ -223,6 +256,20 @@ _BODIES: dict[str, str] = {
         where window_end <= (select date_trunc('minute', max(ts)) + interval 1 minute from al)
         order by window_end desc limit 1
     """,
+    "dimension_versions": """
+        , versions as (
+          select 1 as version, car_id, driver_id, model_id, color_id from cars
+          union all select 2, car_id, driver_id, model_id, color_id from all_cars
+          union all select 3, car_id, driver_id + 1, model_id, color_id from all_cars
+        )
+        select version, count(*) as cars, count(brand_name) as known_models,
+               count(color_name) as known_colors, cast(sum(driver_id) as bigint) as drivers
+        from versions
+        left join models on models.model_id = versions.model_id
+        left join colors on colors.color_id = versions.color_id
+        group by 1
+    """,
+    "enriched_from_store": f"select {ENRICHED} from en",
     "streamed_messages": f"select {RAW} from tel",
     "streamed_enrichment": f"select {ENRICHED} from en",
     "streamed_refresh": f"""
@@ -234,6 +281,12 @@ _BODIES: dict[str, str] = {
                substr('{{"event_id":"' || event_id || '","event_time":"' || strftime(ts, '%Y-%m-%d'), 1, 20)
         from tel where event_type = 'error'
     """,
+    "streamed_versions": f"""
+        select {RAW}, cast(driver_id + cast(event_id as bigint) % 4 as int) as driver_id,
+               brand_name, model_name, color_name, expected_gear
+        from en
+    """,
+    "streamed_once": f"select {ENRICHED} from en",
     "streamed_alerts": f"select {ENRICHED} from al",
     "streamed_windows_complete": "select * from windows",
     "streamed_windows_update": "select * from windows",
@@ -242,6 +295,19 @@ _BODIES: dict[str, str] = {
     "streamed_latest_window": LATEST,
     "streamed_latest_window_bounded": LATEST,
     "streamed_panes": "select * from windows",
+    "streamed_late": """
+        , bounds as (
+          select min(ts) + (max(ts) - min(ts)) * 0.75 as edge from events
+        ), newest as (
+          select max(al.ts) - interval 20 minute as behind from al, bounds where al.ts > edge
+        ), placed as (
+          select speed, al.ts <= edge and al.ts < behind as late from al, bounds, newest
+        )
+        select cast(count(*) filter (where not late) as bigint) as counted,
+               max(speed) filter (where not late) as maximum_speed,
+               count(*) filter (where late) as late
+        from placed
+    """,
     "chained_topics": "select * from windows",
 }
 

@@ -108,6 +108,25 @@ def mixed_messages(events: DataFrame) -> DataFrame:
     return _parsed(events).select(*_in_envelope(cut))
 
 
+def faulty_messages(events: DataFrame) -> DataFrame:
+    """Messages with a field of a wrong kind, by event type; those of type ``error`` are cut off."""
+    plain = {c: F.col(c) for c in ("event_id", "event_time", "car_id", "speed", "rpm", "gear")}
+
+    def text(**fields: Column) -> Column:
+        return F.to_json(F.struct(*(c.alias(n) for n, c in (plain | fields).items())))
+
+    kind = F.col("event_type")
+    written = (
+        F.when(kind == "view", text(speed=F.col("speed").cast("string")))
+        .when(kind == "signup", text(gear=F.col("gear") + F.lit(0.5), car_id=F.col("car_id") > 0))
+        .when(kind == "purchase", text(rpm=F.col("rpm") + F.lit(3_000_000_000)))
+        .when(kind == "error", F.substring(text(), 1, 20))
+        .otherwise(text(rpm=F.lit(None).cast("int"), gear=F.array("gear")))
+    )
+    rows = _parsed(events).select(kind, *_telemetry(_iso_text()))
+    return rows.select("event_id", written.alias("value"))
+
+
 def all_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_cars(table(spark, sf_dir, "customer"))
 

@@ -6,6 +6,7 @@ Timestamps are handed out without a zone at the very end, as the tables have the
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import partial
 from itertools import count
 from os import getpid
@@ -14,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import codec
 from ..functions.codec import decode, encode
 from ..functions.columns import alert_condition, color_of, event_timestamp, expected_gear
 from ..operators.alerts import alerts
 from ..operators.counts import latest_closed_window, latest_window, normalize, window_counts
 from ..operators.dimensions import duplicate_keys, one_row_per_key, preview, write_dimension
 from ..operators.enrich import attach_profile, enrich, frequent_keys
+from ..operators.fleet_store import FleetStore
 from ..schemas import CAR_COLORS, COLOR_ROWS, COUNTER_INPUT, ENRICHED_EVENT, RAW_EVENT
 from ..session import shared_folder
 from ..sources.messages import FileTopic, merge_topics
@@ -152,6 +155,12 @@ def recoded_messages(spark: SparkSession, sf: str) -> DataFrame:
     return decode(encode(enriched(spark, sf)), ENRICHED_EVENT)
 
 
+def field_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that decoding makes NULL, with what the message has in their place."""
+    messages = fleet.faulty_messages(_events(spark, sf))
+    return codec.field_faults(messages, RAW_EVENT, envelope=["event_id"])
+
+
 def window_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Start and end taken out of the window struct of every event's own minute."""
     rows = normalize(_telemetry(spark, sf).withColumn("color", F.lit(None).cast("string")))
@@ -299,19 +308,59 @@ def latest_closed_alert_window(spark: SparkSession, sf: str) -> DataFrame:
     return latest_closed_window(alert_windows(spark, sf))
 
 
+# Versions of the dimensions ---------------------------------------------------------------
+
+
+def _fleet_models(spark: SparkSession, sf: str) -> DataFrame:
+    models = fleet.models(spark, sf)
+    return models.withColumnsRenamed({"brand_name": "car_brand", "model_name": "car_model"})
+
+
+def dimension_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of the fleet: its first cars, all others added, all drivers changed."""
+    store = FleetStore(f"{_folder(spark)}/dims", buckets=8)
+    everyone, first = fleet.all_cars(spark, sf), fleet.cars(spark, sf)
+    models, colors = _fleet_models(spark, sf), fleet.colors(spark, sf)
+    rest = everyone.join(first.select("car_id"), "car_id", "left_anti")
+    made = [
+        store.publish(spark, first, models, colors),
+        store.publish(spark, new_cars=rest),
+        store.publish(spark, everyone.withColumn("driver_id", F.col("driver_id") + 1)),
+    ]
+    rows = [v.read(spark, "profile").withColumn("version", F.lit(v.number)) for v in made]
+    return merge_topics(rows).groupBy("version").agg(
+        F.count(F.lit(1)).alias("cars"),
+        F.count("brand_name").alias("known_models"),
+        F.count("color_name").alias("known_colors"),
+        F.sum("driver_id").alias("drivers"),
+    )
+
+
+def enriched_from_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched with the stored profile, which is neither derived nor shuffled for it."""
+    store = FleetStore(f"{_folder(spark)}/dims", buckets=8)
+    store.publish(spark, fleet.cars(spark, sf), _fleet_models(spark, sf), fleet.colors(spark, sf))
+    return enrich(_telemetry(spark, sf), store.profile(spark))
+
+
 # Streams, each run until its input is used up ------------------------------------------
 
 #: Micro-batches in which a stream gets the events, in order of time.
 PARTS = 4
 
 
+def _edges(spark: SparkSession, sf: str) -> list[datetime]:
+    """The times at which the events are cut into parts of the same duration."""
+    low, high = _events(spark, sf).agg(F.min("ts"), F.max("ts")).first()
+    return [] if low is None else [low + (high - low) * k / PARTS for k in range(1, PARTS)]
+
+
 def _parts(spark: SparkSession, sf: str) -> list[DataFrame]:
     """The events cut into stretches of time, those without a time in the first."""
     events = _events(spark, sf)
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    if low is None:
+    edges = _edges(spark, sf)
+    if not edges:
         return [events]
-    edges = [low + (high - low) * k / PARTS for k in range(1, PARTS)]
     place = sum(((F.col("ts") > F.lit(e)).cast("int") for e in edges), F.lit(0))
     place = F.coalesce(place, F.lit(0))
     return [events.where(place == k) for k in range(PARTS)]
@@ -389,6 +438,43 @@ def streamed_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(text, allowMissingColumns=True)
 
 
+def streamed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Enrichment while the cars are replaced: each micro-batch has the version of its time."""
+    folder = _folder(spark)
+    store = FleetStore(f"{folder}/dims", buckets=8)
+    raw, enriched = FileTopic(f"{folder}/raw", "raw"), FileTopic(f"{folder}/enriched", "enriched")
+    telemetry, cars = _telemetry(spark, sf), fleet.cars(spark, sf)
+    for k in range(PARTS):
+        renamed = cars.withColumn("driver_id", F.col("driver_id") + k)
+        store.publish(spark, renamed, *((_fleet_models(spark, sf), fleet.colors(spark, sf)) if not k else ()))
+        raw.append(encode(telemetry.where(F.col("event_id").cast("long") % PARTS == k)))
+        start_enrichment(
+            raw.stream(spark), store.profile, enriched, f"{folder}/checkpoints/enrich", trigger=DRAIN
+        ).awaitTermination()
+    return decode(enriched.batch(spark), ENRICHED_EVENT)
+
+
+def streamed_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Enrichment of a topic that delivers every third message again, at once or later."""
+    folder = _folder(spark)
+    raw, enriched = FileTopic(f"{folder}/raw", "raw"), FileTopic(f"{folder}/enriched", "enriched")
+    telemetry = _telemetry(spark, sf)
+    number = F.col("event_id").cast("long")
+    for k in range(PARTS):
+        again = (number % 3 == 0) & (number % PARTS <= k)
+        sent = telemetry.where(number % PARTS == k).unionByName(telemetry.where(again))
+        raw.append(encode(sent))
+        start_enrichment(
+            raw.stream(spark),
+            fleet.profile(spark, sf),
+            enriched,
+            f"{folder}/checkpoints/enrich",
+            once_within="1 hour",
+            trigger=DRAIN,
+        ).awaitTermination()
+    return decode(enriched.batch(spark), ENRICHED_EVENT)
+
+
 def streamed_alerts(spark: SparkSession, sf: str) -> DataFrame:
     folder = _folder(spark)
     topic = FileTopic(f"{folder}/alerts", "alerts")
@@ -430,6 +516,27 @@ def streamed_panes(spark: SparkSession, sf: str) -> DataFrame:
     return _without_zone(windows_of_panes(table, spark))
 
 
+def streamed_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts counted or late, where the newest part of the events comes first."""
+    folder = _folder(spark)
+    raw = FileTopic(f"{folder}/raw", "raw")
+    late, table = FileTopic(f"{folder}/late", "late"), SnapshotTable(f"{folder}/panes")
+    found = encode(fleet_alerts(spark, sf))
+    edge = _edges(spark, sf)[-1].strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
+    newest = F.get_json_object("value", "$.event_time") > edge
+    for part in (newest, ~newest):
+        raw.append(found.where(part))
+        start_pane_counts(
+            raw.stream(spark), table, f"{folder}/checkpoints/panes", late=late, trigger=DRAIN
+        ).awaitTermination()
+    counted = table.read(spark).agg(
+        F.sum("num_of_rows").alias("counted"), F.max("maximum_speed").alias("maximum_speed")
+    )
+    behind = late.batch(spark).agg(F.count(F.lit(1)).alias("late"))
+    both = counted.unionByName(behind, allowMissingColumns=True)
+    return both.agg(*(f(c).alias(c) for c, f in zip(both.columns, (F.sum, F.max, F.sum))))
+
+
 def chained_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Enrich, alerts and counts chained by topics; the complete windows at the end."""
     folder = _folder(spark)
@@ -467,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "readable_messages": readable_messages,
     "encoded_messages": encoded_messages,
     "recoded_messages": recoded_messages,
+    "field_faults": field_faults,
     "window_fields": window_fields,
     "alert_flags": alert_flags,
     "timed_events": timed_events,
@@ -490,12 +598,17 @@ QUERIES: dict[str, Query] = {
     "alerts": fleet_alerts,
     "alert_windows": alert_windows,
     "alert_windows_direct": partial(alert_windows, method="direct"),
+    "alert_windows_uneven": partial(alert_windows, length="10 minutes", slide="4 minutes"),
     "message_windows": message_windows,
     "latest_window": latest_alert_window,
     "latest_closed_window": latest_closed_alert_window,
+    "dimension_versions": dimension_versions,
+    "enriched_from_store": enriched_from_store,
     "streamed_messages": streamed_messages,
     "streamed_enrichment": streamed_enrichment,
     "streamed_refresh": streamed_refresh,
+    "streamed_versions": streamed_versions,
+    "streamed_once": streamed_once,
     "streamed_alerts": streamed_alerts,
     "streamed_windows_complete": partial(streamed_windows, mode="complete"),
     "streamed_windows_update": partial(streamed_windows, mode="update"),
@@ -504,5 +617,6 @@ QUERIES: dict[str, Query] = {
     "streamed_latest_window": partial(streamed_windows, mode="complete", only_latest=True),
     "streamed_latest_window_bounded": partial(streamed_windows, mode="update", only_latest=True),
     "streamed_panes": streamed_panes,
+    "streamed_late": streamed_late,
     "chained_topics": chained_topics,
 }

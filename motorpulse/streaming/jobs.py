@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import timedelta
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..files import create_text, delete, names_in, read_text
 from ..functions.codec import decode, encode
-from ..operators.counts import combine_panes, latest_window, normalize, pane_counts
+from ..operators.counts import (
+    combine_panes,
+    duration,
+    latest_window,
+    normalize,
+    pane_counts,
+    window_counts,
+)
 from ..operators.enrich import enrich
 from ..plans.telemetry import alert_messages, counted_windows, enriched_messages
-from ..schemas import COUNTER_INPUT, RAW_EVENT, REFRESH_EVERY
+from ..schemas import COUNTER_INPUT, RAW_EVENT, REFRESH_EVERY, WATERMARK
 from ..sources.messages import Topic
-from .sinks import Trigger, start_appending, start_writers
+from .sinks import Trigger, keep_settings, start_appending, start_writers
 from .snapshots import SnapshotTable, day_of
 
 MODES = ("complete", "update", "append")
@@ -30,6 +41,7 @@ def start_enrichment(
     on_malformed: str = "keep",
     quarantine: Topic | None = None,
     lookup: str = "auto",
+    once_within: str | None = None,
     trigger: Trigger = None,
     name: str = "enrich",
     **how,
@@ -40,12 +52,19 @@ def start_enrichment(
     the query. Given as a function it is read anew in every micro-batch.
     ``quarantine`` receives the text of malformed messages instead of the sink.
 
-    The query keeps no state, so Spark adapts its plan in every micro-batch and
-    broadcasts a profile that turns out small. ``how`` may name ``hot_keys`` and
+    ``once_within`` drops messages that are delivered again: of those with one event id
+    that arrive within this time (or some micro-batches more) the first counts. State holds
+    the ids of that time only. Messages without an id all stay.
+
+    Without that the query keeps no state, so Spark adapts its plan in every micro-batch
+    and broadcasts a profile that turns out small; with it the profile is joined behind
+    the state, in a plan that is adapted as well. ``how`` may name ``hot_keys`` and
     ``salts`` for ``lookup="salted"``.
     """
     how["lookup"] = lookup
-    if not callable(profile) and quarantine is None:
+    if once_within is not None:
+        keep_settings(messages.sparkSession, checkpoint, {"once_within": duration(once_within)})
+    elif not callable(profile) and quarantine is None:
         out = enriched_messages(messages, profile, on_malformed=on_malformed, **how)
         return start_appending(out, sink, checkpoint, trigger=trigger, name=name)
 
@@ -61,12 +80,30 @@ def start_enrichment(
         quarantine.append(bad.select(F.col("malformed").alias("value")), batch_id, writer)
 
     events = decode(
-        messages, RAW_EVENT, on_malformed="quarantine" if quarantine else on_malformed
+        messages,
+        RAW_EVENT,
+        on_malformed="quarantine" if quarantine else on_malformed,
+        envelope=["timestamp"] if once_within else (),
     )
+    if once_within:
+        events = first_deliveries(events, once_within)
     writers = [write_events, write_malformed] if quarantine else [write_events]
     return start_writers(events, writers, checkpoint, trigger=trigger, name=name)
 
 
+def first_deliveries(
+    events: DataFrame, within: str, *, key: str = "event_id", arrival: str = "timestamp"
+) -> DataFrame:
+    """Events without those that arrive again within a time; rows without a key all stay.
+
+    The watermark is that of arrivals, which come in order but for the brokers' own
+    disorder, and not of event times, so that no event is dropped for being old.
+    """
+    named = events.withColumn("delivery", F.coalesce(F.col(key), F.expr("uuid()")))
+    first = named.withWatermark(arrival, within).dropDuplicatesWithinWatermark(["delivery"])
+    return first.drop("delivery", arrival)
+
+
 def start_alerts(
     messages: DataFrame,
     sink: Topic,
@@ -103,6 +140,7 @@ def start_window_counts(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    keep_settings(messages.sparkSession, checkpoint, _kept(mode, only_latest, counts))
     windows = counted_windows(messages, **counts)
     if only_latest and mode == "complete":
         windows = latest_window(windows)
@@ -122,6 +160,15 @@ def start_window_counts(
     return start_writers(windows, [merge], checkpoint, mode=mode, trigger=trigger, name=name)
 
 
+def _kept(mode: str, only_latest: bool, counts: dict) -> dict:
+    """What the state and the result of window counts depend on, defaults included."""
+    given = {k: p.default for k, p in signature(window_counts).parameters.items()} | counts
+    method = given["method"] or "direct"
+    kept = {"mode": mode, "only_latest": only_latest, "method": method}
+    kept |= {k: given[k] and duration(given[k]) for k in ("length", "slide", "watermark")}
+    return kept | {k: list(given[k]) for k in ("counted", "maxima")}
+
+
 def _merge_days(
     rows: DataFrame,
     table: SnapshotTable,
@@ -154,6 +201,8 @@ def start_pane_counts(
     checkpoint: str,
     *,
     on_malformed: str = "keep",
+    late: Topic | None = None,
+    lateness: str = WATERMARK,
     trigger: Trigger = EVERY_MINUTE,
     name: str = "panes",
     **panes,
@@ -165,18 +214,59 @@ def start_pane_counts(
     ``combine_panes(table.read(spark))`` then gives what the complete mode gives,
     rows of any age included, while a minute costs one stored row and no window
     stays in memory.
+
+    With ``late``, rows that come later than ``lateness`` behind the newest event of the
+    micro-batches before go to that topic, as messages, and are not counted: every row
+    that has a time is either counted or there. A replay splits a micro-batch alike.
     """
+    given = {k: p.default for k, p in signature(pane_counts).parameters.items()} | panes
+    kept = {"panes": duration(given["slide"]), "lateness": late and duration(lateness), **{k: list(given[k]) for k in ("counted", "maxima")}}
+    keep_settings(messages.sparkSession, checkpoint, kept)
     rows = decode(
         messages, COUNTER_INPUT, on_malformed=on_malformed, envelope=["timestamp"]
     )
 
     def merge(batch: DataFrame, batch_id: int, writer: str) -> None:
-        new = pane_counts(normalize(batch, fallback="timestamp"), **panes)
-        _merge_days(new, table, batch_id, writer, "pane_start", _added)
+        timed = normalize(batch, fallback="timestamp")
+        if late is not None:
+            timed = timed.persist()
+        try:
+            if late is not None:
+                timed = _on_time(timed, late, duration(lateness), checkpoint, batch_id, writer)
+            _merge_days(pane_counts(timed, **panes), table, batch_id, writer, "pane_start", _added)
+        finally:
+            if late is not None:
+                timed.unpersist()
 
     return start_writers(rows, [merge], checkpoint, trigger=trigger, name=name)
 
 
+def _on_time(
+    timed: DataFrame, late: Topic, lateness: timedelta, checkpoint: str, batch_id: int, writer: str
+) -> DataFrame:
+    """The rows not behind the watermark; the others are sent to ``late``.
+
+    What the newest event of all micro-batches up to each one is, is kept beside the
+    checkpoint for the next one, and for a replay of that.
+    """
+    spark = timed.sparkSession
+    folder = f"{checkpoint}/newest"
+    known = sorted(int(n) for n in names_in(spark, folder) if n.isdigit() and int(n) < batch_id)
+    before = json.loads(read_text(spark, f"{folder}/{known[-1]}")) if known else None
+    newest = timed.agg(F.unix_micros(F.max("event_ts"))).first()[0]
+    newest = max((n for n in (before, newest) if n is not None), default=None)
+    create_text(spark, f"{folder}/{batch_id}", json.dumps(newest))
+    for old in known[:-1]:
+        delete(spark, f"{folder}/{old}")
+    if before is None:
+        late.append(encode(timed.where("false").select(*COUNTER_INPUT.fieldNames())), batch_id, writer)
+        return timed
+    edge = F.timestamp_micros(F.lit(before - lateness // timedelta(microseconds=1)))
+    behind = timed.where(F.col("event_ts") < edge)
+    late.append(encode(behind.select(*COUNTER_INPUT.fieldNames())), batch_id, writer)
+    return timed.where(F.col("event_ts") >= edge)
+
+
 def _added(panes: DataFrame) -> DataFrame:
     totals = [
         (F.max if c.startswith("maximum_") else F.sum)(c).alias(c)

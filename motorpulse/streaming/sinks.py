@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..files import create_text, read_text
 from ..schemas import REFRESH_EVERY
 from ..sources.messages import FileTopic, Topic
 
@@ -83,6 +85,29 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+class ChangedSettingsError(RuntimeError):
+    pass
+
+
+def keep_settings(spark: SparkSession, checkpoint: str, settings: Mapping) -> None:
+    """Store what the state in a checkpoint depends on, or refuse to go on with something else.
+
+    Spark itself notices a changed schema of the state, but not a window of another
+    length, whose counts would be added to those before.
+    """
+    told = {k: str(v) if isinstance(v, timedelta) else v for k, v in settings.items()}
+    file = f"{checkpoint}/settings.json"
+    if create_text(spark, file, json.dumps(told)):
+        return
+    before = json.loads(read_text(spark, file))
+    changed = [f"{k}={before.get(k)!r} and not {told.get(k)!r}" for k in {**before, **told} if before.get(k) != told.get(k)]
+    if changed:
+        raise ChangedSettingsError(
+            f"the checkpoint {checkpoint} was made with {', '.join(changed)}; start anew with "
+            "another checkpoint and another table"
+        )
+
+
 def start_writers(
     df: DataFrame,
     writers: Sequence[BatchWriter],

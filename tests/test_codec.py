@@ -3,8 +3,9 @@ from __future__ import annotations
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from motorpulse.functions import decode, encode
+from motorpulse.functions import decode, encode, field_faults
 from motorpulse.schemas import RAW_EVENT
 
 NOTHING = (None,) * 6
@@ -96,3 +97,41 @@ def test_messages_are_parsed_once_under_a_filter(spark, folder):
     spark.createDataFrame([("{}",)], "value string").write.parquet(f"{folder}/m")
     rows = decode(spark.read.parquet(f"{folder}/m"), RAW_EVENT).where("speed > 1 or rpm > 2")
     assert _plan(rows).count("from_json") == 1
+
+
+def test_field_faults(spark):
+    texts = {
+        "a": '{"event_id": "a", "speed": "50", "gear": 12.5, "rpm": 3000000000, "car_id": true}',
+        "b": '{"event_id": 7, "event_time": {"x": 1}, "speed": [1], "gear": {"y": 2}, "rpm": 1e2}',
+        "c": '{"event_id": "c", "speed": null, "gear": 3, "car_id": -2147483649, "extra": "x"}',
+        "d": '{"speed": 12.0, "rpm": 123456789012345678901234567890, "gear": -0}',
+        "e": '{"speed": "5',
+        "f": "",
+        "g": None,
+        "h": "[1]",
+        "i": '{"speed": 1, "speed": "x"}',
+        "j": '{"event_id": "j", "event_time": "t", "car_id": 1, "speed": 2, "rpm": 3, "gear": 4}',
+    }
+    df = spark.createDataFrame(list(texts.items()), "name string, value string")
+    found = field_faults(df, RAW_EVENT, envelope=["name"])
+    assert found.columns == ["name", "field", "kind", "found"]
+    assert sorted(map(tuple, found.collect())) == [
+        ("a", "car_id", "boolean", "true"), ("a", "gear", "fraction", "12.5"),
+        ("a", "rpm", "integer", "3000000000"), ("a", "speed", "text", "50"),
+        ("b", "gear", "object", '{"y":2}'), ("b", "rpm", "fraction", "100.0"), ("b", "speed", "list", "[1]"),
+        ("c", "car_id", "integer", "-2147483649"),
+        ("d", "rpm", "integer", "123456789012345678901234567890"), ("d", "speed", found_kind(spark), "12"),
+    ]
+    as_bytes = df.withColumn("value", F.col("value").cast("binary"))
+    assert field_faults(as_bytes, RAW_EVENT).count() == 10
+
+
+def found_kind(spark):
+    """Spark keeps 12.0 as the decimal it is written as, or as a shorter one."""
+    kind = spark.sql("""SELECT schema_of_variant(parse_json('12.0'))""").first()[0]
+    return "integer" if kind.endswith(",0)") else "fraction"
+
+
+def test_faults_of_good_messages_are_none(spark):
+    df = spark.createDataFrame([('{"speed": 1}',), ("{}",)], "value string")
+    assert field_faults(df, RAW_EVENT).collect() == []

@@ -15,6 +15,7 @@ from motorpulse.operators import (
     pane_counts,
     window_counts,
 )
+from motorpulse.operators.counts import pane_length
 from motorpulse.schemas import COUNTER_INPUT
 
 SCHEMA = "event_time string, speed int, gear int, rpm int, color string, color_name string"
@@ -91,16 +92,33 @@ def test_counts_equal_brute_force(spark, method, length, slide):
     assert _collected(windows) == _brute(rows, length, slide)
 
 
-def test_direct_takes_a_slide_that_does_not_divide_the_length(spark):
-    rows = _random_rows(5)
+@pytest.mark.parametrize("method", ["direct", "panes", None])
+@pytest.mark.parametrize("length, slide", [(15, 4), (10, 4), (7, 5), (9, 6)])
+def test_a_slide_need_not_divide_the_length(spark, method, length, slide):
+    rows = _random_rows(5 + slide)
     windows = window_counts(
-        normalize(_frame(spark, rows)), length="15 minutes", slide="4 minutes"
+        normalize(_frame(spark, rows)), length=f"{length} minutes", slide=f"{slide} minutes", method=method
     )
-    assert _collected(windows) == _brute(rows, 15, 4)
-    with pytest.raises(ValueError):
-        window_counts(
-            normalize(_frame(spark, rows)), length="15 minutes", slide="4 minutes", method="panes"
-        )
+    assert _collected(windows) == _brute(rows, length, slide)
+
+
+def test_panes_copy_groups_and_not_rows(spark):
+    """Ten times the rows at the same times make no more copies of panes."""
+    rows = _random_rows(3)
+
+    def copied(times):
+        panes = pane_counts(normalize(_frame(spark, rows * times)), slide=pane_length("10 minutes", "4 minutes"))
+        return panes.count()
+
+    assert copied(1) == copied(10) <= len(rows)
+
+
+def test_pane_lengths():
+    assert pane_length("10 minutes", "4 minutes") == f"{120 * 10**6} microseconds"
+    assert pane_length("15 minutes", "1 minute") == f"{60 * 10**6} microseconds"
+    assert pane_length("1 second", "300 milliseconds") == f"{10**5} microseconds"
+    with pytest.raises(ValueError, match="longer"):
+        pane_length("1 minute", "2 minutes")
 
 
 def test_each_row_counts_in_fifteen_windows_in_any_order(spark):

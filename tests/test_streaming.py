@@ -27,6 +27,7 @@ from motorpulse.sources import FileTopic, literal_table
 from motorpulse.sources.messages import FileTopics
 from motorpulse.streaming import (
     STEPS,
+    ChangedSettingsError,
     SnapshotTable,
     drain,
     fleet_steps,
@@ -412,6 +413,95 @@ def test_counts_refresh_every_minute_unless_told(spark, topics, folder, monkeypa
     assert seen["trigger"] == DRAIN
 
 
+# Settings of a checkpoint, redelivery, late rows --------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "changed",
+    [{"slide": "5 minutes"}, {"length": "30 minutes"}, {"counted": ("red",)}, {"maxima": ("speed",)},
+     {"watermark": "1 hour"}, {"mode": "update"}],
+    ids=str,
+)
+def test_a_checkpoint_refuses_other_counts(spark, topics, folder, changed):
+    _send(spark, topics["alerts"], _event(1))
+    table = SnapshotTable(f"{folder}/w")
+    run = lambda **how: start_window_counts(
+        topics["alerts"].stream(spark), table, f"{folder}/c", trigger=DRAIN, **how
+    ).awaitTermination()
+    run()
+    run(length="900 seconds", slide="interval 1 minute")  # the same in other words
+    with pytest.raises(ChangedSettingsError, match=next(iter(changed))):
+        run(**changed)
+    _send(spark, topics["alerts"], _event(2))
+    run()
+    assert table.read(spark).first()["num_of_rows"] == 2
+
+
+def test_a_checkpoint_of_panes_refuses_another_slide(spark, topics, folder):
+    _send(spark, topics["alerts"], _event(1))
+    run = lambda **how: start_pane_counts(
+        topics["alerts"].stream(spark), SnapshotTable(f"{folder}/p"), f"{folder}/c", trigger=DRAIN, **how
+    ).awaitTermination()
+    run()
+    with pytest.raises(ChangedSettingsError, match="panes='0:01:00' and not '0:02:00'"):
+        run(slide="2 minutes")
+
+
+def _arrive(spark, topic, *pairs):
+    """Messages that arrive at the given times."""
+    rows = [(value, _at(at)) for value, at in pairs]
+    topic.append(spark.createDataFrame(rows, "value string, timestamp timestamp").coalesce(1))
+
+
+@pytest.mark.parametrize("refreshed", [False, True])
+def test_redelivered_messages_count_once(spark, topics, folder, refreshed):
+    raw, enriched = topics["raw"], topics["enriched"]
+    profile = (lambda s: _profile(s)) if refreshed else _profile(spark)
+    run = lambda **how: start_enrichment(
+        raw.stream(spark), profile, enriched, f"{folder}/c", trigger=DRAIN, **how
+    )
+    _arrive(spark, raw, (_event(1), "00:00:00"), (_event(1), "00:00:01"), ("not json", "00:00:02"))
+    _arrive(spark, raw, (_event(1, at="00:09:00"), "00:05:00"), (_event(2), "00:05:00"), ("not json", "00:05:00"))
+    for at in ("02:00:00", "02:30:00"):
+        _arrive(spark, raw, (_event(at), at))
+    # An old event that arrives now is no late one.
+    _arrive(spark, raw, (_event(3, at="00:00:00"), "03:00:00"), (_event(2), "03:00:01"))
+    query = run(once_within="10 minutes")
+    query.awaitTermination()
+    found = sorted(r["event_id"] or "-" for r in decode(enriched.batch(spark), ENRICHED_EVENT).collect())
+    # The second 2 came hours later, when its id was forgotten.
+    assert found == ["-", "-", "02:00:00", "02:30:00", "1", "2", "2", "3"]
+    for minute in range(20):
+        _arrive(spark, raw, *[(_event(f"{minute}-{k}"), f"{4 + minute}:00:00") for k in range(5)])
+    query = run(once_within="10 minutes")
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 10
+    with pytest.raises(ChangedSettingsError, match="once_within"):
+        run(once_within="20 minutes")
+
+
+def test_late_rows_go_to_a_topic_of_their_own(spark, topics, folder, monkeypatch):
+    late, table = topics["malformed"], SnapshotTable(f"{folder}/panes")
+    run = lambda: start_pane_counts(
+        topics["alerts"].stream(spark), table, f"{folder}/c", late=late, lateness="20 minutes", trigger=DRAIN
+    ).awaitTermination()
+    for n, times in enumerate([["05:00:30", "00:00:10"], ["04:40:29", "04:40:30", "06:00:00"], ["05:39:59"]]):
+        _send(spark, topics["alerts"], *[_event(f"{n}-{t}", at=t) for t in times])
+    run()
+    counted = lambda: table.read(spark).groupBy().sum("num_of_rows").first()[0]
+    times = lambda: sorted(json.loads(bytes(r.value))["event_time"][11:19] for r in late.batch(spark).collect())
+    # In the first micro-batch nothing is late: there is no newest event before it.
+    assert counted() == 4 and times() == ["04:40:29", "05:39:59"]
+    # A micro-batch that dies after its late rows were sent is split alike when replayed.
+    _send(spark, topics["alerts"], _event("x", at="05:39:58"), _event("y", at="23:00:00"))
+    with monkeypatch.context() as patch:
+        patch.setattr(SnapshotTable, "write_days", lambda *_, **__: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run()
+    run()
+    assert counted() == 5 and times() == ["04:40:29", "05:39:58", "05:39:59"]
+
+
 def test_writers_share_one_batch(spark, topics, folder):
     _send(spark, topics["raw"], "a", "b")
     seen = []
