@@ -12,17 +12,18 @@ import html
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices
+from .shared import slices, stored, with_column
 
 #: A subtree is template if so many different articles of the host and layout have it ...
 LEAST_ARTICLES = 3
@@ -30,7 +31,12 @@ LEAST_ARTICLES = 3
 LEAST_SHARE = 0.25
 #: ... and this share of those that have it are no near copies of the most copied one.
 LEAST_OTHERS = 0.25
-#: Parts into which the pages of every host are dealt.
+#: Menus are known by their shape too: tags, classes and order, without the text. They lie
+#: outside of articles, hold so many links, and these hold this share of their text.
+LEAST_LINKS, LINK_SHARE = 3, 0.8
+#: Hashes of templates that go to every task, at most (some 60 MB as Python objects).
+BROADCAST_HASHES = 500_000
+#: Parts into which the pages of every layout are dealt where there are more.
 SALTS = 64
 
 # Elements of the HTML standard by what they mean here.
@@ -116,27 +122,52 @@ class Block(NamedTuple):
     text: str
     inside: bool  # an article or main element
     listed: bool
-    around: list[int]
-    forms: list[int]
+    within: int  # the innermost numbered element around it, or -1
+    form: int  # the innermost form, or -1
+
+
+class _Element:
+    """An open element: what is known of its subtree so far."""
+
+    __slots__ = ("tag", "kind", "number", "parts", "shapes", "listed", "form", "classes", "chars", "linked", "links", "whole")
+
+    def __init__(self, tag: str, kind: str = "", number: int = -1, listed: bool = False, form: int = -1, classes: str = ""):
+        self.tag, self.kind, self.number, self.listed = tag, kind, number, listed
+        self.form, self.classes, self.parts, self.shapes = form, classes, [], []
+        self.chars = self.linked = self.links = 0
+        self.whole = tag in WHOLES
+
+
+def _digest(parts: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\0".join(parts).encode("utf-8", "replace"))
 
 
 class Page:
-    """Blocks of one page, in order, and the hashes of all its subtrees."""
+    """Blocks of one page, in order, and the hashes of all its subtrees.
+
+    Elements are numbered as they open and point to the one around them, so what a page
+    takes grows with its length, however deep its markup is.
+    """
 
     def __init__(self, source: str):
+        #: Of every numbered element: hash of its subtree, hash of its shape (0: none), parent.
         self.hashes: list[int] = []
+        self.shapes: list[int] = []
+        self.parents: list[int] = []
         self.blocks: list[Block] = []
         #: Tags and classes of the elements down to the first article or main element.
         self.layout = ""
-        # Open elements: tag, number or less than 0, parts of the subtree so far, whether
-        # it opened the listed part, number of its form or -1, class.
-        self._open: list[tuple[str, int, list[str], bool, int, str]] = []
-        self._silent = 0
-        self._listed = 0
-        self._inside = 0
-        self._holding: list[bool] = []  # forms, by whether an article or main is in them
+        self._open: list[_Element] = []
+        self._tags: Counter[str] = Counter()
+        self._numbers: list[int] = []
+        self._silent = self._listed = self._inside = self._links = 0
+        # Of every form: the form around it, and whether an article or main is in it.
+        self._around_form: list[int] = []
+        self._holding: list[bool] = []
+        self._forms: list[int] = []
         self._text: list[str] = []
         self._listed_text: list[str] = []
+        self._linked = 0
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -167,6 +198,8 @@ class Page:
     def _add(self, text: str) -> None:
         if not self._silent:
             (self._listed_text if self._listed else self._text).append(text)
+            if self._links:
+                self._linked += sum(map(len, text.split()))
 
     def _flush(self) -> None:
         for parts, listed in ((self._text, False), (self._listed_text, True)):
@@ -176,11 +209,20 @@ class Page:
             parts.clear()
             if not text:
                 continue
-            around = [e[1] for e in self._open if e[1] >= 0]
-            forms = [e[4] for e in self._open if e[4] >= 0]
-            self.blocks.append(Block(text, self._inside > 0, listed, around, forms))
+            within = self._numbers[-1] if self._numbers else -1
+            form = self._forms[-1] if self._forms else -1
+            self.blocks.append(Block(text, self._inside > 0, listed, within, form))
             if self._open:
-                self._open[-1][2].append(text)
+                around = self._open[-1]
+                around.parts.append(text)
+                around.shapes.append("")
+                around.chars += len(text) - text.count(" ")
+                around.linked += self._linked
+        self._linked = 0
+
+    def _push(self, element: _Element) -> None:
+        self._open.append(element)
+        self._tags[element.tag] += 1
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -194,37 +236,42 @@ class Page:
             return
         if self._silent or tag in SILENT:
             self._silent += 1
-            self._open.append((tag, -1, [], False, -1, ""))
+            self._push(_Element(tag, "silent"))
             return
         values = _values(attributes)
         listed = not self._listed and _listed(tag, values, self._inside > 0)
-        if listed:
-            self._listed += 1
-        form = -1
+        self._listed += listed
+        form, kind, number = -1, "", -1
         if tag == "form":
             form = len(self._holding)
+            self._around_form.append(self._forms[-1] if self._forms else -1)
             self._holding.append(False)
+            self._forms.append(form)
         classes = values.get("class", "")
         if tag in ("article", "main") and not self._listed:
+            kind = "inside"
             self._inside += 1
-            for e in self._open:
-                if e[4] >= 0:
-                    self._holding[e[4]] = True
+            if self._forms:
+                self._holding[self._forms[-1]] = True
             if not self.layout:
-                names = [f"{e[0]}.{e[5]}" for e in self._open] + [f"{tag}.{classes}"]
+                names = [f"{e.tag}.{e.classes}" for e in self._open] + [f"{tag}.{classes}"]
                 # Names with a number in them are often those of the one page.
-                self.layout = "\n".join(" ".join(w for w in n.split() if not DIGIT.search(w)) for n in names)
-        number = -2
-        if tag in BLOCKS and tag not in WHOLES:
+                self.layout = "\n".join(_plain(n) for n in names)
+        elif tag in BLOCKS and tag not in WHOLES:
             number = len(self.hashes)
             self.hashes.append(0)
-        elif tag in ("article", "main") and not self._listed:
-            number = -3
-        self._open.append((tag, number, [], listed, form, classes))
+            self.shapes.append(0)
+            self.parents.append(self._numbers[-1] if self._numbers else -1)
+            self._numbers.append(number)
+        elif tag == "a":
+            self._links += 1
+        self._push(_Element(tag, kind, number, listed, form, classes))
 
     def _close_implied(self, tags: set[str], border: set[str]) -> None:
+        if not any(self._tags[t] for t in tags):
+            return
         for k in range(len(self._open) - 1, -1, -1):
-            tag = self._open[k][0]
+            tag = self._open[k].tag
             if tag in tags:
                 while len(self._open) > k:
                     self._pop()
@@ -233,51 +280,101 @@ class Page:
                 return
 
     def _close(self, tag: str) -> None:
-        for k in range(len(self._open) - 1, -1, -1):
-            if self._open[k][0] == tag:
-                while len(self._open) > k:
-                    self._pop()
+        while self._tags[tag]:
+            found = self._open[-1].tag == tag
+            self._pop()
+            if found:
                 return
 
     def _pop(self) -> None:
-        tag, number, parts, listed, _, _ = self._open[-1]
-        if tag in BLOCKS:
+        e = self._open[-1]
+        if e.tag in BLOCKS:
             self._flush()
         self._open.pop()
-        if number == -1:
+        self._tags[e.tag] -= 1
+        if e.kind == "silent":
             self._silent -= 1
             return
-        if listed:
-            self._listed -= 1
-        if number == -3:
+        self._listed -= e.listed
+        if e.form >= 0:
+            self._forms.pop()
+        if e.kind == "inside":
             self._inside -= 1
-        if not parts:
+        elif e.tag == "a":
+            self._links -= 1
+            e.links += 1
+        if e.number >= 0:
+            self._numbers.pop()
+        if self._open:
+            self._open[-1].links += e.links
+            self._open[-1].whole |= e.whole
+        if not e.parts:  # an inline element: its text is part of the block around it
+            if self._open and e.tag == "a":
+                self._open[-1].shapes.append("a")
             return
-        digest = xxhash.xxh64_intdigest("\0".join([tag, *parts]).encode("utf-8", "replace"))
-        if number >= 0:
-            self.hashes[number] = digest - (1 << 63)
+        digest = _digest([e.tag, *e.parts])
+        shape = _digest(["shape", f"{e.tag}.{_plain(e.classes)}", *e.shapes])
+        if e.number >= 0:
+            self.hashes[e.number] = digest - (1 << 63)
+            menu = e.links >= LEAST_LINKS and e.linked >= LINK_SHARE * e.chars
+            if menu and not self._inside and not e.whole:
+                self.shapes[e.number] = shape - (1 << 63)
         if self._open:
-            self._open[-1][2].append(f"{digest:x}")
-
-    def unlisted(self) -> list[tuple[str, bool, list[int]]]:
-        """Blocks that no list leaves out: text, whether inside an article or main, hashes
-        of the subtrees around it. A form is left out unless it holds an article or main
-        element or half of the page's text."""
+            around = self._open[-1]
+            around.parts.append(f"{digest:x}")
+            around.shapes.append(f"{shape:x}")
+            around.chars += e.chars
+            around.linked += e.linked
+
+    def subtrees(self) -> list[int]:
+        """Hashes of all subtrees with text, and of the shapes of its menus."""
+        return list(dict.fromkeys(h for h in (*self.hashes, *self.shapes) if h))
+
+    def unlisted(self) -> list[Block]:
+        """Blocks that no list leaves out. A form is left out unless it holds an article or
+        main element or half of the page's text."""
         blocks = [b for b in self.blocks if not b.listed]
-        chars = Counter()
+        chars = [0] * len(self._holding)
         for b in blocks:
-            for f in b.forms:
-                chars[f] += len(b.text)
+            if b.form >= 0:
+                chars[b.form] += len(b.text)
+        for f in range(len(chars) - 1, 0, -1):
+            if self._around_form[f] >= 0:  # forms are numbered from the outside in
+                chars[self._around_form[f]] += chars[f]
+                self._holding[self._around_form[f]] |= self._holding[f]
         half = sum(len(b.text) for b in blocks) / 2
-        out = {f for f, n in chars.items() if n < half and not self._holding[f]}
-        kept = [b for b in blocks if out.isdisjoint(b.forms)]
-        return [(b.text, b.inside, [self.hashes[n] for n in b.around]) for b in kept]
+        out: list[bool] = []
+        for f, around in enumerate(self._around_form):
+            out.append((around >= 0 and out[around]) or (chars[f] < half and not self._holding[f]))
+        return [b for b in blocks if b.form < 0 or not out[b.form]]
+
+    def without(self, recurring: Set[int]) -> list[Block]:
+        """The unlisted blocks that are in no recurring subtree."""
+        blocks = self.unlisted()
+        if not recurring:
+            return blocks
+        gone: list[bool] = []
+        for k, around in enumerate(self.parents):
+            found = self.hashes[k] in recurring or self.shapes[k] in recurring
+            gone.append(found or (around >= 0 and gone[around]))
+        return [b for b in blocks if b.within < 0 or not gone[b.within]]
+
+
+def _plain(names: str) -> str:
+    return " ".join(w for w in names.split() if not DIGIT.search(w))
+
+
+def main_text(blocks: list[Block]) -> str:
+    """Blocks of the article and main elements, or all if those hold less than half."""
+    inside = [b for b in blocks if b.inside]
+    most = 2 * sum(len(b.text) for b in inside) >= sum(len(b.text) for b in blocks)
+    return "\n".join(b.text for b in (inside if most else blocks))
 
 
-def sketch(blocks: list[tuple[str, bool, list[int]]]) -> int:
+def sketch(blocks: list[Block]) -> int:
     """The least hash of three following words in the longest block: near copies of an
     article mostly share it, two articles do not."""
-    words = max((text for text, _, _ in blocks), key=len, default="").split()
+    words = max((b.text for b in blocks), key=len, default="").split()
     hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words))
     mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
     for k in (1, 2):
@@ -287,49 +384,74 @@ def sketch(blocks: list[tuple[str, bool, list[int]]]) -> int:
     return int((mixed ^ mixed >> np.uint64(32)).min()) - (1 << 63) if len(words) else 0
 
 
-PARSED = (
-    "blocks array<struct<text: string, inside: boolean, around: array<long>>>, subtrees array<long>, "
-    "article long, sketch long, host string, layout long"
-)
+HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)", re.I)
+
+
+def _layout(page: Page, url: str | None) -> int | None:
+    """Hash of host and layout; null without a host."""
+    host = HOST.match(url or "")
+    return None if host is None else _digest([f"{host[1].lower()}\n{page.layout}"]) - (1 << 63)
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[Page, int | None]]]]:
+    """Batches of (page_id, url, html, ...), and their pages with their layouts."""
+    for batch in slices(batches, 2):
+        sources = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        pages = ((url, Page(source or "")) for url, source in sources)
+        yield batch, [(page, _layout(page, url)) for url, page in pages]
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) as page_id, url, blocks, all subtrees, hash and sketch
-    of the article, host, and hash of host and layout (null without a host)."""
-    schema = T.StructType([*pages.schema.fields[:2], *T.StructType.fromDDL(PARSED).fields])
-    block = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("around", pa.list_(pa.int64()))])
-    kinds = [pa.list_(block), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+SEEN = "layout long, article long, sketch long, subtrees array<long>"
+
+
+def _seen(pages: DataFrame) -> DataFrame:
+    """Of every page with a host and text: layout, hash and sketch of its article, subtrees."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host_of = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)", re.I).match
-        for batch in slices(batches, 2):
-            made = [[] for _ in kinds]
-            for url, source in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                page = Page(source or "")
+        for _, parsed in _pages(batches):
+            rows = []
+            for page, layout in parsed:
                 found = page.unlisted()
-                host = host_of(url or "")
-                host = host[1].lower() if host else None
-                row = (
-                    [{"text": text, "inside": inside, "around": around} for text, inside, around in found],
-                    list(dict.fromkeys(h for h in page.hashes if h)),
-                    _hash("\n".join(text for text, _, _ in found)),
-                    sketch(found),
-                    host,
-                    None if host is None else _hash(f"{host}\n{page.layout}"),
-                )
-                for values, value in zip(made, row):
-                    values.append(value)
-            arrays = [pa.array(values, kind) for values, kind in zip(made, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], schema.names)
+                if layout is not None and found:
+                    article = _digest(["\n".join(b.text for b in found)]) - (1 << 63)
+                    rows.append((layout, article, sketch(found), page.subtrees()))
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SEEN.split(", ")])
+
+    return pages.mapInArrow(task, SEEN)
+
+
+def _with_layouts(pages: DataFrame) -> DataFrame:
+    """The pages with their layouts; a page is parsed for that alone."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, parsed in _pages(batches):
+            layouts = pa.array([layout for _, layout in parsed], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, layouts], [*batch.schema.names, "layout"])
+
+    return pages.mapInArrow(task, with_column(pages.schema, "layout", T.LongType()))
+
+
+def _texts(pages: DataFrame, known: Broadcast | None) -> DataFrame:
+    """page_id, url, text of ``pages`` (page_id, url, html and, without ``known``, recurring)."""
+    schema = T.StructType([*pages.schema.fields[:2], T.StructField("text", T.StringType())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, parsed in _pages(batches):
+            if known is not None:
+                recurring = [known.value.get(layout, ()) for _, layout in parsed]
+            else:
+                recurring = [set(r or ()) for r in batch.column(3).to_pylist()]
+            texts = [main_text(page.without(found)) for (page, _), found in zip(parsed, recurring)]
+            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return pages.mapInArrow(task, schema)
 
 
-def _templates(parsed: DataFrame) -> DataFrame:
+def _templates(seen: DataFrame) -> DataFrame:
     """Hashes of the recurring subtrees of every host and layout: (layout, recurring).
 
     Articles with one sketch are near copies and count as one; how many different ones
@@ -337,17 +459,17 @@ def _templates(parsed: DataFrame) -> DataFrame:
     subtrees than four times those of its average page.
     """
     whole = F.array(F.lit(None).cast("long"))  # stands for the article, to count them all
-    seen = parsed.where("layout IS NOT NULL AND size(blocks) > 0").select(
-        "layout", "article", "sketch", F.explode(F.concat(whole, "subtrees")).alias("subtree")
-    )
+    each = seen.select("layout", "article", "sketch", F.explode(F.concat(whole, "subtrees")).alias("subtree"))
     rows, low, high = F.count("*").alias("rows"), F.min("article").alias("low"), F.max("article").alias("high")
-    groups = seen.groupBy("layout", "subtree", "sketch").agg(rows, low, high)
+    groups = each.groupBy("layout", "subtree", "sketch").agg(rows, low, high)
     copies = F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("rows"))
     counts = groups.groupBy("layout", "subtree").agg(
         F.count("*").alias("articles"), F.sum(copies).alias("near"), F.max(copies).alias("most")
     )
+    # What recurs at all is little beside the subtrees; it is read twice, so it is stored.
+    counts = stored(counts.where((F.col("articles") > LEAST_ARTICLES) | F.col("subtree").isNull()))
     totals = counts.where("subtree IS NULL").select("layout", F.col("articles").alias("all"))
-    many = counts.where((F.col("articles") > LEAST_ARTICLES) & F.col("subtree").isNotNull())
+    many = counts.where("subtree IS NOT NULL")
     many = many.where(F.col("near") - F.col("most") >= LEAST_OTHERS * F.col("near")).join(totals, "layout")
     many = many.where(F.col("articles") >= LEAST_ARTICLES + LEAST_SHARE * F.col("all"))
     return many.groupBy("layout").agg(F.collect_set("subtree").alias("recurring"))
@@ -369,22 +491,20 @@ def extract(
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")
     )
-    parsed = _parsed(rows)
-    # The pages of a host meet its templates in several tasks; a host's templates are few.
-    salt = F.pmod(F.xxhash64("article", "page_id", "url"), F.lit(SALTS))
+    templates = stored(_templates(_seen(rows)))
+    return _cleaned(rows, templates).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _cleaned(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """The texts of the pages without the templates of their layouts.
+
+    Templates of up to ``BROADCAST_HASHES`` hashes, as counted, go to every task, and no
+    page is shuffled. More are joined: pages are dealt to ``SALTS`` parts of their layout.
+    """
+    if (templates.agg(F.sum(F.size("recurring"))).first()[0] or 0) <= BROADCAST_HASHES:
+        known = {r["layout"]: frozenset(r["recurring"]) for r in templates.collect()}
+        return _texts(rows, rows.sparkSession.sparkContext.broadcast(known))
+    placed = _with_layouts(rows).withColumn("salt", F.pmod(F.xxhash64("html", "page_id", "url"), F.lit(SALTS)))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    templates = _templates(parsed).withColumn("salt", salts)
-    cleaned = parsed.withColumn("salt", salt).join(templates, ["layout", "salt"], "left")
-    left = F.filter(
-        "blocks",
-        lambda b: F.col("recurring").isNull() | ~F.arrays_overlap(b["around"], F.col("recurring")),
-    )
-    found = cleaned.select("page_id", "url", left.alias("left"))
-    chars = lambda rows: F.aggregate(rows, F.lit(0), lambda n, b: n + F.length(b["text"]))
-    inside = F.filter("left", lambda b: b["inside"])
-    found = found.select("page_id", "url", "left", inside.alias("inside"))
-    place = F.when(2 * chars(F.col("inside")) >= chars(F.col("left")), F.col("inside")).otherwise(F.col("left"))
-    text = F.array_join(F.transform(place, lambda b: b["text"]), "\n")
-    return found.select("page_id", "url", text.alias("text")).withColumn(
-        "n_chars", F.length("text").cast("long")
-    )
+    met = placed.join(templates.withColumn("salt", salts), ["layout", "salt"], "left")
+    return _texts(met.select("page_id", "url", "html", "recurring"), None)
