@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,46 +93,72 @@ def _keys_of_bands(signature: np.ndarray, bands: int) -> list[int]:
     ]
 
 
-def _signed_sets(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, same, signature, buckets); ``same`` tells equal sets."""
+#: A document's row: its id, 0 if it has none, whether it has none, and a hash of its text.
+ROW = ["id", "no_id", "text_hash"]
+
+
+def _row_keys(doc_id: str, text: str) -> list[Column]:
+    number = F.col(doc_id).cast("long")
+    return [
+        F.coalesce(number, F.lit(0).cast("long")).alias("id"),
+        number.isNull().alias("no_id"),
+        F.xxhash64(F.col(text)).alias("text_hash"),
+    ]
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(*ROW, text): rows that share an id are told apart by their texts."""
+    return docs.select(*_row_keys(doc_id, text), F.col(text).alias("text"))
+
+
+def _same(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh128_digest(shingles.tobytes())
+
+
+def _signed_sets(rows: DataFrame, shingle: int, bands: int, count: int) -> DataFrame:
+    """(*ROW, n_shingles, same, signature, buckets); ``same`` tells equal sets."""
     schema = T.StructType.fromDDL(
-        "doc_id long, n_shingles long, same binary, signature binary, buckets array<long>"
+        "id long, no_id boolean, text_hash long, n_shingles long, same binary, signature binary, buckets array<long>"
     )
     names = schema.names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles_of, minima = Shingler(shingle), Minima(bands * rows)
-        for batch in slices(batches, 1):
-            out: list[list] = [[] for _ in names[1:]]
-            for text in batch.column(1).to_pylist():
+        shingles_of, minima = Shingler(shingle), Minima(bands * count)
+        for batch in slices(batches, 3):
+            out: list[list] = [[] for _ in names[3:]]
+            for text in batch.column(3).to_pylist():
                 found = shingles_of(text)
                 row = [0, None, None, None]
                 if len(found):
                     signature = minima(found)
-                    same = xxhash.xxh128_digest(found.tobytes())
-                    row = [len(found), same, signature.tobytes(), _keys_of_bands(signature, bands)]
+                    row = [len(found), _same(found), signature.tobytes(), _keys_of_bands(signature, bands)]
                 for column, value in zip(out, row):
                     column.append(value)
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
             arrays = [pa.array(c, k) for c, k in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names)
+
+    return rows.mapInArrow(task, schema)
 
-    return docs.mapInArrow(task, schema)
 
+def _full_sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """(set_id, shingles) of rows (set_id, same, text), the shingles as packed numbers.
 
-def _full_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(set_id, shingles) of documents (set_id, text), the shingles as packed numbers."""
+    A row whose text has another set than it should is left out: it shares an id and the
+    hash of its text with the row that is meant.
+    """
     schema = T.StructType.fromDDL("set_id long, shingles binary")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles_of = Shingler(shingle)
-        for batch in slices(batches, 1):
-            packed = [shingles_of(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.binary())], schema.names
-            )
+        for batch in slices(batches, 2):
+            found = [shingles_of(t) for t in batch.column(2).to_pylist()]
+            meant = [_same(s) == same for s, same in zip(found, batch.column(1).to_pylist())]
+            packed = pa.array([s.tobytes() for s in found], pa.binary())
+            made = pa.RecordBatch.from_arrays([batch.column(0), packed], schema.names)
+            yield made.filter(pa.array(meant, pa.bool_()))
 
-    return docs.mapInArrow(task, schema)
+    return rows.mapInArrow(task, schema)
 
 
 def _alike(common: int, a: int, b: int, percent: int) -> bool:
@@ -198,50 +224,93 @@ def near_duplicates(
     """Near-duplicate class of every document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when 100 * common >= ``percent`` * union of their shingle sets.
-    One row per row of ``docs``; ids should be unique, repeated rows share their class.
-    Null or empty texts have no shingles and are linked with nothing, as is a null id
-    (component null, kept). ``component_id`` is the smallest id reachable, ``kept`` marks
-    the rows that bear it. A pair just at the threshold t is missed with probability
+    One row per row of ``docs``. Null or empty texts have no shingles and are linked with
+    nothing. ``component_id`` is the smallest id reachable, ``kept`` marks the rows that
+    bear it. Rows that share an id are documents of their own, each with the class of its
+    text; rows without an id are linked like others, and a class of such rows alone has a
+    null component (kept). A pair just at the threshold t is missed with probability
     (1 - t**rows)**bands: 4e-7 for 0.85 and 5e-5 for 0.8 by default.
     """
-    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = stored(_signed_sets(plain, shingle, bands, rows))
-    sets = stored(
-        signed.where("same IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("same")
-        .agg(F.min("doc_id").alias("set_id"))
+    found = classes(docs, doc_id, text, shingle=shingle, percent=percent, bands=bands, rows=rows)
+    found = found.withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
+    return found.select("doc_id", "n_shingles", "component_id").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
-    signed_sets = signed.join(sets.select(F.col("set_id").alias("doc_id"), "same"), ["doc_id", "same"])
-    signed_sets = stored(
-        signed_sets.groupBy(F.col("doc_id").alias("set_id")).agg(
-            F.any_value("signature").alias("signature"), F.any_value("buckets").alias("buckets")
-        )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one row of every class.
+
+    It is that of the smallest id (rows without an id come last), of several with that id
+    the one of the smallest hash of the text. Documents without shingles are in no class
+    and stay, but rows that are equal in id and text are one. ``how``: as in ``near_duplicates``.
+    """
+    found = classes(docs, doc_id, text, **how)
+    own = F.struct("no_id", "id", "text_hash")
+    first = found.where("group IS NOT NULL").groupBy("group").agg(F.min(own).alias("row"))
+    kept = first.select("row.*").unionByName(found.where("group IS NULL").select(*ROW).distinct())
+    columns = docs.columns
+    places = [f"c{k}" for k in range(len(columns))]  # whatever the columns are called
+    named = docs.toDF(*places)
+    named = named.select("*", *_row_keys(*(places[columns.index(c)] for c in (doc_id, text))))
+    # Of rows equal in id and text, the first by the other plain columns.
+    plain = [F.col(p) for p, f in zip(places, docs.schema.fields) if isinstance(f.dataType, T.AtomicType)]
+    whole = F.min_by(F.struct(*places), F.struct(*plain)).alias("whole")
+    one = named.join(kept, ROW).groupBy(*ROW).agg(whole)
+    return one.select(*(F.col("whole")[p].alias(c) for p, c in zip(places, columns)))
+
+
+def classes(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    *,
+    shingle: int = 5,
+    percent: int = 80,
+    bands: int = 25,
+    rows: int = 5,
+) -> DataFrame:
+    """(*ROW, n_shingles, group, component_id) of every row: ``group`` is the number of its
+    class, null without shingles, ``component_id`` the smallest id of the class."""
+    plain = _rows(docs, doc_id, text)
+    signed = stored(_signed_sets(plain, shingle, bands, rows))
+    # A set is known by its content; of the rows that have it, one brings its text.
+    own = F.struct("no_id", "id", "text_hash")
+    sets = signed.where("same IS NOT NULL").groupBy("same").agg(F.min(own).alias("row"))
+    sets = stored(sets.select("same", "row.*", F.monotonically_increasing_id().alias("set_id")))
+    signed_sets = signed.join(sets, [*ROW, "same"]).groupBy("set_id").agg(
+        F.any_value("signature").alias("signature"), F.any_value("buckets").alias("buckets")
     )
+    signed_sets = stored(signed_sets)
     member = signed_sets.select("set_id", F.posexplode("buckets").alias("band", "bucket"))
     shared = member.groupBy("band", "bucket").agg(F.min("set_id").alias("first"), F.count("*").alias("n"))
     member = stored(member.join(shared.where("n > 1"), ["band", "bucket"]))
 
-    links = _links(plain, signed_sets, member, shingle, percent, bands * rows)
-    classes = components(links)
-    named = sets.join(
-        classes.select(F.col("node").alias("set_id"), "component"), "set_id", "left"
-    ).select("same", F.coalesce("component", "set_id").alias("component"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    links = _links(plain, sets, signed_sets, member, shingle, percent, bands * rows)
+    tied = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("group"))
+    named = sets.join(tied, "set_id", "left").select(
+        "same",
+        F.coalesce("group", "set_id").alias("group"),
+        F.when(~F.col("no_id"), F.col("id")).alias("doc_id"),
+    )
+    least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "group").select("same", "group", "component_id")
+    component = F.when(F.col("same").isNull() & ~F.col("no_id"), F.col("id")).otherwise(F.col("component_id"))
     return (
-        signed.select("doc_id", "n_shingles", "same")
+        signed.select(*ROW, "n_shingles", "same")
         .join(named, "same", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(*ROW, "n_shingles", "group", component.alias("component_id"))
     )
 
 
 def _links(
-    docs: DataFrame, signed: DataFrame, member: DataFrame, shingle: int, percent: int, hashes: int
+    docs: DataFrame, sets: DataFrame, signed: DataFrame, member: DataFrame, shingle: int, percent: int, hashes: int
 ) -> DataFrame:
     """Links that hold every component together: (a, b)."""
-    wanted = member.select(F.col("set_id").alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    full = stored(_full_sets(texts.select(F.col("doc_id").alias("set_id"), "text"), shingle))
+    wanted = sets.join(member.select("set_id").distinct(), "set_id")
+    # Rows that are equal in all of this are one; grouped as they were joined.
+    texts = docs.join(wanted, ROW).groupBy(*ROW, "text").agg(F.first("set_id").alias("set_id"), F.first("same").alias("same"))
+    full = stored(_full_sets(texts.select("set_id", "same", "text"), shingle))
 
     t = percent / 100
     least = int(np.ceil(hashes * (t - SLACK * (t * (1 - t) / hashes) ** 0.5)))

@@ -82,14 +82,49 @@ def test_near_duplicate_documents(spark, monkeypatch, size, percent):
 
 
 def test_near_duplicates_of_odd_rows(spark):
-    rows = [(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, None), (1, "A b  c d")]
+    rows = [(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, None), (1, "A b  c d"), (None, "x y z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = minhash.near_duplicates(docs, shingle=3, percent=85).collect()
-    assert len(found) == 5
-    assert sorted(r["component_id"] or 0 for r in found) == [0, 0, 1, 1, 1]
+    assert len(found) == 6
+    # A row without an id has the class of its text; a class of such rows alone has no name.
+    assert sorted(r["component_id"] or 0 for r in found) == [0, 0, 1, 1, 1, 1]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def _long_text(seed, words=60):
+    rng = random.Random(seed)
+    return " ".join(f"v{rng.randrange(900)}" for _ in range(words))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_rows_that_share_an_id_are_linked_by_their_texts(spark, parts):
+    a, b, c = (_long_text(k) for k in range(3))
+    rows = [(3, a), (3, b), (5, a + " x"), (6, b + " y"), (7, c), (None, c + " z"), (None, c + " z"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    found = minhash.near_duplicates(docs, shingle=3, percent=85).collect()
+    names = sorted(((r["doc_id"], r["component_id"]) for r in found), key=str)
+    assert names == [(3, 3), (3, 3), (5, 3), (6, 3), (7, 7), (None, 7), (None, 7), (None, None)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_one_row_of_every_class_stays(spark, parts):
+    a, b, c = (_long_text(10 + k) for k in range(3))
+    rows = [
+        (3, a, "x", 1), (3, b, "x", 2), (5, a + " x", "x", 3), (6, b + " y", "x", 4), (None, c, "x", 5),
+        (None, c, "x", 6), (None, c + " z", "x", 7), (9, a, "x", 8), (3, a, "x", 0), (8, "", "x", 9),
+        (8, None, "x", 10), (8, "", "x", 11), (12, " ", "x", 12),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, `no id` int").repartition(parts)
+    docs = docs.withColumn("map", F.create_map(F.lit("k"), F.col("id")))
+    found = minhash.one_of_each(docs, shingle=3, percent=85)
+    assert found.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"], r["no id"]) for r in found.collect()), key=str)
+    smaller = min(c, c + " z", key=lambda t: spark.sql("SELECT xxhash64(:t)", {"t": t}).first()[0])
+    expected = [(3, a, 0), (3, b, 2), (8, "", 9), (8, None, 10), (12, " ", 12), (None, smaller, 5 if smaller == c else 7)]
+    assert kept == sorted(expected, key=str)
+    assert minhash.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_near_duplicate_embeddings(spark, monkeypatch):
     monkeypatch.setattr(near_embeddings, "BLOCK_ROWS", 32)
     monkeypatch.setattr(near_embeddings, "CELL_ROWS", 60)
