@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import slices, with_column
+from .shared import quoted, slices, with_column
 
 #: Distinct words that a task remembers before it starts anew; no result depends on it.
 REMEMBERED_WORDS = 250_000
@@ -338,7 +338,7 @@ def encode(df: DataFrame, tokenizer_file: str, text: str = "text", ids: str = "i
     with open(tokenizer_file, encoding="utf-8") as f:
         model = df.sparkSession.sparkContext.broadcast(vars(Tokenizer(f.read())))
     rest = [c for c in df.columns if c != ids or c == text]
-    source = df.select(*rest)
+    source = df.select(*map(quoted, rest))
     schema = with_column(source.schema, ids, T.ArrayType(T.IntegerType()))
     position, dropped = rest.index(text), ids == text
 
@@ -368,7 +368,7 @@ def decode(
     with open(tokenizer_file, encoding="utf-8") as f:
         strings = df.sparkSession.sparkContext.broadcast(Tokenizer(f.read()).strings)
     rest = [c for c in df.columns if c != text or c == ids]
-    source = df.select(*rest)
+    source = df.select(*map(quoted, rest))
     schema = with_column(source.schema, text, T.StringType())
     position, dropped = rest.index(ids), ids == text
 

@@ -10,7 +10,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 MIXING = f"""
 WITH sizes AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
-           md5(coalesce(doc_id::VARCHAR, '')) AS shuffle_key
+           md5(md5(coalesce(doc_id::VARCHAR, '')) || md5(coalesce(text, ''))) AS shuffle_key
     FROM documents
 ), ranked AS (
     SELECT source, sum(size) AS source_size, {MAX_REPEATS} * sum(size) AS cap,

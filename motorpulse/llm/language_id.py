@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import slices
+from .shared import quoted, slices
 
 GRAM = 3
 DIMENSIONS = 1024
@@ -158,12 +159,12 @@ def identify(
     matrix = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
     context = docs.sparkSession.sparkContext
     model, letters = context.broadcast((names, matrix)), context.broadcast(letter_table())
-    docs = docs.select(*(c for c in docs.columns if c not in ("lang_pred", "score") or c == text))
+    docs = docs.select(*(quoted(c) for c in docs.columns if c not in ("lang_pred", "score") or c == text))
     position = docs.columns.index(text)
     keep = [k for k, c in enumerate(docs.columns) if c not in ("lang_pred", "score")]
     fields = [docs.schema.fields[k] for k in keep]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    schema = f"{kinds}, lang_pred string, score double" if kinds else "lang_pred string, score double"
+    made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([*fields, *made])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = model.value
@@ -185,7 +186,7 @@ def identify(
             columns = [batch.column(k) for k in keep]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                [*(fields[k].name for k in range(len(fields))), "lang_pred", "score"],
+                schema.names,
             )
 
     return docs.mapInArrow(task, schema)

@@ -21,8 +21,8 @@ from .shared import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
-#: Digits of the hash that cut a source's shuffled order into bins (256 of them).
-HASH_DIGITS = 2
+#: Rows of a bin of a source's shuffled order, about, if the source had all rows.
+BIN_ROWS = 50_000
 #: Bins into which a stretch of virtual time is cut while the end of the mix is sought.
 TIME_BINS = 4096
 #: Rows among which the end of the mix is found by one running sum.
@@ -34,6 +34,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def shuffle_key(doc_id: Column, text: Column) -> Column:
+    """What orders the documents of a source; rows equal in id and text have one."""
+    md5 = lambda c: F.md5(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
+    return F.md5(F.concat(md5(doc_id), md5(text)).cast("binary"))
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
@@ -73,10 +79,16 @@ def source_targets(
     )
 
 
-def _queues(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """``sizes`` with the rank, size and target of their source and the running sum in it."""
+def _queues(sizes: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
+    """``sizes`` with the rank, size and target of their source and the running sum in it.
+
+    The digits of the hash that cut a source into bins, two or more, follow the rows.
+    """
+    digits = 2
+    while 16**digits * BIN_ROWS < rows:
+        digits += 1
     key = ["no_source", "source_name", "hash_bin"]
-    rows = sizes.withColumn("hash_bin", F.substring("shuffle_key", 1, HASH_DIGITS))
+    rows = sizes.withColumn("hash_bin", F.substring("shuffle_key", 1, digits))
     before = Window.partitionBy(*key[:2]).orderBy("hash_bin")
     inside = Window.partitionBy(*key).orderBy("shuffle_key", "doc_id", "size")
     bins = rows.groupBy(*key).agg(F.sum("size").alias("words"))
@@ -181,23 +193,23 @@ def mix(
     """How often the mix takes each document.
 
     Returns one row per row of ``docs``: doc_id, source, size (words), source_size,
-    target (of its source), copies and taken (size times copies). The shuffle is the MD5
-    of the id, so a rerun agrees; rows equal in id and size are interchangeable. Null
-    texts have size 0, null sources are one source, null ids are shuffled as one id.
+    target (of its source), copies, taken (size times copies) and shuffle_key. The shuffle
+    is by the MD5 of id and text, so a rerun agrees and rows without an id, or with one id,
+    are dealt out like others; rows equal in both are interchangeable. Null texts have
+    size 0, null sources are one source.
     Rows of size 0 are never taken. Whole documents are taken, up to the one with which
     the mix would exceed the sum of all sizes.
     """
-    shuffle_key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     sizes = stored(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             word_count(F.col(text)).alias("size"),
-            shuffle_key.alias("shuffle_key"),
+            shuffle_key(F.col(doc_id), F.col(text)).alias("shuffle_key"),
         )
     )
-    queued = stored(_queues(_keyed(sizes), source_targets(sizes, weights, max_repeats)))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
+    total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    queued = stored(_queues(_keyed(sizes), source_targets(sizes, weights, max_repeats), rows))
     taken = _end(queued, total, max_repeats)
     rounds = [F.coalesce(taken(_copy(k)), F.lit(False)).cast("int") for k in range(max_repeats)]
     return (
@@ -205,6 +217,6 @@ def mix(
         .withColumn("copies", F.when(F.col("size") > 0, F.col("copies")).otherwise(0))
         .select(
             "doc_id", "source", "size", "source_size", "target", "copies",
-            (F.col("size") * F.col("copies")).alias("taken"),
+            (F.col("size") * F.col("copies")).alias("taken"), "shuffle_key",
         )
     )

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,7 +74,6 @@ class MultiIndex:
     def __init__(self, books: tuple[np.ndarray, np.ndarray], reach: float = np.inf):
         self.books, self.reach = books, reach
 
-
     def costs(self, units: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Home word and costs of all words, for both halves."""
         homes, costs = [], []
@@ -88,6 +88,11 @@ class MultiIndex:
             costs.append(cost)
         return homes, costs
 
+    def visits(self, guests: np.ndarray, hosts: np.ndarray) -> np.ndarray:
+        """Whether each of the guests visits the home of each of the hosts."""
+        (_, (first, second)), ((a, b), _) = self.costs(guests), self.costs(hosts)
+        return first[:, a] + second[:, b] <= self.reach
+
     def cells_of(self, first: np.ndarray, second: np.ndarray) -> list[int]:
         """Cells of one vector, nearest first, up to ``reach``: multi-sequence traversal."""
         a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
@@ -151,8 +156,12 @@ def _stack(packed, number: str) -> np.ndarray:
     return _unit(flat.reshape(len(packed), width // np.dtype(number).itemsize))
 
 
-def _link_block(number: str, cosine: float):
-    """Links of queries with the vectors of one block: counts, and ties of the components."""
+def _link_block(number: str, cosine: float, model: Broadcast):
+    """Links of queries with the vectors of one block: counts, and ties of the components.
+
+    A link is counted at both ends, once: where the vector that lives here visits the
+    query's home in its turn, it counts the link there, and here otherwise.
+    """
 
     def task(queries: pd.DataFrame, living: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"key": [], "links": [], "tie": []}).astype("int64")
@@ -161,11 +170,13 @@ def _link_block(number: str, cosine: float):
         ours, theirs = (_stack(df["vector"].tolist(), number) for df in (queries, living))
         mine, others = queries["key"].to_numpy(), living["key"].to_numpy()
         close = (ours @ theirs.T >= cosine) & (mine[:, None] != others)
-        links = close @ living["copies"].to_numpy()
         rows, columns = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
         if not len(rows):
             return empty
         close = close[np.ix_(rows, columns)]
+        copies_q, copies_l = (df["copies"].to_numpy()[at] for df, at in ((queries, rows), (living, columns)))
+        returned = MultiIndex(*model.value).visits(theirs[columns], ours[rows]).T
+        links = close @ copies_l, (close & ~returned).T @ copies_q
         low_q, low_l, huge = mine[rows].copy(), others[columns].copy(), np.iinfo(np.int64).max
         while True:  # names fall until every tied set has its smallest
             new_q = np.minimum(low_q, np.where(close, low_l, huge).min(axis=1))
@@ -176,7 +187,7 @@ def _link_block(number: str, cosine: float):
         return pd.DataFrame(
             {
                 "key": np.concatenate([mine[rows], others[columns]]),
-                "links": np.concatenate([links[rows], np.zeros(len(columns), np.int64)]),
+                "links": np.concatenate(links),
                 "tie": np.concatenate([low_q, low_l]),
             }
         )
@@ -191,9 +202,8 @@ def _fitted(sets: DataFrame, n: int, number: str, cosine: float) -> MultiIndex:
     return learn(units, max(2, int(np.ceil(np.sqrt(n / CELL_ROWS)))), cosine)
 
 
-def _cells(sets: DataFrame, index: MultiIndex, number: str) -> DataFrame:
+def _cells(sets: DataFrame, model: Broadcast, number: str) -> DataFrame:
     """(key, label, cell, visit): every vector at home, and in all the cells it visits."""
-    model = sets.sparkSession.sparkContext.broadcast((index.books, index.reach))
     schema = T.StructType.fromDDL("key long, label string, cell long, visit boolean")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +234,8 @@ def _links(sets: DataFrame, index: MultiIndex, number: str, cosine: float) -> Da
     about ``BLOCK_ROWS`` by hash, and every block of one meets every block of the other
     in a task of its own: pairs are counted there and never written out.
     """
-    cells = stored(_cells(sets, index, number))
+    model = sets.sparkSession.sparkContext.broadcast((index.books, index.reach))
+    cells = stored(_cells(sets, model, number))
     place = ["label", "cell"]
     parts = cells.groupBy(*place).agg(
         F.ceil(F.count_if(~F.col("visit")) / BLOCK_ROWS).cast("int").alias("homes"),
@@ -238,14 +249,14 @@ def _links(sets: DataFrame, index: MultiIndex, number: str, cosine: float) -> Da
         *place, "key", "copies", "vector", block("homes").alias("home"), every("visits").alias("visitor")
     )
     queries = placed.where("visit").select(
-        *place, "key", "vector", every("homes").alias("home"), block("visits").alias("visitor")
+        *place, "key", "copies", "vector", every("homes").alias("home"), block("visits").alias("visitor")
     )
     keys = [*place, "home", "visitor"]
     living = living.toDF(*living.columns)  # columns of its own beside those of the queries
     return (
         queries.groupBy(*keys)
         .cogroup(living.groupBy(*keys))
-        .applyInPandas(_link_block(number, cosine), "key long, links long, tie long")
+        .applyInPandas(_link_block(number, cosine, model), "key long, links long, tie long")
     )
 
 
@@ -265,7 +276,8 @@ def near_duplicates(
     are compared once and count each; rows that share an id are vectors of their own.
     Codebooks are learned from ``SAMPLE_ROWS`` vectors at most; every vector is indexed.
     No link is below ``cosine``; of links at just the threshold, in a random direction,
-    the visits of either end find the share ``RECALL``, of closer ones more.
+    the visits of either end find the share ``RECALL``, of closer ones more. A link that is
+    found counts at both ends.
     """
     kind = vectors.schema[embedding].dataType
     number = "f4" if isinstance(kind, T.ArrayType) and kind.elementType == T.FloatType() else "f8"
@@ -277,7 +289,7 @@ def near_duplicates(
     packed = stored(_packed(rows, number))
     groups = packed.where("vector IS NOT NULL").groupBy("label", "vector")
     sets = groups.agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
-    sets = stored(sets.withColumn("key", F.xxhash64("label", "vector")))
+    sets = stored(sets.withColumn("key", F.monotonically_increasing_id()))
     widths = sets.groupBy(F.length("vector").alias("width")).agg(F.count("*").alias("n")).collect()
     found = None
     for width, n in sorted(map(tuple, widths)):

@@ -50,6 +50,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
             yield batch.slice(start, stop - start)
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters are in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     """``schema`` with the column ``name`` at its end, in place of one of that name."""
     kept = [f for f in schema.fields if f.name != name]

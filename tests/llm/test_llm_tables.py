@@ -9,11 +9,12 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from motorpulse.llm import chat, html_text, minhash, mixing, near_embeddings
+from motorpulse.llm import chat, html_text, minhash, mixing, near_embeddings, quality
 from motorpulse.llm.expected_sql import EXPECTED_SQL
-from motorpulse.llm.queries import QUERIES
+from motorpulse.llm.queries import QUERIES, tokenizer_file
 from motorpulse.llm.shared import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -164,6 +165,50 @@ def test_near_duplicate_embeddings(spark, monkeypatch):
     assert near_embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_of_planted_neighbours_at_the_registered_parameters(spark):
+    """Each vector of the table gets five neighbours just above the threshold, towards others."""
+    found = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    base = np.array([r["embedding"] for r in found], np.float64)
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rng = np.random.default_rng(12)
+    made, labels = [base], [[r["label"] for r in found]]
+    for k in range(5):
+        toward = np.roll(base, 1 + 7 * k, axis=0) - base
+        toward -= (toward * base).sum(axis=1, keepdims=True) * base
+        toward /= np.linalg.norm(toward, axis=1, keepdims=True)
+        cosine = rng.uniform(0.9801, 0.99, len(base))[:, None]
+        made.append(cosine * base + np.sqrt(1 - cosine**2) * toward)
+        labels.append(labels[0])
+    vectors, labels = np.concatenate(made).astype(np.float32), np.concatenate(labels)
+    rows = [(k, v.tolist(), int(x)) for k, (v, x) in enumerate(zip(vectors, labels))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(6)
+    ours = {r["vec_id"]: r["n_links"] for r in near_embeddings.near_duplicates(df).collect()}
+    units = vectors.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    wanted = np.zeros(len(units), int)
+    for label in np.unique(labels):
+        at = np.flatnonzero(labels == label)
+        close = units[at] @ units[at].T >= 0.98
+        wanted[at] = close.sum(axis=1) - 1
+    counted = np.array([ours[k] for k in range(len(units))])
+    assert not np.flatnonzero(counted > wanted).size and wanted.sum() > 20_000
+    assert counted.sum() >= 0.9999 * wanted.sum() and counted.sum() % 2 == 0
+
+
+def test_a_link_found_from_one_side_counts_at_both(spark, monkeypatch):
+    monkeypatch.setattr(near_embeddings, "CELL_ROWS", 8)
+    monkeypatch.setattr(near_embeddings, "RECALL", 0.3)  # many visits are not returned
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((120, 16))
+    noise = rng.standard_normal((120, 16)) * 0.19 * np.linalg.norm(base, axis=1, keepdims=True) / 4
+    vectors = np.concatenate([base, base + noise])  # every vector has one neighbour at most
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r["n_links"] for r in near_embeddings.near_duplicates(df).collect()}
+    pairs = [(found[k], found[k + 120]) for k in range(120)]
+    assert all(a == b for a, b in pairs) and 0 < sum(a for a, _ in pairs) <= 120
+
+
 def _targets(sizes, weights, repeats):
     """Sharing out again and again until no target is above its cap."""
     names = sorted(sizes, key=lambda s: (s is None, s))
@@ -211,6 +256,7 @@ def test_mixing_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, "c", "x"), (None, None, None)], "doc_id long, text string, source string")
     found = mixing.mix(docs).collect()
     assert len(found) == 4 and sum(r["taken"] for r in found) == 5
+    assert len({r["shuffle_key"] for r in found}) == 3  # rows without an id are told apart
     assert mixing.mix(docs.limit(0)).count() == 0
     assert [r["taken"] for r in mixing.mix(docs.where("text IS NULL")).collect()] == [0]
 
@@ -394,6 +440,7 @@ def test_pipeline_stages(spark, sf_dir):
     kept = {k for k, c in _groups(links, ids).items() if k == c}
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(kept)
     before, after = seen["mixing sources to target weights"]
+    assert before.select("doc_id").distinct().count() == before.count()
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(before).collect()}
     counted = {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()}
     assert counted == {k: n for k, n in copies.items() if n}
@@ -402,6 +449,43 @@ def test_pipeline_stages(spark, sf_dir):
         assert seen[name][1].columns == corpus_pipeline.COLUMNS
 
 
+def test_stages_decide_as_their_operators_do(spark, sf_dir):
+    """Quality, language and tokens of the pipeline, row by row, from the models themselves."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    named = dict(corpus_pipeline.STAGES)
+    good = named["quality classifier"](spark, docs, sf_dir)
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    features = quality.Features(model.marks)
+    wanted = set()
+    for row in docs.collect():
+        columns, values, marks = features(row["text"])
+        score = np.array([model.score(columns, values)])
+        if model.tails(score, np.array([marks]))[0, -1] >= quality.KEEP_FROM:
+            wanted.add(row["doc_id"])
+    assert {r["doc_id"] for r in good.select("doc_id").collect()} == wanted and 0 < len(wanted) < docs.count()
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    tokens = named["BPE encoding"](spark, docs, sf_dir)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for row in tokens.collect():
+        assert row["ids"] == tokenizer.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["n_tokens"] == len(row["ids"])
+
+
+def test_stages_of_repeated_and_missing_ids(spark, sf_dir, folder):
+    text = _long_text(40)
+    rows = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (1, _long_text(41), "en", "a", 1), (None, text + " x", "en", "b", 1), (None, _long_text(42), "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    named = dict(corpus_pipeline.STAGES)
+    one = named["MinHash near-dedup"](spark, docs, sf_dir)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in one.collect()) == sorted(
+        [(1, text), (1, _long_text(41)), (0, _long_text(42))]
+    )
+    mixed = named["mixing sources to target weights"](spark, docs, sf_dir).groupBy("text").count()
+    taken = mixing.mix(docs).join(docs.select("text", mixing.shuffle_key(F.col("doc_id"), F.col("text")).alias("shuffle_key")).distinct(), "shuffle_key")
+    wanted = {r["text"]: r["n"] for r in taken.groupBy("text").agg(F.sum("copies").alias("n")).collect() if r["n"]}
+    assert {r["text"]: r["count"] for r in mixed.collect()} == wanted
+
+
 def test_digest_of_the_added_conversation(spark, sf_dir):
     row = QUERIES["op6_chat"](spark, sf_dir).where("conv_id = -7").first()
     said = "</s>[INST] ok [/INST]"

@@ -171,6 +171,20 @@ def test_language_of_odd_texts(spark):
     assert language_id.identify(odd.limit(0), learned).count() == 0
 
 
+def test_odd_column_names_and_kinds_go_through(spark):
+    rows = [(1, "ein Text mit Worten"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"a`b": F.lit(1), "x.y": F.struct(F.lit(2).alias("with space")), "lang": F.lit("de")}
+    )
+    learned = language_id.learn(docs)
+    named = language_id.identify(docs, learned)
+    assert named.columns == [*docs.columns, "lang_pred", "score"] and named.count() == 2
+    both = bpe.decode(bpe.encode(docs, tokenizer_file()), tokenizer_file())
+    assert both.columns == [*docs.columns, "ids", "decoded"] and both.count() == 2
+    model = quality.learn(docs, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert quality.rate(docs, model).columns == [*docs.columns, "expected_grade", "p_best"]
+
+
 def test_language_stage_rejects_foreign_and_junk_texts(spark, sf_dir):
     import corpus_pipeline
 
