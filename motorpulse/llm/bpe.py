@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import quoted, slices, with_column
+from .shared import map_batches, quoted, slices, with_column
 
 #: Distinct words that a task remembers before it starts anew; no result depends on it.
 REMEMBERED_WORDS = 250_000
@@ -353,7 +353,7 @@ def encode(df: DataFrame, tokenizer_file: str, text: str = "text", ids: str = "i
             columns = [c for k, c in enumerate(batch.columns) if not (dropped and k == position)]
             yield pa.RecordBatch.from_arrays([*columns, lists], schema.names)
 
-    return source.mapInArrow(task, schema)
+    return map_batches(source, task, schema)
 
 
 def decode(
@@ -393,4 +393,4 @@ def decode(
                 made = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays([*columns, made], schema.names)
 
-    return source.mapInArrow(task, schema)
+    return map_batches(source, task, schema)

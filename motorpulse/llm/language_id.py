@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import quoted, slices
+from .shared import map_batches, quoted, slices
 
 GRAM = 3
 DIMENSIONS = 1024
@@ -189,7 +189,7 @@ def identify(
                 schema.names,
             )
 
-    return docs.mapInArrow(task, schema)
+    return map_batches(docs, task, schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, stored, with_column
+from .shared import map_batches, slices, stored, with_column
 
 #: Width of the hashed features.
 BUCKETS = 1 << 19
@@ -382,4 +382,4 @@ def rate(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
             made = [pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])]
             yield pa.RecordBatch.from_arrays([*columns, *made], schema.names)
 
-    return docs.mapInArrow(task, schema)
+    return map_batches(docs, task, schema)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,21 @@ def with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTy
     return T.StructType([*kept, T.StructField(name, kind)])
 
 
+def map_batches(
+    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``df.mapInArrow(task, schema)`` whatever the columns are called, in and out."""
+    places = [f"c{k}" for k in range(len(schema))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in task(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, places)
+
+    fields = [T.StructField(c, f.dataType) for c, f in zip(places, schema.fields)]
+    plain = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+    return plain.mapInArrow(renamed, T.StructType(fields)).toDF(*schema.names)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Component of every node that has an edge, by alternating large-star and small-star.
 

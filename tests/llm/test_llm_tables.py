@@ -412,7 +412,7 @@ def test_sql_counterparts(spark, sf_dir, name):
     import duckdb
 
     database = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings", "labels"):
         database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     relation = database.sql(EXPECTED_SQL[name])
     found = QUERIES[name](spark, sf_dir).select(*relation.columns).collect()
