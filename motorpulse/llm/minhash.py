@@ -131,7 +131,9 @@ def _signed_sets(rows: DataFrame, shingle: int, bands: int, count: int) -> DataF
                 row = [0, None, None, None]
                 if len(found):
                     signature = minima(found)
-                    row = [len(found), _same(found), signature.tobytes(), _keys_of_bands(signature, bands)]
+                    # Half of each minimum is enough to compare: chance only adds agreement.
+                    short = signature.astype(np.uint16).tobytes()
+                    row = [len(found), _same(found), short, _keys_of_bands(signature, bands)]
                 for column, value in zip(out, row):
                     column.append(value)
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
@@ -354,7 +356,7 @@ def _agreeing(pairs: DataFrame, least: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
                 for k in (2, 3)
             ) if batch.num_rows else (np.empty((0, 1)),) * 2
             keep = (a == b).sum(axis=1) >= least
