@@ -89,7 +89,7 @@ def _fingerprints() -> str:
     text = f"array_to_string([lpad(lower(to_hex(x)), 6, '0') for x in {{}}.lanes], '')"
     return f"""
 WITH docs AS (
-    SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, coalesce(text, '')) AS place, doc_id,
+    SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(coalesce(text, '')), coalesce(text, '')) AS place, doc_id,
            coalesce(text, '') AS text
     FROM documents
 ), led AS (

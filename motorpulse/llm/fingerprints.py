@@ -11,17 +11,25 @@ of their piece counts. DataFrame functions only.
 
 from __future__ import annotations
 
+import bisect
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 #: Ends of pieces: line feeds, and white space after a sentence's end.
 PIECE_END = r"\n|(?<=[.!?])\s+"
 #: Words of 32 bits taken from a piece's MD5; every bit is a lane.
 WORDS = 4
 LANES = 32 * WORDS
 MODULUS = 1 << 24
-#: Stretches of ascending ids; each is one window partition.
-ID_BINS = 1024
+#: Rows of a bin of ascending ids, about; each bin is one window partition.
+BIN_ROWS = 256
+#: Bins of a table, at most; beyond ``BIN_ROWS`` times as many rows, bins get larger.
+MAX_BINS = 1 << 16
 
 
 def pieces(text: Column) -> Column:
@@ -101,30 +109,80 @@ def likeness(lanes: Column, other: Column) -> Column:
     return F.when(lanes == other, 1.0).otherwise(F.coalesce(cosine, F.lit(0.0)))
 
 
+def _literal(values: list[int]) -> Column:
+    """The numbers as one constant, however many they are."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _stretch(doc_id: Column, edges: list[int]) -> Column:
+    """How many edges are not above an id, found among every so manyth edge first."""
+    step = math.isqrt(len(edges)) + 1
+    below = lambda e: e <= doc_id
+    block = F.greatest(F.size(F.filter(_literal(edges[::step]), below)) - 1, F.lit(0)) * step
+    return block + F.size(F.filter(F.slice(_literal(edges), block + 1, F.lit(step)), below))
+
+
+def _binned(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
+    """Rows with the bin they belong to, and whether some id's rows are cut into parts.
+
+    Returns doc_id, text, digest, part_count and bin; bins ascend with (id, MD5 of the
+    text). What reaches the driver are the edges and the ids that have more rows than a
+    bin should: no more than ``MAX_BINS`` of each.
+    """
+    ids = docs.select(F.col(doc_id).alias("doc_id"))
+    n_rows, n_ids = ids.agg(F.count("*"), F.count("doc_id")).first()
+    limit = max(BIN_ROWS, -(-n_rows // MAX_BINS))
+    n_bins = max(1, n_ids // limit)
+    found = ids.approxQuantile("doc_id", [k / n_bins for k in range(1, n_bins)], 0.2 / n_bins) if n_bins > 1 else []
+    often = ids.where("doc_id IS NOT NULL").groupBy("doc_id").count().where(F.col("count") > limit).collect()
+    edges = {int(e) for e in found} | {r["doc_id"] + k for r in often for k in (0, 1)}
+    edges = sorted(e for e in edges if e < 1 << 63)
+    parts = [1] * (len(edges) + 2)
+    for r in often:
+        parts[bisect.bisect_right(edges, r["doc_id"])] = -(-r["count"] // limit)
+    parts[-1] = max(1, -(-(n_rows - n_ids) // limit))
+    firsts = [sum_ - n for sum_, n in zip(itertools.accumulate(parts), parts)]
+    stretch = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1)).otherwise(_stretch(F.col("doc_id"), edges))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("stretch", stretch)
+    crowded = max(parts) > 1
+    digest = F.when(F.col("part_count") > 1, F.md5("text")).otherwise("") if crowded else F.lit("")
+    rows = rows.withColumn("part_count", F.element_at(_literal(parts), F.col("stretch") + 1) if crowded else F.lit(1))
+    rows = rows.withColumn("digest", digest)
+    start = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("part_count")
+    part = F.when(F.col("part_count") > 1, F.shiftright(start, 32)).otherwise(0)
+    bin_ = F.element_at(_literal(firsts), F.col("stretch") + 1) + (part if crowded else F.lit(0))
+    return rows.withColumn("bin", bin_).drop("stretch"), crowded
+
+
 def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Every document with the text of the next one in ascending order of ids.
 
-    Returns bin, place (in its bin), doc_id, text, next_text; after the last document
-    comes the first. Ids are cut into ``ID_BINS`` stretches at approximate quantiles and
-    each stretch is one window; the first document of every stretch is also put, as a
-    guest (doc_id null, ``guest`` true), behind the stretch before. Null texts are empty,
-    null ids come last, equal ids in the order of their texts.
+    Returns bin, place (in its bin), guest, doc_id, text, next_text, copies; after the last
+    document comes the first. Null texts are empty, null ids come last, equal ids in the
+    order of the MD5 of their texts. Ids are cut into bins of about ``BIN_ROWS`` rows at
+    approximate quantiles, and an id that has more of them, or the rows without one, by the
+    MD5. There, rows equal in id and text are two rows at most: the last, and one with the
+    number of the others, whose next is an equal row (``copies``; 1 elsewhere). Each bin is
+    one window; the first document of every bin is also put, as a guest, behind the bin
+    before.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.lit(False).alias("guest"),
-    )
-    edges = rows.approxQuantile("doc_id", [k / ID_BINS for k in range(1, ID_BINS)], 0.2 / ID_BINS)
-    edges = sorted({int(e) for e in edges})
-    cuts = F.array(*map(F.lit, edges)) if edges else F.array().cast("array<bigint>")
-    below = F.size(F.filter(cuts, lambda e: e <= F.col("doc_id")))
-    bin_ = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1)).otherwise(below)
-    rows = rows.withColumn("bin", bin_)
-    firsts = rows.groupBy("bin").agg(F.min("doc_id").alias("doc_id")).orderBy("bin").collect()
-    if firsts:
-        rows = rows.unionByName(_guests(rows, firsts))
-    place = Window.partitionBy("bin").orderBy("guest", F.asc_nulls_last("doc_id"), "text")
+    rows, crowded = _binned(docs, doc_id, text)
+    if crowded:
+        keys = ["bin", "doc_id", "digest", "text"]
+        many = rows.where("part_count > 1").groupBy(*keys).agg(F.count("*").alias("n"))
+        two = F.when(F.col("n") > 1, F.array(F.col("n") - 1, F.lit(1).cast("long"))).otherwise(F.array("n"))
+        many = stored(many.select(*keys, F.explode(two).alias("copies")))
+        few = rows.where("part_count = 1").select(*keys, F.lit(1).cast("long").alias("copies"))
+        rows = few.unionByName(many)
+    else:
+        rows = rows.drop("part_count").withColumn("copies", F.lit(1).cast("long"))
+    rows = rows.withColumn("guest", F.lit(False))
+    rows = rows.unionByName(_guests(rows))
+    order = ["guest", F.asc_nulls_last("doc_id"), F.md5("text"), "text", F.desc("copies")]
+    place = Window.partitionBy("bin").orderBy(*order)
     return rows.select(
         "bin",
         F.row_number().over(place).alias("place"),
@@ -132,22 +190,42 @@ def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         "doc_id",
         "text",
         F.lead("text").over(place).alias("next_text"),
+        "copies",
     )
 
 
-def _guests(rows: DataFrame, firsts: list) -> DataFrame:
+def _guests(rows: DataFrame) -> DataFrame:
     """The first document of every bin, in the bin before it; of the first, in the last.
 
-    ``firsts`` has a row for each bin in use, ``ID_BINS`` + 1 at most.
+    The table of bins that is broadcast has a row for each bin in use, 4 * ``MAX_BINS`` at most.
     """
-    first = F.col("doc_id").isin([r["doc_id"] for r in firsts if r["doc_id"] is not None])
-    if firsts[-1]["doc_id"] is None:
-        first = F.coalesce(first, F.lit(True))
-    bins = F.array(*(F.lit(r["bin"]) for r in firsts))
-    place = F.array_position(bins, F.col("bin")).cast("int") - 1
-    before = F.element_at(bins, F.when(place == 0, F.lit(-1)).otherwise(place))
-    found = rows.where(first).groupBy("bin", "doc_id").agg(F.min("text").alias("text"))
-    return found.select("doc_id", "text", F.lit(True).alias("guest"), before.alias("bin"))
+    firsts = rows.groupBy("bin").agg(F.min("doc_id").alias("first_id"), F.min("digest").alias("first_digest"))
+    last = F.max("bin").over(Window.partitionBy())
+    before = F.coalesce(F.lag("bin").over(Window.orderBy("bin")), last)
+    firsts = firsts.select(F.col("bin").alias("first_bin"), "first_id", "first_digest", before.alias("before"))
+    here = (
+        (F.col("bin") == F.col("first_bin"))
+        & F.col("doc_id").eqNullSafe(F.col("first_id"))
+        & (F.col("digest") == F.col("first_digest"))
+    )
+    found = rows.join(F.broadcast(firsts), here).groupBy("before", "doc_id", "digest")
+    found = found.agg(F.min(F.struct(F.md5("text").alias("order"), "text")).alias("least"))
+    return found.select(
+        F.col("before").alias("bin"),
+        "doc_id",
+        "digest",
+        F.col("least.text").alias("text"),
+        F.lit(1).cast("long").alias("copies"),
+        F.lit(True).alias("guest"),
+    )
+
+
+def _repeated(rows: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its number of copies says, which is dropped."""
+    n, block = F.col(copies), 1 << 16
+    rows = rows.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), n - 1, F.lit(block).cast("long"))))
+    here = F.array_repeat(F.lit(0), F.least(n - F.col("_from"), F.lit(block)).cast("int"))
+    return rows.withColumn("_from", F.explode(here)).drop("_from", copies)
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -161,22 +239,22 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """Fingerprints of all documents and of their edited texts, and their likeness.
 
     Returns one row per row of ``docs``: doc_id, n_chars, edited_sha256, lanes,
-    edited_lanes, near_edited, near_next. One shuffle, by stretches of ids, serves the
-    order, the sums and the comparison with the next document.
+    edited_lanes, near_edited, near_next. One shuffle, by bins of ids, serves the order,
+    the sums and the comparison with the next document. An empty table gives no rows.
     """
     rows = with_next(docs, doc_id, text)
     change = edited(F.col("text"), F.col("next_text"))
     rows = rows.withColumn("change", F.when(~F.col("guest"), change))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited_sha256", F.sha2("change", 256))
-    keys = ["bin", "place", "guest", "doc_id", "n_chars", "edited_sha256", "version"]
+    keys = ["bin", "place", "guest", "doc_id", "copies", "n_chars", "edited_sha256", "version"]
     both = F.posexplode(F.array("text", "change")).alias("version", "wording")
     texts = rows.select(*keys[:-1], both).where("NOT guest OR version = 0")
     order = Window.partitionBy("bin").orderBy("place", "version")
     lined = fingerprints(texts, keys, "wording").withColumns(
         {"edited_lanes": F.lead("lanes", 1).over(order), "next_lanes": F.lead("lanes", 2).over(order)}
     )
-    return lined.where("NOT guest AND version = 0").select(
+    return _repeated(lined.where("NOT guest AND version = 0"), "copies").select(
         "doc_id",
         "n_chars",
         "edited_sha256",

@@ -148,6 +148,34 @@ def test_null_and_repeated_ids_keep_their_rows(spark):
     assert fingerprints.compare_with_next(docs).count() == len(rows)
 
 
+@pytest.mark.parametrize("bin_rows, max_bins", [(256, 1 << 16), (4, 1 << 16), (1, 7)])
+def test_next_document_among_crowded_ids(spark, monkeypatch, bin_rows, max_bins):
+    """A third without id, a third of one id, many equal in both, in bins of any size."""
+    monkeypatch.setattr(fingerprints, "BIN_ROWS", bin_rows)
+    monkeypatch.setattr(fingerprints, "MAX_BINS", max_bins)
+    rng = random.Random(9)
+    text = lambda k: " ".join(f"w{rng.randrange(9)} x{k % 13}." for _ in range(k % 7))
+    rows = [(rng.choice([None, 5, k, -k, (1 << 63) - 1 - k // 30]), text(k)) for k in range(120)]
+    rows += [(None, "one. two."), (5, "three. four five.")] * 25 + [((1 << 63) - 1, None)] * 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    rows = [(i, t or "") for i, t in rows]
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, md5(r[1]), r[1]))
+    expected = Counter()
+    for k, (doc_id, text) in enumerate(rows):
+        after, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        expected[doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), text == after] += 1
+    found = fingerprints.compare_with_next(docs).collect()
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found) == Counter(
+        {k[:3]: sum(n for j, n in expected.items() if j[:3] == k[:3]) for k in expected}
+    )
+    alike = sum(n for k, n in expected.items() if k[3])
+    assert sum(r["near_next"] == 1.0 for r in found) >= alike
+    binned, crowded = fingerprints._binned(docs, "doc_id", "text")
+    assert crowded == (bin_rows < 256)
+
+
 def test_language_of_held_out_documents(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     found = QUERIES["op10_language"](spark, sf_dir).join(table, "doc_id").collect()
