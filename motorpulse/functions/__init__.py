@@ -4,6 +4,7 @@ from .columns import (
     color_of,
     event_timestamp,
     expected_gear,
+    stray_time,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "event_timestamp",
     "expected_gear",
     "field_faults",
+    "stray_time",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ def event_timestamp(text: str = "event_time", fallback: str | None = None) -> Co
     return parsed if fallback is None else F.coalesce(parsed, F.col(fallback))
 
 
+def stray_time(within: timedelta, text: str = "event_time", arrival: str = "timestamp") -> Column:
+    """Whether an event's time is further than ``within`` from its arrival, before or after.
+
+    Unreadable text has no time to be wrong, nor has an event without an arrival: false.
+    """
+    parsed, span = event_timestamp(text), F.lit(within)
+    far = (parsed < F.col(arrival) - span) | (parsed > F.col(arrival) + span)
+    return F.coalesce(far, F.lit(False))
+
+
 def color_of(*columns: str) -> Column:
     """Lower-cased color, from the first of the columns that is not NULL."""
     return F.lower(F.coalesce(*[F.col(c) for c in columns]))

@@ -288,6 +288,7 @@ _BODIES: dict[str, str] = {
     """,
     "streamed_once": f"select {ENRICHED} from en",
     "streamed_alerts": f"select {ENRICHED} from al",
+    "streamed_strays": f"select cast(event_id as bigint) % 7 in (0, 1) as stray, {ENRICHED} from al",
     "streamed_windows_complete": "select * from windows",
     "streamed_windows_update": "select * from windows",
     "streamed_windows_append": PASSED,

@@ -487,6 +487,34 @@ def streamed_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return decode(topic.batch(spark), ENRICHED_EVENT)
 
 
+def streamed_strays(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of messages of which some arrive long after their event, or long before it.
+
+    Returns the events of both outputs.
+    """
+    folder = _folder(spark)
+    read, good, strays = (FileTopic(f"{folder}/{n}", n) for n in ("enriched", "alerts", "strays"))
+    case = F.col("event_id").cast("long") % 7
+    days = F.when(case == 0, 400).when(case == 1, -8).when(case == 2, 7).when(case == 3, -7).otherwise(0)
+    arrival = event_timestamp() + F.make_dt_interval(days)
+    read.append(
+        encode(enriched(spark, sf).withColumn("timestamp", arrival), envelope=["timestamp"])
+    )
+    start_alerts(
+        read.stream(spark),
+        good,
+        f"{folder}/checkpoints/alerts",
+        strays=strays,
+        within="7 days",
+        trigger=DRAIN,
+    ).awaitTermination()
+    sent = [
+        decode(topic.batch(spark), ENRICHED_EVENT).select(F.lit(topic is strays).alias("stray"), "*")
+        for topic in (good, strays)
+    ]
+    return sent[0].unionByName(sent[1])
+
+
 def streamed_windows(spark: SparkSession, sf: str, **how) -> DataFrame:
     """Window counts in one of the output modes."""
     folder = _folder(spark)
@@ -610,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "streamed_versions": streamed_versions,
     "streamed_once": streamed_once,
     "streamed_alerts": streamed_alerts,
+    "streamed_strays": streamed_strays,
     "streamed_windows_complete": partial(streamed_windows, mode="complete"),
     "streamed_windows_update": partial(streamed_windows, mode="update"),
     "streamed_windows_append": partial(streamed_windows, mode="append"),

@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..files import create_text, delete, names_in, read_text
 from ..functions.codec import decode, encode
+from ..functions.columns import stray_time
+from ..operators.alerts import alerts
 from ..operators.counts import (
     combine_panes,
     duration,
@@ -23,12 +25,14 @@ from ..operators.counts import (
 )
 from ..operators.enrich import enrich
 from ..plans.telemetry import alert_messages, counted_windows, enriched_messages
-from ..schemas import COUNTER_INPUT, RAW_EVENT, REFRESH_EVERY, WATERMARK
+from ..schemas import COUNTER_INPUT, ENRICHED_EVENT, RAW_EVENT, REFRESH_EVERY, WATERMARK
 from ..sources.messages import Topic
-from .sinks import Trigger, keep_settings, start_appending, start_writers
+from .sinks import BatchWriter, Trigger, keep_settings, start_appending, start_writers
 from .snapshots import SnapshotTable, day_of
 
 MODES = ("complete", "update", "append")
+#: How far an event's time may be from its arrival where that is checked.
+STRAY_AFTER = "7 days"
 EVERY_MINUTE = {"processingTime": REFRESH_EVERY}
 
 
@@ -109,13 +113,33 @@ def start_alerts(
     sink: Topic,
     checkpoint: str,
     *,
+    strays: Topic | None = None,
+    within: str = STRAY_AFTER,
     trigger: Trigger = None,
     name: str = "alerts",
     **limits,
 ) -> StreamingQuery:
-    """Enriched messages to alert messages."""
-    out = alert_messages(messages, **limits)
-    return start_appending(out, sink, checkpoint, trigger=trigger, name=name)
+    """Enriched messages to alert messages.
+
+    With ``strays``, alerts whose time is further than ``within`` from the arrival of
+    their message go to that topic instead. A single one far ahead would move the
+    watermark of the counter past all others, and each wrong day costs a folder there;
+    so the days of one micro-batch are no more than its arrivals span, and twice ``within``.
+    """
+    if strays is None:
+        out = alert_messages(messages, **limits)
+        return start_appending(out, sink, checkpoint, trigger=trigger, name=name)
+    found = alerts(decode(messages, ENRICHED_EVENT, envelope=["timestamp"]), **limits)
+    found = found.withColumn("stray", stray_time(duration(within)))
+
+    def write_to(topic: Topic, rows: str) -> BatchWriter:
+        fields = ENRICHED_EVENT.fieldNames()
+        return lambda batch, batch_id, writer: topic.append(
+            encode(batch.where(rows).select(*fields)), batch_id, writer
+        )
+
+    writers = [write_to(sink, "NOT stray"), write_to(strays, "stray")]
+    return start_writers(found, writers, checkpoint, trigger=trigger, name=name)
 
 
 def start_window_counts(

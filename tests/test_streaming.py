@@ -502,6 +502,35 @@ def test_late_rows_go_to_a_topic_of_their_own(spark, topics, folder, monkeypatch
     assert counted() == 5 and times() == ["04:40:29", "05:39:58", "05:39:59"]
 
 
+@pytest.mark.parametrize("fails", [False, True])
+def test_alerts_of_wrong_times_go_to_a_topic_of_their_own(spark, topics, folder, monkeypatch, fails):
+    strays = topics["malformed"]
+    run = lambda: start_alerts(
+        topics["raw"].stream(spark), topics["alerts"], f"{folder}/c", strays=strays, within="2 hours", trigger=DRAIN
+    ).awaitTermination()
+
+    def alert(name, text):
+        return json.dumps({"event_id": name, "event_time": text, "speed": 130, "rpm": 1, "gear": 4, "expected_gear": 4})
+
+    times = {
+        "now": "2024-01-01T05:00:00Z", "edge": "2024-01-01T03:00:00Z", "ahead": "2024-01-01T07:00:00Z",
+        "old": "2024-01-01T02:59:59Z", "next": "2024-01-01T07:00:01Z", "far": "2999-01-01", "first": "0001-01-01",
+        "huge": "+200000-01-01T00:00:00Z", "bad": "garbage", "none": None,
+    }
+    sent = [(alert(name, text), "05:00:00") for name, text in times.items()]
+    _arrive(spark, topics["raw"], *sent, ("not json", "05:00:00"), (_event("slow", speed=1), "05:00:00"))
+    if fails:
+        append = FileTopic.append
+        with monkeypatch.context() as patch:
+            patch.setattr(FileTopic, "append", lambda t, *a: 1 / 0 if t is strays else append(t, *a))
+            with pytest.raises(StreamingQueryException):
+                run()
+    run()
+    ids = lambda t: sorted(r["event_id"] for r in decode(t.batch(spark), ENRICHED_EVENT).collect())
+    assert ids(topics["alerts"]) == ["ahead", "bad", "edge", "none", "now"]
+    assert ids(strays) == ["far", "first", "huge", "next", "old"]
+
+
 def test_writers_share_one_batch(spark, topics, folder):
     _send(spark, topics["raw"], "a", "b")
     seen = []
