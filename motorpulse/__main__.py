@@ -21,7 +21,7 @@ from .schemas import (
 from .session import kafka_package, object_store_settings, session, state_store_settings
 from .sources.messages import FileTopic, FileTopics, KafkaTopic, split_topics
 from .streaming import STEPS, SnapshotTable, drain, fleet_steps, start, wait_for_any
-from .streaming.jobs import MODES
+from .streaming.jobs import MODES, STRAY_AFTER
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -61,6 +61,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--lookup", choices=LOOKUPS, default="auto", help="how cars are looked up")
     run.add_argument("--hot-cars", help="comma-separated ids of cars with very many events")
     run.add_argument("--on-malformed", choices=("keep", "drop"), default="keep")
+    run.add_argument("--quarantine", metavar="TOPIC", help="for malformed messages, as text")
+    run.add_argument("--once-within", help="drop what is delivered again within this time")
+    run.add_argument("--strays", metavar="TOPIC", help="for alerts of times far from their arrival")
+    run.add_argument("--stray-after", default=STRAY_AFTER, help="how far that is")
+    run.add_argument("--late", metavar="TOPIC", help="for alerts too late for the panes")
     run.add_argument("--every", default=REFRESH_EVERY, help="refresh of the counts")
     for command in (dims, run):
         command.add_argument("--endpoint", help="object store, with the keys of AWS_ACCESS_KEY_ID")
@@ -68,14 +73,20 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.command == "run" and args.mode == "panes" and args.only_latest:
         parser.error("--only-latest keeps a window, and --mode panes stores none")
+    if args.command == "run" and args.late and args.mode != "panes":
+        parser.error("--late needs --mode panes; windows drop late rows, or count all")
     if args.command == "run" and args.servers and args.drain and args.starting == "latest":
         parser.error("--drain from the latest offsets would read nothing; say --starting earliest")
     return args
 
 
+SIDE_TOPICS = ("quarantine", "strays", "late")
+
+
 def _topics(args: argparse.Namespace) -> dict:
     counted = split_topics(args.counted)
     names = {"raw": args.raw, "enriched": args.enriched, "alert": args.alerts}
+    names |= {k: getattr(args, k) for k in SIDE_TOPICS if getattr(args, k)}
     if args.servers:
         limit = {"maxOffsetsPerTrigger": args.per_trigger} if args.per_trigger else {}
         # What the chain itself writes is read from its beginning, or a step that starts
@@ -103,10 +114,12 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
 
     counts_every = {"availableNow": True} if args.drain else {"processingTime": args.every}
     panes = args.mode == "panes"
-    how = {} if panes else {"mode": args.mode, "only_latest": args.only_latest}
+    topics = _topics(args)
+    aside = {k: topics.pop(k, None) for k in SIDE_TOPICS}
+    how = {"late": aside["late"]} if panes else {"mode": args.mode, "only_latest": args.only_latest}
     steps = fleet_steps(
         spark,
-        **_topics(args),
+        **topics,
         table=SnapshotTable(f"{args.store}/{'panes' if panes else f'windows-{args.mode}'}"),
         profile=profile if args.refresh else profile(spark),
         checkpoints=f"{args.store}/checkpoints",
@@ -118,7 +131,10 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
             "lookup": "salted" if args.hot_cars else args.lookup,
             "hot_keys": [int(c) for c in split_topics(args.hot_cars)] if args.hot_cars else None,
             "on_malformed": args.on_malformed,
+            "quarantine": aside["quarantine"],
+            "once_within": args.once_within,
         },
+        limits={"strays": aside["strays"], "within": args.stray_after},
         **how,
     )
     if args.drain:

@@ -45,7 +45,7 @@ def fleet_steps(
     The counter reads ``counter_input``, or the alert topic alone, and stores windows
     or, if asked to, ``panes``, every minute unless ``counter_trigger`` or ``trigger``
     says otherwise. ``counts`` go to the job that does it, ``enrichment`` (lookup, hot
-    keys, malformed messages) and ``limits`` of the alerts to theirs. ``preview`` also
+    keys, malformed messages) and ``limits`` of the alerts, and where strays go, to theirs. ``preview`` also
     shows enriched events, alerts and the latest window on the console, by queries of
     their own.
     """

@@ -55,6 +55,35 @@ def test_panes_are_stored_instead_of_windows(spark, folder, dims):
     assert windows.count() == 15
 
 
+def test_what_does_not_fit_goes_to_topics_of_its_own(spark, folder, dims):
+    from datetime import UTC, datetime, timedelta
+
+    now = datetime.now(UTC).replace(microsecond=0)
+    fields = {"car_id": 100, "speed": 130, "gear": 4, "rpm": 1}
+    raw = FileTopic(f"{folder}/topics/sensors-sample", "sensors-sample")
+    args = ["--files", f"{folder}/topics", "--dims", dims, "--store", f"{folder}/store"]
+    args += ["--drain", "--mode", "panes", "--counted", "alert-data", "--quarantine", "bad"]
+    args += ["--strays", "strays", "--stray-after", "3 days", "--late", "late", "--once-within", "1 hour"]
+    _send(spark, folder, "sensors-sample", event_id="old", **fields)
+    raw.append(spark.createDataFrame([("not json",)], "value string"))
+    for name in ("a", "a", "b"):
+        _send(spark, folder, "sensors-sample", event_id=name, **fields | {"event_time": now.isoformat()})
+    main(["run", *args])
+    behind = (now - timedelta(hours=30)).isoformat()
+    _send(spark, folder, "sensors-sample", event_id="late", **fields | {"event_time": behind})
+    main(["run", *args])
+    found = {
+        n: [bytes(r.value).decode() for r in FileTopic(f"{folder}/topics/{n}", n).batch(spark).collect()]
+        for n in ("bad", "strays", "late")
+    }
+    assert found["bad"] == ["not json"] and len(found["late"]) == 1
+    assert [json.loads(v)["event_id"] for v in found["strays"]] == ["old"]
+    panes = SnapshotTable(f"{folder}/store/panes").read(spark)
+    assert panes.groupBy().sum("num_of_rows").first()[0] == 2
+    with pytest.raises(SystemExit):
+        _arguments(["run", "--files", "f", "--dims", "d", "--store", "s", "--late", "late"])
+
+
 def test_kafka_topics_of_a_run():
     args = _arguments(
         ["run", "--servers", "h:1", "--dims", "d", "--store", "s", "--per-trigger", "9",
