@@ -4,7 +4,10 @@ Documents with equal shingle sets are one set from the start. Every set is compa
 the smallest id of each of its buckets, first by signature, then by its full shingles.
 Buckets whose sets are still in different components after that are compared set by
 set, in blocks of bounded size that give back only the links that tie components
-together. So no bucket's pairs are ever written out, and none is left unverified.
+together. The sets of a bucket too large for one block meet by their rarest shingles
+instead: of any two that are alike, one has a shingle among its rarest that is among the
+rarest of the other. So no bucket's pairs are ever written out, none is left unverified,
+and a passage that many documents share costs as much as these documents are long.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ REMEMBERED_WORDS = 500_000
 #: Sets of one bucket that meet in a task, and their shingles, are about this many.
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 2_000_000
+#: Bits of a shingle that name the cell in which its frequency is counted.
+CELL_BITS = 16
 #: Standard deviations by which a signature may fall short of the threshold.
 SLACK = 5.5
 UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -333,21 +338,104 @@ def _links(
     )
     # In a bucket of two the only pair has been compared already.
     mixed = mixed.where("low <> high AND n > 2").select("band", "bucket")
-    meeting = stored(placed.join(mixed, ["band", "bucket"]))
-    sized = full.withColumn("weight", F.length("shingles") / 8 / BLOCK_SHINGLES + 1 / BLOCK_SETS)
-    meeting = meeting.join(sized, "set_id")
-    parts = meeting.groupBy("band", "bucket").agg(F.ceil(F.sum("weight")).cast("int").alias("parts"))
-    meeting = meeting.join(parts, ["band", "bucket"])
+    meeting = _blocks(stored(placed.join(mixed, ["band", "bucket"])), full, percent)
+    ties = meeting.groupBy("band", "bucket", "low", "high").applyInPandas(
+        _ties_within(percent), "a long, b long"
+    )
+    return stars.unionByName(stored(ties))
+
+
+def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Sets that meet: those of (band, bucket, set_id, component), with their shingles.
+
+    Every two alike sets of a bucket are in one of the blocks (band, bucket, low, high). A
+    bucket that fits into a block is one, of a larger one the sets meet by their rare
+    shingles (band -1). Where even these are shared by too many, every two parts meet.
+    """
+    place = ["band", "bucket"]
+    weight = F.length("shingles") / 8 / BLOCK_SHINGLES + 1 / BLOCK_SETS
+    weights = full.select("set_id", weight.alias("weight"))
+    parts = lambda rows: rows.join(weights, "set_id").groupBy(*place).agg(
+        F.ceil(F.sum("weight")).cast("int").alias("parts")
+    )
+    of_buckets = stored(parts(meeting))
+    crowded = meeting.join(of_buckets.where("parts > 1"), place).select("set_id", "component").distinct()
+    finer = _by_rare_shingles(crowded.join(full, "set_id"), percent)
+    meeting = meeting.join(of_buckets.where("parts = 1"), place).unionByName(finer.join(parts(finer), place))
     # Every two parts of a bucket meet in one block, a part with itself in the first.
     part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
     meeting = meeting.withColumn("part", part).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     meeting = meeting.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    ties = meeting.groupBy("band", "bucket", "low", "high").applyInPandas(
-        _ties_within(percent), "a long, b long"
+    return meeting.join(full, "set_id")
+
+
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _ranks(sets: DataFrame) -> np.ndarray:
+    """Places of the cells in ascending order of the shingles in them, over all ``sets``.
+
+    One number for each of the 2**CELL_BITS cells reaches the driver.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for packed in batch.column(0):
+                counts += np.bincount(_cells(np.frombuffer(packed.as_buffer(), np.uint64)), minlength=len(counts))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["cell", "n"])
+
+    counted = sets.select("shingles").mapInArrow(task, "cell long, n long")
+    counted = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    ranks = np.empty(len(counts), np.int32)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    return ranks
+
+
+def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """Groups of sets that share one of their rare shingles: (band, bucket, set_id, component).
+
+    All shingles are put in one order, by the rank of their cell. Two sets of which one has
+    n shingles and that are alike share ``percent`` * n of them at least, so the first
+    n - ceil(percent * n / 100) + 1 of each hold one that both have. This is exact whatever
+    the order; one by frequency makes the groups small. Groups of one component are left
+    out, and so are all but one of those with the same sets.
+    """
+    sets = stored(sets)
+    ranks = _ranks(sets)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare, sizes = [np.empty(0, np.uint64)], []
+            for packed in batch.column(2):
+                own = np.frombuffer(packed.as_buffer(), np.uint64)
+                first = len(own) + (-percent * len(own) // 100) + 1
+                rare.append(own[np.argsort(ranks[_cells(own)], kind="stable")[:first]])
+                sizes.append(len(rare[-1]))
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            buckets = pa.array(np.concatenate(rare).view(np.int64))
+            columns = [buckets, *(batch.column(k).take(pa.array(row)) for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "set_id", "component"])
+
+    rows = sets.select("set_id", "component", "shingles").mapInArrow(
+        task, "bucket long, set_id long, component long"
     )
-    return stars.unionByName(stored(ties))
+    rows = stored(rows)
+    groups = rows.groupBy("bucket").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count("*").alias("n"),
+        *(F.bit_xor(F.xxhash64("set_id", F.lit(k))).alias(f"sets{k}") for k in range(2)),
+    )
+    groups = groups.where("low <> high").groupBy("n", "low", "high", "sets0", "sets1")
+    groups = groups.agg(F.min("bucket").alias("bucket"))
+    return rows.join(groups.select("bucket"), "bucket").select(F.lit(-1).alias("band"), "bucket", "set_id", "component")
 
 
 def _agreeing(pairs: DataFrame, least: int) -> DataFrame:

@@ -82,6 +82,60 @@ def test_near_duplicate_documents(spark, monkeypatch, size, percent):
     assert len(set(classes.values())) < len(texts)
 
 
+def _texts_around_a_passage(n):
+    """Texts of which two thirds are one passage: unlike each other, but every tenth has a near copy."""
+    rng = random.Random(n)
+    passage = " ".join(f"p{k}" for k in range(80))
+    texts = []
+    for k in range(n):
+        if k % 10 == 9:
+            texts.append(texts[rng.randrange(k)] + " end")
+        else:
+            texts.append(f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(40)))
+    return texts
+
+
+def test_sets_of_a_crowded_bucket_meet_by_their_rare_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 16)
+    made, met = minhash._blocks, []
+
+    def counted(*given):
+        met.append(made(*given))
+        return met[-1]
+
+    monkeypatch.setattr(minhash, "_blocks", counted)
+    copies = []
+    for n in (200, 400):
+        texts = dict(enumerate(_texts_around_a_passage(n)))
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, shingle=3, percent=85).collect()}
+        sets = {k: _shingles(t, 3) for k, t in texts.items()}
+        links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+        assert found == _groups(links, sets) and len(links) >= n // 10
+        copies.append(met[-1].count())
+    # Twice the documents are twice the copies, where every two parts meeting would make four times.
+    assert copies[1] < 2.6 * copies[0]
+
+
+def test_alike_sets_share_a_rare_shingle(spark):
+    rng = random.Random(5)
+    sets = []
+    for k in range(60):
+        base = rng.sample(range(200), rng.randrange(1, 80))  # cells as full as they come
+        sets += [base, base[: -(-len(base) * 17 // 20)], [*base, 500 + k]]
+    packed = [np.unique(np.array([x * 0x9E3779B97F4A7C15 % 2**64 for x in s], np.uint64)) for s in sets]
+    rows = [(k, k, bytearray(s.tobytes())) for k, s in enumerate(packed)]
+    given = spark.createDataFrame(rows, "set_id long, component long, shingles binary")
+    together = {}
+    for r in minhash._by_rare_shingles(given, 85).collect():
+        together.setdefault(r["bucket"], set()).add(r["set_id"])
+    for a in range(len(packed)):
+        for b in range(a):
+            common = len(np.intersect1d(packed[a], packed[b]))
+            if 100 * common >= 85 * (len(packed[a]) + len(packed[b]) - common):
+                assert any({a, b} <= group for group in together.values())
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, None), (1, "A b  c d"), (None, "x y z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
