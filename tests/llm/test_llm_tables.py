@@ -113,8 +113,8 @@ def test_sets_of_a_crowded_bucket_meet_by_their_rare_shingles(spark, monkeypatch
         links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
         assert found == _groups(links, sets) and len(links) >= n // 10
         copies.append(met[-1].count())
-    # Twice the documents are twice the copies, where every two parts meeting would make four times.
-    assert copies[1] < 2.6 * copies[0]
+    # Where every two parts of a bucket meet, these are 1,552 and 5,506.
+    assert copies[1] < max(2.6 * copies[0], 400)
 
 
 def test_alike_sets_share_a_rare_shingle(spark):
