@@ -31,8 +31,6 @@ REMEMBERED_WORDS = 500_000
 #: Sets of one bucket that meet in a task, and their shingles, are about this many.
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 2_000_000
-#: Comparisons of a set with another that cost as much as copying it to a block, about.
-COPY_COST = 16
 #: Bits of a shingle that name the cell in which its frequency is counted.
 CELL_BITS = 16
 #: Standard deviations by which a signature may fall short of the threshold.
@@ -353,29 +351,26 @@ def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
     Every two alike sets of a bucket are in one of the blocks (band, bucket, low, high). A
     bucket that fits into a block is one. Of a larger one either every two parts meet, or its
-    sets meet by their rare shingles (band -1), whichever copies and compares less; what is
+    sets meet by their rare shingles (band -1), whichever copies fewer shingles; what is
     tied together is the same. The first grows with the square of the bucket. The second
-    grows with the bucket, unless many of its sets are nearly alike.
+    grows with the bucket, and is the worse where many of its sets are nearly alike.
     """
     place = ["band", "bucket"]
     weight = F.length("shingles") / 8 / BLOCK_SHINGLES + 1 / BLOCK_SETS
     weights = full.select("set_id", weight.alias("weight"))
     parts = F.ceil(F.sum("weight")).cast("int").alias("parts")
-    of_buckets = meeting.join(weights, "set_id").groupBy(*place).agg(parts, F.count("*").alias("n"))
+    of_buckets = meeting.join(weights, "set_id").groupBy(*place).agg(parts)
     of_buckets = stored(of_buckets)
     crowded = stored(meeting.join(of_buckets.where("parts > 1"), place).join(weights, "set_id"))
     finer = _by_rare_shingles(crowded.select("set_id", "component").distinct().join(full, "set_id"), percent)
-    # Sets that are in several crowded buckets meet by their shingles only once.
-    often = crowded.groupBy("set_id").agg(F.count("*").alias("crowds"))
-    each = finer.groupBy("set_id").agg((F.sum("n") + COPY_COST * F.count("*")).alias("effort"))
-    crowds = crowded.join(often, "set_id").join(each, "set_id", "left")
-    cost = crowds.groupBy(*place).agg(
-        F.sum(F.col("weight") * (F.col("n") + COPY_COST * F.col("parts"))).alias("by_parts"),
-        F.sum(F.col("weight") * F.coalesce("effort", F.lit(0)) / F.col("crowds")).alias("by_shingles"),
+    times = finer.groupBy("set_id").agg(F.count("*").alias("times"))
+    cost = crowded.join(times, "set_id", "left").groupBy(*place).agg(
+        F.sum(F.col("weight") * F.col("parts")).alias("by_parts"),
+        F.sum(F.col("weight") * F.coalesce("times", F.lit(0))).alias("by_shingles"),
     )
     refined = stored(cost.where("by_shingles < by_parts").select(*place))
-    whole = meeting.join(of_buckets.drop("n"), place).join(refined, place, "left_anti")
-    finer = finer.drop("n").join(crowded.join(refined, place).select("set_id").distinct(), "set_id")
+    whole = meeting.join(of_buckets, place).join(refined, place, "left_anti")
+    finer = finer.join(crowded.join(refined, place).select("set_id").distinct(), "set_id")
     of_shingles = finer.join(weights, "set_id").groupBy(*place).agg(parts)
     meeting = whole.unionByName(finer.join(of_shingles, place))
     # Every two parts of a bucket meet in one block, a part with itself in the first.
@@ -415,7 +410,7 @@ def _ranks(sets: DataFrame) -> np.ndarray:
 
 
 def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """Groups of n sets that share one of their rare shingles: (band, bucket, set_id, component, n).
+    """Groups of sets that share one of their rare shingles: (band, bucket, set_id, component).
 
     All shingles are put in one order, by the rank of their cell. Two sets of which one has
     n shingles and that are alike share ``percent`` * n of them at least, so the first
@@ -451,8 +446,8 @@ def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
     )
     groups = groups.where("low <> high").groupBy("n", "low", "high", "sets0", "sets1")
     groups = groups.agg(F.min("bucket").alias("bucket"))
-    found = rows.join(groups.select("bucket", "n"), "bucket")
-    return stored(found.select(F.lit(-1).alias("band"), "bucket", "set_id", "component", "n"))
+    found = rows.join(groups.select("bucket"), "bucket")
+    return stored(found.select(F.lit(-1).alias("band"), "bucket", "set_id", "component"))
 
 
 def _agreeing(pairs: DataFrame, least: int) -> DataFrame:
