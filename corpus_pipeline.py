@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from motorpulse.files import delete
 from motorpulse.llm import bpe, language_id, minhash, mixing, quality
 from motorpulse.llm.queries import tokenizer_file
-from motorpulse.llm.shared import table
+from motorpulse.llm.shared import stored, table
 from motorpulse.session import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,10 +32,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned: rejected are those whose score is below
-    what documents of the language and of their size have, and texts without a letter."""
+    what documents of the language and of their size have, and texts without a letter.
+
+    Every document is scored once; all these scores set the limits."""
     learned = language_id.learn(docs)
-    least = language_id.limits(docs, learned)
-    named = language_id.identify(docs.select(*COLUMNS), learned)
+    named = stored(language_id.sized(language_id.identify(docs.select(*COLUMNS), learned)))
+    least = language_id.limits(named, learned)
     return named.where(language_id.in_language(least)).select(*COLUMNS)
 
 

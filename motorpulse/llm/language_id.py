@@ -27,8 +27,6 @@ LEAST_SHARE = 0.5
 #: Sizes, powers of two, and the documents that a median needs at least.
 SIZES = 24
 LEAST_DOCS = 5
-#: Documents whose scores set the medians, about.
-SCORED_DOCS = 20_000
 #: n-grams whose vectors a task remembers before it starts anew.
 REMEMBERED_GRAMS = 30_000
 UNKNOWN = "und"
@@ -204,23 +202,22 @@ def _size(text: Column) -> Column:
     return F.least(F.floor(F.log2(letters)), F.lit(SIZES - 1)).cast("int")
 
 
-def limits(
-    docs: DataFrame, languages: dict[str, list[int]], text: str = "text", lang: str = "lang"
-) -> dict[str, list[float]]:
-    """Least score of a text in every language, for every size, from the scores of the
-    learned documents themselves.
+def sized(named: DataFrame, text: str = "text") -> DataFrame:
+    """Rows that ``identify`` named, with the column text_size that limits go by."""
+    return named.withColumn("text_size", _size(F.col(text)))
+
+
+def limits(named: DataFrame, languages: dict[str, list[int]], lang: str = "lang") -> dict[str, list[float]]:
+    """Least score of a text in every language, for every size, from the scores of all
+    rows of ``sized`` that were given their own language.
 
     ``LEAST_SHARE`` of the median, that of all languages where one has too few documents
     of a size, and that of a smaller size where all have; below the least such size it
-    falls with the root of the letters. Never less than ``LEAST_SCORE``.
+    falls with the root of the letters. Never less than ``LEAST_SCORE``. The median is that
+    of every score to four digits, of which there are few, so it is exact at any size.
     """
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang IS NOT NULL")
-    share = SCORED_DOCS / max(1, rows.count())
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    scored = identify(rows, languages).where("lang_pred = lang")
-    scored = scored.select("lang", _size(F.col("text")).alias("size"), "score")
-    median = F.percentile_approx("score", 0.5).alias("median")
+    scored = named.where(F.col("lang_pred") == F.col(lang)).select(F.col(lang).alias("lang"), F.col("text_size").alias("size"), "score")
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY round(score, 4))").alias("median")
     counted = scored.rollup("size", "lang").agg(F.count("*").alias("n"), median).where("size IS NOT NULL")
     known = {(r["lang"], r["size"]): r["median"] for r in counted.collect() if r["n"] >= LEAST_DOCS}
     made = {}
@@ -234,10 +231,10 @@ def limits(
     return made
 
 
-def in_language(least: dict[str, list[float]], text: str = "text") -> Column:
-    """Whether a row that ``identify`` named is in that language, by ``limits``."""
+def in_language(least: dict[str, list[float]]) -> Column:
+    """Whether a row of ``sized`` is in the language it was given, by ``limits``."""
     if not least:
         return F.lit(False)
     of_lang = F.create_map(*(c for n, v in least.items() for c in (F.lit(n), F.array(*map(F.lit, v)))))
-    limit = of_lang[F.col("lang_pred")][_size(F.col(text))]
+    limit = of_lang[F.col("lang_pred")][F.col("text_size")]
     return F.coalesce(F.col("score") >= limit, F.lit(False))

@@ -234,6 +234,26 @@ def test_language_stage_rejects_foreign_and_junk_texts(spark, sf_dir):
     assert min(kept) >= 0 and len(kept) >= 0.995 * len(clean), (min(kept), len(kept), len(clean))
 
 
+def test_language_limits_come_from_all_documents(spark, monkeypatch):
+    import corpus_pipeline
+
+    # One document would set no limit but the least there is.
+    monkeypatch.setattr(language_id, "SCORED_DOCS", 1, raising=False)
+    rng = random.Random(3)
+    words = "garden window summer winter letter dinner silver stream market butter".split()
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(61)]
+    others = [["".join(rng.choices("bcdfghjklmnpqrstvwz", k=6)) for _ in range(8)] for _ in range(40)]
+    texts += [" ".join([*other, rng.choice(words)]) for other in others]  # fifty-four letters
+    lang = F.when(F.col("doc_id") < 61, "en")
+    docs = _docs(spark, texts, source="x", n_chars="0").withColumn("lang", lang).select(*corpus_pipeline.COLUMNS)
+    named = language_id.sized(language_id.identify(docs, language_id.learn(docs))).collect()
+    assert {r["text_size"] for r in named} == {5} and {r["lang_pred"] for r in named} == {"en"}
+    least = sorted(round(r["score"], 4) for r in named if r["lang"])[30] / 2
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in named if r["score"] >= least}
+    assert any(language_id.LEAST_SCORE <= r["score"] < least for r in named)
+
+
 def test_language_vectors_are_sums_of_bound_letters(spark):
     import numpy as np
 
