@@ -284,12 +284,11 @@ def classes(
     signed = stored(_signed_sets(plain, shingle, bands, rows))
     # A set is known by its content; of the rows that have it, one brings its text.
     own = F.struct("no_id", "id", "text_hash")
-    sets = signed.where("same IS NOT NULL").groupBy("same").agg(F.min(own).alias("row"))
-    sets = stored(sets.select("same", "row.*", F.monotonically_increasing_id().alias("set_id")))
-    signed_sets = signed.join(sets, [*ROW, "same"]).groupBy("set_id").agg(
-        F.any_value("signature").alias("signature"), F.any_value("buckets").alias("buckets")
-    )
-    signed_sets = stored(signed_sets)
+    of_content = [F.any_value(c).alias(c) for c in ("n_shingles", "signature", "buckets")]
+    sets = signed.where("same IS NOT NULL").groupBy("same").agg(F.min(own).alias("row"), *of_content)
+    sets = stored(sets.select(F.monotonically_increasing_id().alias("set_id"), "same", "row.*", "n_shingles", "signature", "buckets"))
+    signed_sets = sets.select("set_id", "n_shingles", "signature", "buckets")
+    sets = sets.select("set_id", "same", *ROW)
     member = signed_sets.select("set_id", F.posexplode("buckets").alias("band", "bucket"))
     shared = member.groupBy("band", "bucket").agg(F.min("set_id").alias("first"), F.count("*").alias("n"))
     member = stored(member.join(shared.where("n > 1"), ["band", "bucket"]))
@@ -332,22 +331,29 @@ def _links(
 
     # What is left: buckets where sets of different components meet.
     classes = components(stars).withColumnRenamed("node", "set_id")
+    weight = F.col("n_shingles") / BLOCK_SHINGLES + 1 / BLOCK_SETS
     placed = member.select("band", "bucket", "set_id").join(classes, "set_id", "left")
+    placed = placed.join(signed.select("set_id", weight.alias("weight")), "set_id")
     placed = placed.withColumn("component", F.coalesce("component", "set_id"))
     mixed = placed.groupBy("band", "bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count("*").alias("n"),
+        F.ceil(F.sum("weight")).cast("int").alias("parts"),
     )
     # In a bucket of two the only pair has been compared already.
-    mixed = mixed.where("low <> high AND n > 2").select("band", "bucket")
+    mixed = mixed.where("low <> high AND n > 2").select("band", "bucket", "parts")
     meeting = _blocks(stored(placed.join(mixed, ["band", "bucket"])), full, percent)
     ties = meeting.groupBy("band", "bucket", "low", "high").applyInPandas(
         _ties_within(percent), "a long, b long"
     )
-    return stars.unionByName(stored(ties))
+    tied = classes.select(F.col("set_id").alias("a"), F.col("component").alias("b"))
+    return tied.unionByName(stored(ties))
 
 
 def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Sets that meet: those of (band, bucket, set_id, component), with their shingles.
+    """Sets that meet: those of (band, bucket, set_id, component, weight, parts), with their
+    shingles. ``parts`` is how many blocks the weights of the bucket's sets fill.
 
     Every two alike sets of a bucket are in one of the blocks (band, bucket, low, high). A
     bucket that fits into a block is one. Of a larger one either every two parts meet, or its
@@ -356,12 +362,7 @@ def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     grows with the bucket, and is the worse where many of its sets are nearly alike.
     """
     place = ["band", "bucket"]
-    weight = F.length("shingles") / 8 / BLOCK_SHINGLES + 1 / BLOCK_SETS
-    weights = full.select("set_id", weight.alias("weight"))
-    parts = F.ceil(F.sum("weight")).cast("int").alias("parts")
-    of_buckets = meeting.join(weights, "set_id").groupBy(*place).agg(parts)
-    of_buckets = stored(of_buckets)
-    crowded = stored(meeting.join(of_buckets.where("parts > 1"), place).join(weights, "set_id"))
+    crowded = meeting.where("parts > 1")
     finer = _by_rare_shingles(crowded.select("set_id", "component").distinct().join(full, "set_id"), percent)
     times = finer.groupBy("set_id").agg(F.count("*").alias("times"))
     cost = crowded.join(times, "set_id", "left").groupBy(*place).agg(
@@ -369,9 +370,9 @@ def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         F.sum(F.col("weight") * F.coalesce("times", F.lit(0))).alias("by_shingles"),
     )
     refined = stored(cost.where("by_shingles < by_parts").select(*place))
-    whole = meeting.join(of_buckets, place).join(refined, place, "left_anti")
-    finer = finer.join(crowded.join(refined, place).select("set_id").distinct(), "set_id")
-    of_shingles = finer.join(weights, "set_id").groupBy(*place).agg(parts)
+    whole = meeting.join(refined, place, "left_anti")
+    finer = finer.join(crowded.join(refined, place).select("set_id", "weight").distinct(), "set_id")
+    of_shingles = finer.groupBy(*place).agg(F.ceil(F.sum("weight")).cast("int").alias("parts"))
     meeting = whole.unionByName(finer.join(of_shingles, place))
     # Every two parts of a bucket meet in one block, a part with itself in the first.
     part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
@@ -379,7 +380,7 @@ def _blocks(meeting: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     meeting = meeting.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    return meeting.join(full, "set_id")
+    return meeting.select(*place, "low", "high", "set_id", "component").join(full, "set_id")
 
 
 def _cells(shingles: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,40 +87,38 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = (F.col(c) for c in edges.columns)
     kept = edges.where(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     stars = stored(kept.distinct())
-    seen = _digest(stars)
-    while seen[0]:
+    while not _are_stars(stars):
         stars = stored(_small_star(stored(_large_star(stars))))
-        now = _digest(stars)
-        if now == seen:
-            break
-        seen = now
     leaves = stars.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     centres = stars.select(F.col("lo").alias("node"), F.col("lo").alias("component"))
     return leaves.unionByName(centres.distinct())
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
-    return tuple(row)
+def _both_ends(edges: DataFrame, hi: Column, lo: Column) -> DataFrame:
+    """(node, other) of both, for every edge."""
+    ends = (F.struct(x.alias("node"), y.alias("other")) for x, y in ((hi, lo), (lo, hi)))
+    return edges.select(F.inline(F.array(*ends)))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or tied to one node only, which is one."""
+    ends = _both_ends(edges, F.col("hi"), F.col("lo"))
+    smaller, larger = (F.count_if(c) for c in (F.col("other") < F.col("node"), F.col("other") > F.col("node")))
+    nodes = ends.groupBy("node").agg(smaller.alias("smaller"), larger.alias("larger"))
+    return nodes.agg(F.max((F.col("smaller") > 1) | (F.col("smaller") > 0) & (F.col("larger") > 0))).first()[0] is not True
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is tied to the smallest node around it."""
-    ends = edges.select(F.col("hi").alias("node"), F.col("lo").alias("other")).unionByName(
-        edges.select(F.col("lo").alias("node"), F.col("hi").alias("other"))
-    )
+    """Every larger neighbour of a node is tied to the smallest node around it: as many
+    edges as before, some more than once."""
+    ends = _both_ends(edges, F.col("hi"), F.col("lo"))
     least = ends.groupBy("node").agg(F.min("other").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
-    tied = ends.where("other > node").join(least, "node")
-    return tied.select(F.col("other").alias("hi"), F.col("least").alias("lo")).distinct()
+    least = least.select(F.col("node").alias("lo"), F.least("node", "least").alias("least"))
+    return edges.join(least, "lo").select("hi", F.col("least").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     least = edges.groupBy("hi").agg(F.min("lo").alias("least"))
-    tied = edges.join(least, "hi").where(F.col("lo") != F.col("least"))
-    return (
-        tied.select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-        .unionByName(least.select("hi", F.col("least").alias("lo")))
-        .distinct()
-    )
+    tied = edges.join(least, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("least").alias("lo"))
+    return tied.where("hi <> lo").distinct()

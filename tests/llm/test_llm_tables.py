@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from motorpulse.llm import chat, html_text, minhash, mixing, near_embeddings, quality
+from motorpulse.llm import chat, html_text, minhash, mixing, near_embeddings, quality, shared
 from motorpulse.llm.expected_sql import EXPECTED_SQL
 from motorpulse.llm.queries import QUERIES, tokenizer_file
 from motorpulse.llm.shared import components
@@ -45,6 +45,18 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in found} == _groups(good, nodes) and len(found) == len(nodes)
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    made, rounds = shared._large_star, []
+    monkeypatch.setattr(shared, "_large_star", lambda edges: rounds.append(edges) or made(edges))
+    stars = [(b, a) for a in range(0, 100, 10) for b in range(a + 1, a + 10)]
+    for links, most in ((stars, 0), ([(1, 2), (5, 4)], 0), ([], 0), ([*stars, (3, 14)], 2), ([(k, k + 1) for k in range(9)], 4)):
+        rounds.clear()
+        found = components(spark.createDataFrame(links, "a long, b long")).collect()
+        nodes = {n for link in links for n in link}
+        assert {r["node"]: r["component"] for r in found} == _groups(links, nodes) and len(found) == len(nodes)
+        assert len(rounds) <= most
+
+
 def _shingles(text, size):
     words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text or "")]
     if len(words) < size:
