@@ -78,7 +78,8 @@ def attach_profile(
     salt = F.when(F.col(key).isNull() | hot, spread).otherwise(0)
     every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = profile.where(F.col(key).isNotNull()).withColumn("salt", F.explode(every))
-    return events.withColumn("salt", salt).join(copies, [key, "salt"], "left").drop("salt")
+    # Told to merge: by the size of its files alone Spark may still send a large table to all.
+    return events.withColumn("salt", salt).join(copies.hint("merge"), [key, "salt"], "left").drop("salt")
 
 
 def enrich(

@@ -6,6 +6,7 @@ Timestamps are handed out without a zone at the very end, as the tables have the
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import partial
 from itertools import count
@@ -568,9 +569,13 @@ def streamed_late(spark: SparkSession, sf: str) -> DataFrame:
 def chained_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Enrich, alerts and counts chained by topics; the complete windows at the end."""
     folder = _folder(spark)
-    raw = FileTopic(f"{folder}/raw", "raw", options={"maxFilesPerTrigger": "1"})
-    for part in _parts(spark, sf):
+    raw = FileTopic(f"{folder}/raw", "raw")
+    parts = _parts(spark, sf)
+    for part in parts:
         raw.append(fleet.messages(part))
+    # As many micro-batches as parts, however many files these have: each may broadcast the fleet.
+    files = -(-len(raw.batch(spark).inputFiles()) // len(parts))
+    raw = replace(raw, options={"maxFilesPerTrigger": str(max(1, files))})
     table = SnapshotTable(f"{folder}/windows")
     steps = fleet_steps(
         spark,
@@ -581,6 +586,7 @@ def chained_topics(spark: SparkSession, sf: str) -> DataFrame:
         profile=fleet.profile(spark, sf),
         checkpoints=f"{folder}/checkpoints",
         trigger=DRAIN,
+        enrichment={"lookup": "measured"},
         counted=fleet.COUNTED,
     )
     drain(steps)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from motorpulse.operators import fits_broadcast
 from motorpulse.plans import queries
 from motorpulse.plans.queries import QUERIES
 from motorpulse.sources import FileTopic
@@ -83,3 +84,27 @@ def test_streams_keep_events_without_a_time(spark, sf_dir, folder):
     seen = [r["event_id"] for part in queries._parts(spark, folder) for r in part.collect()]
     assert late.where("ts IS NULL").count() > 0
     assert sorted(seen) == sorted(r["event_id"] for r in late.collect())
+
+
+@pytest.mark.parametrize("limit", [2**26, 0])
+def test_micro_batches_of_the_chain_follow_the_parts_and_not_the_files(spark, folder, monkeypatch, limit):
+    monkeypatch.setattr(fits_broadcast, "__defaults__", (limit,))
+    monkeypatch.setattr(queries, "_folder", lambda _: f"{folder}/run")
+    minute = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id % 50 as int))")
+    events = spark.range(0, 600, 1, 12).select(
+        F.col("id").alias("event_id"), minute.alias("ts"), (F.col("id") % 9).alias("user_id"),
+        F.lit("click").alias("event_type"), F.lit(200.0).alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    cars = "select id c_custkey, cast(id % 3 as int) c_nationkey, 1.0D c_acctbal from range(6)"
+    for name, rows in {
+        "customer": cars,
+        "nation": "select cast(id as int) n_nationkey, 'N' n_name, 0 n_regionkey from range(3)",
+        "region": "select cast(id as int) r_regionkey, 'ASIA' r_name from range(5)",
+    }.items():
+        spark.sql(rows).write.parquet(f"{folder}/{name}.parquet")
+    found = queries.chained_topics(spark, folder)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, queries.alert_windows(spark, folder).collect()))
+    raw = list(Path(f"{folder}/run/raw").glob("writer=*/*/part-*"))
+    batches = list(Path(f"{folder}/run/checkpoints/enrich/commits").glob("[0-9]*"))
+    assert len(batches) <= queries.PARTS < len(raw)
